@@ -57,10 +57,9 @@ def to_nullable_int(c: Column) -> Column:
     x = _number_text(cleaned, _NUMBER).try_cast("double")
     r = F.rint(x)
     near = F.abs(x - r) <= ABSOLUTE_TOLERANCE + RELATIVE_TOLERANCE * F.abs(r)
-    fits = (r >= F.lit(-(2.0**63))) & (r < F.lit(2.0**63))
     return F.coalesce(
         _number_text(cleaned, _INTEGER).try_cast("bigint"),
-        F.when(near & fits, r.cast("bigint")),
+        F.when(near, r.try_cast("bigint")),
     )
 
 

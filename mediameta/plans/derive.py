@@ -22,13 +22,15 @@ SELECT o_orderkey AS k,
        o_orderpriority AS pri
 FROM orders"""
 
+# The slash stands for a backslash, whose escaping differs between engines.
+_TITLES = (
+    'Harbor Lights|Kaze no Uta|7-seven-|Zero 3-4|Matte yo neko-chan|Tōi sora no mukō|'
+    'Blue Door - Second Key|Say "Hi" / Bye|Garden (Niwa no Hana)'
+)
+
 _TITLED = f"""
 SELECT b.*, lpad(CAST(e AS VARCHAR(20)), 2, '0') AS ee, CAST(e AS VARCHAR(20)) AS et, CAST(s AS VARCHAR(20)) AS st,
-       CASE j % 9
-         WHEN 0 THEN 'Harbor Lights' WHEN 1 THEN 'Kaze no Uta' WHEN 2 THEN '7-seven-'
-         WHEN 3 THEN 'Zero 3-4' WHEN 4 THEN 'Matte yo neko-chan' WHEN 5 THEN 'Tōi sora no mukō'
-         WHEN 6 THEN 'Blue Door - Second Key' WHEN 7 THEN concat('Say "Hi" ', chr(92), ' Bye') ELSE 'Garden (Niwa no Hana)'
-       END AS title
+       replace(split_part('{_TITLES}', '|', CAST(j % 9 + 1 AS INT)), '/', chr(92)) AS title
 FROM ({_BASE}) b"""
 
 _NAMED = f"""
