@@ -1,13 +1,13 @@
 """Text and number cleaning as column expressions.
 
-Every function returns one native expression without branching on its own
-input, so the input is evaluated once; ``nullif`` binds its argument in a
-projection of its own.
+Expressions use their input once, so that nothing is evaluated twice when
+projections are merged or a filter is pushed through them. Null words need no
+treatment before a number is read: they are no numbers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # All characters a bare ``str.strip()`` removes.
@@ -42,31 +42,37 @@ def clean_text(c: Column) -> Column:
     return F.nullif(F.regexp_replace(strip_quotes(c), _NULL_WORD, ""), F.lit(""))
 
 
-def _number_text(cleaned: Column, pattern: str) -> Column:
-    # No match gives "", which casts to null.
-    return F.regexp_extract(cleaned, pattern, 0)
+def number(c: Column) -> Column:
+    """DOUBLE of a raw text; null for anything that is not wholly a number."""
+    return F.regexp_extract(strip_quotes(c), _NUMBER, 0).try_cast("double")
 
 
-def to_nullable_int(c: Column) -> Column:
-    """BIGINT for texts within tolerance of an integer, else null.
+def int_or_null(c: Column, x: Column) -> Column:
+    """BIGINT of a raw text and its ``number``, when within tolerance of an integer, else null.
 
-    Digits convert directly, so values above 2^53 stay exact; other numbers go
-    through DOUBLE and round half-even. Infinite and too large values are null.
+    Digits convert directly, so values above 2^53 stay exact; other numbers
+    round half-even. Infinite and too large values are null.
     """
-    cleaned = clean_text(c)
-    x = _number_text(cleaned, _NUMBER).try_cast("double")
+    digits = F.regexp_extract(strip_quotes(c), _INTEGER, 0)
     r = F.rint(x)
     near = F.abs(x - r) <= ABSOLUTE_TOLERANCE + RELATIVE_TOLERANCE * F.abs(r)
-    return F.coalesce(
-        _number_text(cleaned, _INTEGER).try_cast("bigint"),
-        F.when(near, r.try_cast("bigint")),
-    )
+    return F.coalesce(digits.try_cast("bigint"), F.when(near, r.try_cast("bigint")))
+
+
+def to_nullable_int(df: DataFrame, *columns: str) -> DataFrame:
+    """Replace text columns by BIGINT, see ``int_or_null``.
+
+    The rounding uses the number several times; a projection of its own parses it once.
+    """
+    x = {c: f"_x_{c}" for c in columns}
+    parsed = df.withColumns({x[c]: number(F.col(c)) for c in columns})
+    return parsed.withColumns({c: int_or_null(F.col(c), F.col(x[c])) for c in columns}).drop(*x.values())
 
 
 def to_confidence(c: Column, default: float = 0.0) -> Column:
     """DOUBLE clipped to [0, 1]; anything unreadable becomes ``default``."""
-    x = _number_text(clean_text(c), _NUMBER).try_cast("double")
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(x, F.lit(float(default)))))
+    x = F.coalesce(number(c), F.lit(float(default)))
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
 
 
 def normalize_crc(c: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from mediameta.functions import filename as fn
 from mediameta.functions import jsontext, render, text, tokens
 from mediameta.functions.checks import validate_objects
 from mediameta.operators import attempts, clean, examples, generate, profile, quality, score, split
-from mediameta.plans.derive import derived, table
+from mediameta.plans.derive import derived, spread, table
 from mediameta.schema import RAW_COLUMNS, Params, canonical
+from mediameta.session import tune
 from mediameta.sources import tables
 from mediameta.sources.rowid import with_row_id
 from mediameta.sources.storage import scratch_path
@@ -30,7 +32,11 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return f(tune(spark), sf_dir)
+
+    QUERIES[f.__name__] = run
     return f
 
 
@@ -91,9 +97,8 @@ def clean_text(spark, sf_dir):
 
 @query
 def to_nullable_int(spark, sf_dir):
-    return _raw(spark, sf_dir).select(
-        "row_id", *[text.to_nullable_int(F.col(c)).alias(c) for c in ("season", "episode")]
-    )
+    raw = _raw(spark, sf_dir).select("row_id", "season", "episode")
+    return text.to_nullable_int(raw, "season", "episode")
 
 
 @query
@@ -136,7 +141,7 @@ def sft_examples(spark, sf_dir):
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations")
+    return spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
 
 
 @query
@@ -314,7 +319,7 @@ def extract_json_python(spark, sf_dir):
 
 @query
 def event_properties(spark, sf_dir):
-    found = jsontext.extract_json(table(spark, sf_dir, "events"), "props", retry=False)
+    found = jsontext.extract_json(spread(table(spark, sf_dir, "events"), "event_id"), "props", retry=False)
     return found.select("event_id", "obj", F.array_join(F.json_object_keys("obj"), ",").alias("keys"))
 
 

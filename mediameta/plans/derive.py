@@ -54,6 +54,9 @@ SELECT t.*,
        END AS base_name
 FROM ({_TITLED}) t"""
 
+_ODD_EPISODES = "None|2.00001|2.0001|100000.5|x|1_000|1e3|9007199254740993|99999999999999999999|+5|1d|-inf"
+_CONFIDENCES = "1.7|-1|bad|||inf|0.0005|5e-05|1e-1|.25||0.9|0.95|0.85|0.75|1.0|0.1|0.9|0.9"
+
 RAW_METADATA = f"""
 SELECT k AS row_id,
        CASE
@@ -67,18 +70,14 @@ SELECT k AS row_id,
        END AS name,
        CASE k % 13 WHEN 0 THEN 'None' WHEN 1 THEN '' WHEN 2 THEN concat('"', title, '"') WHEN 3 THEN 'null'
                    ELSE title END AS show_name,
-       CASE j % 9 WHEN 0 THEN 'nan' WHEN 1 THEN concat(st, '.0') WHEN 2 THEN '4.5' WHEN 3 THEN concat(' "', st, '" ')
-                  WHEN 4 THEN NULL WHEN 5 THEN concat('0', st) ELSE st END AS season,
-       CASE j % 15 WHEN 0 THEN 'None' WHEN 1 THEN '2.00001' WHEN 2 THEN '2.0001' WHEN 3 THEN '100000.5'
-                   WHEN 4 THEN 'x' WHEN 5 THEN '1_000' WHEN 6 THEN '1e3' WHEN 7 THEN '9007199254740993'
-                   WHEN 8 THEN '99999999999999999999' WHEN 9 THEN '+5' WHEN 10 THEN '1d' WHEN 11 THEN '-inf'
-                   ELSE et END AS episode,
+       CASE WHEN j % 9 = 4 THEN NULL ELSE concat(split_part('nan|0|4.5| "||+|', '|', CAST(j % 9 + 1 AS INT)),
+            CASE WHEN j % 9 IN (0, 2) THEN '' ELSE st END, CASE j % 9 WHEN 1 THEN '.0' WHEN 3 THEN '" ' ELSE '' END) END AS season,
+       CASE WHEN j % 15 < 12 THEN split_part('{_ODD_EPISODES}', '|', CAST(j % 15 + 1 AS INT)) ELSE et END AS episode,
        CASE k % 7 WHEN 0 THEN '' WHEN 1 THEN concat('''', title, ' read from the name''')
                   ELSE concat('order ', pri, ': "', et, '" found') END AS reasoning,
-       CASE k % 19 WHEN 0 THEN '1.7' WHEN 1 THEN '-1' WHEN 2 THEN 'bad' WHEN 3 THEN '' WHEN 4 THEN NULL
-                   WHEN 5 THEN 'inf' WHEN 6 THEN '0.0005' WHEN 7 THEN '5e-05' WHEN 8 THEN '1e-1' WHEN 9 THEN '.25'
+       CASE k % 19 WHEN 4 THEN NULL
                    WHEN 10 THEN concat('0.', lpad(CAST(k % 1000 AS VARCHAR(20)), 3, '0'), '1')
-                   ELSE '0.9' END AS confidence,
+                   ELSE split_part('{_CONFIDENCES}', '|', CAST(k % 19 + 1 AS INT)) END AS confidence,
        CASE j % 11 WHEN 0 THEN concat('[', lower(crc), ']') WHEN 1 THEN 'ZZZZZZZZ' WHEN 2 THEN NULL
                    WHEN 3 THEN lower(crc) WHEN 4 THEN '[abc]' WHEN 5 THEN concat(' "', crc, '" ')
                    WHEN 6 THEN 'nan' ELSE crc END AS crc_hash
@@ -183,6 +182,9 @@ SOURCES = {
 }
 
 
+KEYS = {"orders": "o_orderkey", "documents": "doc_id", "events": "event_id"}
+
+
 def sql_of(name: str, engine: str = "spark") -> str:
     """The text of a derived input for one engine."""
     if name == "attempts":
@@ -202,9 +204,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """The frame, spread by key when its scan has fewer splits than there are cores.
+
+    A small file of one row group is one task, and all later work would run on
+    one core. Large tables have more splits than cores and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived input, as a lazy frame over the given table."""
     source = SOURCES[name]
     view = f"mediameta_{source}"
-    table(spark, sf_dir, source).createOrReplaceTempView(view)
+    spread(table(spark, sf_dir, source), KEYS[source]).createOrReplaceTempView(view)
     return spark.sql(sql_of(name).replace(f"FROM {source}", f"FROM {view}"))

@@ -1,0 +1,21 @@
+"""Session settings the wide text expressions profit from."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+# The JVM compiles no method larger than this many bytes of bytecode.
+_JIT_METHOD_LIMIT = 8000
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Let Spark split generated code that the JVM would otherwise only interpret.
+
+    Many cleaned columns make one large generated method. Above the JVM's limit
+    it runs uncompiled, several times slower than Spark's split expressions.
+    A limit set by the user below that stays.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(name)) > _JIT_METHOD_LIMIT:
+        spark.conf.set(name, str(_JIT_METHOD_LIMIT))
+    return spark
