@@ -220,8 +220,6 @@ def truncate_completion(df: DataFrame, text: str, out: str = "truncated", *, sto
 
 # --- the same rules by Python's parser, for one text ---
 
-_decoder = json.JSONDecoder(parse_constant=str)
-
 
 def _closings(text: str) -> dict[int, int]:
     """Opening position -> position of its closing brace."""
@@ -241,13 +239,14 @@ def python_extract(text: str, retry: bool = True, after_tag: bool = True) -> tup
         text = text.split(ASSISTANT_TAG, 1)[-1]
     errors = RETRY_ERRORS if retry else SINGLE_ERRORS
     pairs = _closings(text)
+    decoder = json.JSONDecoder(parse_constant=str)
     error = errors["none"]
     at = text.find("{")
     while at != -1:
         if at not in pairs:
             return None, errors["open"]
         try:
-            value, end = _decoder.raw_decode(text, at)
+            value, end = decoder.raw_decode(text, at)
             # The object must end exactly at the balancing brace.
             if end == pairs[at] + 1:
                 return json.dumps(value, ensure_ascii=False, separators=(",", ":")), ""

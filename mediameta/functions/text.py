@@ -7,7 +7,7 @@ treatment before a number is read: they are no numbers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # All characters a bare ``str.strip()`` removes.
@@ -47,26 +47,26 @@ def number(c: Column) -> Column:
     return F.regexp_extract(strip_quotes(c), _NUMBER, 0).try_cast("double")
 
 
-def int_or_null(c: Column, x: Column) -> Column:
-    """BIGINT of a raw text and its ``number``, when within tolerance of an integer, else null.
+def to_nullable_int(c: Column) -> Column:
+    """BIGINT for texts within tolerance of an integer, else null.
 
-    Digits convert directly, so values above 2^53 stay exact; other numbers
-    round half-even. Infinite and too large values are null.
+    Rounds half-even. From 2^53 on, where DOUBLE has gaps, plain digits convert
+    directly. Infinite and too large values are null. The number is bound by a
+    one-element array, so it is parsed once even where a pushed-down filter
+    repeats the expression.
     """
     digits = F.regexp_extract(strip_quotes(c), _INTEGER, 0)
-    r = F.rint(x)
-    near = F.abs(x - r) <= ABSOLUTE_TOLERANCE + RELATIVE_TOLERANCE * F.abs(r)
-    return F.coalesce(digits.try_cast("bigint"), F.when(near, r.try_cast("bigint")))
 
+    def rounded(x: Column) -> Column:
+        r = F.rint(x)
+        near = F.abs(x - r) <= ABSOLUTE_TOLERANCE + RELATIVE_TOLERANCE * F.abs(r)
+        # A failing cast raises and catches an exception, so only huge values meet one.
+        exact = F.when(F.abs(r) < 2.0**53, r.cast("bigint")).otherwise(
+            F.coalesce(digits.try_cast("bigint"), F.when(F.abs(r) < 2.0**63, r.cast("bigint")))
+        )
+        return F.when(near, exact)
 
-def to_nullable_int(df: DataFrame, *columns: str) -> DataFrame:
-    """Replace text columns by BIGINT, see ``int_or_null``.
-
-    The rounding uses the number several times; a projection of its own parses it once.
-    """
-    x = {c: f"_x_{c}" for c in columns}
-    parsed = df.withColumns({x[c]: number(F.col(c)) for c in columns})
-    return parsed.withColumns({c: int_or_null(F.col(c), F.col(x[c])) for c in columns}).drop(*x.values())
+    return F.element_at(F.transform(F.array(number(c)), rounded), 1)
 
 
 def to_confidence(c: Column, default: float = 0.0) -> Column:

@@ -10,14 +10,14 @@ from mediameta.schema import canonical
 
 
 def clean_metadata(raw: DataFrame) -> DataFrame:
-    """From seven texts to the typed table; ``row_id`` is kept."""
-    df = to_nullable_int(canonical(raw), "season", "episode")
+    """One projection from seven texts to the typed table; ``row_id`` is kept."""
+    df = canonical(raw)
     return df.select(
         *(["row_id"] if "row_id" in df.columns else []),
         clean_text(F.col("name")).alias("name"),
         clean_text(F.col("show_name")).alias("show_name"),
-        "season",
-        "episode",
+        to_nullable_int(F.col("season")).alias("season"),
+        to_nullable_int(F.col("episode")).alias("episode"),
         clean_text(F.col("reasoning")).alias("reasoning"),
         to_confidence(F.col("confidence")).alias("confidence"),
         normalize_crc(F.col("crc_hash")).alias("crc_hash"),

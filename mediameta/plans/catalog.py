@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,6 @@ from mediameta.functions.checks import validate_objects
 from mediameta.operators import attempts, clean, examples, generate, profile, quality, score, split
 from mediameta.plans.derive import derived, spread, table
 from mediameta.schema import RAW_COLUMNS, Params, canonical
-from mediameta.session import tune
 from mediameta.sources import tables
 from mediameta.sources.rowid import with_row_id
 from mediameta.sources.storage import scratch_path
@@ -32,11 +30,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(f: Query) -> Query:
-    @wraps(f)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return f(tune(spark), sf_dir)
-
-    QUERIES[f.__name__] = run
+    QUERIES[f.__name__] = f
     return f
 
 
@@ -65,7 +59,7 @@ def schema_canonical(spark, sf_dir):
 @query
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    tables.write_labelled_csv(_raw(spark, sf_dir).repartition(8, "row_id"), path)
+    tables.write_labelled_csv(_raw(spark, sf_dir), path)
     return clean.clean_metadata(tables.read_labelled_csv(spark, path, key="row_id"))
 
 
@@ -97,8 +91,9 @@ def clean_text(spark, sf_dir):
 
 @query
 def to_nullable_int(spark, sf_dir):
-    raw = _raw(spark, sf_dir).select("row_id", "season", "episode")
-    return text.to_nullable_int(raw, "season", "episode")
+    return _raw(spark, sf_dir).select(
+        "row_id", *[text.to_nullable_int(F.col(c)).alias(c) for c in ("season", "episode")]
+    )
 
 
 @query

@@ -117,7 +117,7 @@ def run_manifest(
     import json
 
     now = F.lit(timestamp) if timestamp else F.date_format(
-        F.convert_timezone(F.lit(None), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")),
+        F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")),
         "yyyy-MM-dd'T'HH:mm:ss'Z'",
     )
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
