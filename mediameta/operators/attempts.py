@@ -15,7 +15,7 @@ NO_ATTEMPTS = "no generation attempts: max_retries <= 0"
 def judge_attempts(df: DataFrame, *, require_episode: bool = True) -> DataFrame:
     """Add ``obj``, ``errors`` and ``ok`` to each attempt's ``decoded`` text.
 
-    An empty object stays out of the record, like a text without an object.
+    An empty object fails, like a text without an object.
     """
     found = extract_json(df, "decoded", "obj", retry=False)
     checked = validate_objects(found, "obj", "errors", require_episode=require_episode)

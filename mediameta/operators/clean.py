@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediameta.functions.text import clean_text, normalize_crc, to_confidence, to_nullable_int
 from mediameta.schema import canonical
+from mediameta.sources.tables import read_labelled_csv
 
 
 def clean_metadata(raw: DataFrame) -> DataFrame:
@@ -24,6 +25,11 @@ def clean_metadata(raw: DataFrame) -> DataFrame:
     )
 
 
+def load_clean(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The cleaned table of a labelled CSV; options as for ``read_labelled_csv``."""
+    return clean_metadata(read_labelled_csv(spark, path, **options))
+
+
 def require_episode(df: DataFrame) -> DataFrame:
     """Rows with an episode."""
     return df.filter(F.col("episode").isNotNull())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Callable, Iterator, Sequence
 
@@ -86,8 +87,6 @@ def _rounds(prompts: list[str], generate: Generator, schedule, require_episode:
 
 def object_errors_of(obj: dict, require_episode: bool) -> list[str]:
     """The checks of ``functions.checks.object_errors`` for one object inside a generation task."""
-    import re
-
     crc, confidence = obj.get("crc_hash"), obj.get("confidence")
     numeric = isinstance(confidence, int | float)
     keys = list(obj)

@@ -66,24 +66,28 @@ def first_by_hash(df: DataFrame, row_id: str, seed: int, rank: Callable[[Column]
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
-    """One row with the array ``q``: exact quantiles with linear interpolation, nulls ignored.
+    """One row with the array ``q``: exact quantiles with linear interpolation.
 
-    Equal values collapse to one counted row first, so a hot value costs
-    nothing. A histogram of at most 65,537 buckets finds the buckets that hold
-    the wanted ranks; only these few buckets are then ordered.
+    Nulls are ignored, other values must be finite. Equal values collapse to
+    one counted row first, so a hot value costs nothing. A histogram of at most
+    65,537 buckets between the extremes finds the buckets that hold the wanted
+    ranks, at most two per probability. A second histogram between the extremes
+    of each such bucket takes care of outliers. Only what is left is ordered.
     """
-    counts = (
+    rows = (
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(value).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    limits = counts.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("s")).scalar()
-    width = F.nullif(limits["hi"] - limits["lo"], F.lit(0.0))
-    bucket = F.coalesce(F.floor((F.col("v") - limits["lo"]) / width * _BUCKETS), F.lit(0))
-    bucketed = counts.withColumn("b", bucket)
+    limits = rows.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("s")).scalar()
+    exact = [(F.col("total") - 1) * F.lit(float(p)) for p in probs]
+    places = [r for h in exact for r in (F.floor(h), F.ceil(h))]
+    held = _any([(F.col("before") <= r) & (r < F.col("before") + F.col("bn")) for r in places])
+
+    placed = rows.withColumn("b", _bucket(limits["lo"], limits["hi"]))
     running = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = (
-        bucketed.groupBy("b")
+        placed.groupBy("b")
         .agg(F.sum("n").alias("bn"))
         .select(
             "b",
@@ -92,15 +96,22 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> DataFr
             F.sum("bn").over(Window.partitionBy()).alias("total"),
         )
     )
-    exact = [(F.col("total") - 1) * F.lit(float(p)) for p in probs]
-    places = [r for h in exact for r in (F.floor(h), F.ceil(h))]
-    held = [(F.col("before") <= r) & (r < F.col("before") + F.col("bn")) for r in places]
-    # At most two buckets per probability are left, so this side is tiny.
-    wanted = hist.filter(_any(held)).select("b", "before", "total")
-    running = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = bucketed.join(F.broadcast(wanted), "b").select(
-        "v", "n", "total", (F.col("before") + F.sum("n").over(running) - F.col("n")).alias("start")
+    wanted = hist.filter(held).select("b", "before", "total")
+    rows = placed.join(F.broadcast(wanted), "b").withColumnRenamed("b", "g")
+
+    limits = rows.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    placed = rows.join(F.broadcast(limits), "g").withColumn("b", _bucket(F.col("lo"), F.col("hi")))
+    running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = (
+        placed.groupBy("g", "b", "before", "total")
+        .agg(F.sum("n").alias("bn"))
+        .withColumn("before", F.col("before") + F.sum("bn").over(running) - F.col("bn"))
     )
+    wanted = hist.filter(held).select("g", "b", "before")
+    rows = placed.drop("before").join(F.broadcast(wanted), ["g", "b"])
+
+    running = Window.partitionBy("g", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = rows.select("v", "n", "total", (F.col("before") + F.sum("n").over(running) - F.col("n")).alias("start"))
     at = [
         F.max(F.when((F.col("start") <= r) & (r < F.col("start") + F.col("n")), F.col("v"))).alias(f"x{i}")
         for i, r in enumerate(places)
@@ -112,6 +123,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> DataFr
     return inside.agg(*at, F.max("total").alias("total")).select(F.array(*quantiles).alias("q"))
 
 
+def _bucket(lo: Column, hi: Column) -> Column:
+    """The histogram bucket of ``v`` between two extremes; 0 when they are equal."""
+    return F.coalesce(F.floor((F.col("v") - lo) / F.nullif(hi - lo, F.lit(0.0)) * _BUCKETS), F.lit(0))
+
+
 def _any(conditions: Sequence[Column]) -> Column:
     out = conditions[0]
     for c in conditions[1:]:

@@ -41,20 +41,14 @@ def with_name_count(
         .limit(HOT_NAMES)
         .select(F.col(name).alias("_hot_name"), F.col("_n").alias("_hot_n"))
     )
-    cold = repeated.select(
-        F.col(name).alias("_cold_name"), F.lit(0).alias("_cold_salt"), F.col("_n").alias("_cold_n")
-    )
-    spread = ["row_id"] if "row_id" in df.columns else df.columns
+    cold = repeated.select(F.col(name).alias("_cold_name"), F.col("_n").alias("_cold_n"))
     marked = df.join(F.broadcast(hot), F.col(name).eqNullSafe(F.col("_hot_name")), "left")
-    salted = marked.withColumn(
-        "_salt",
-        F.when(F.col("_hot_n").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*spread), F.lit(HOT_SALTS))),
-    )
-    joined = salted.join(
-        cold,
-        F.col(name).eqNullSafe(F.col("_cold_name")) & (F.col("_salt") == F.col("_cold_salt")),
-        "left",
-    )
+    is_cold = F.col("_hot_n").isNull()
+    spread = ["row_id"] if "row_id" in df.columns else df.columns
+    salt = F.pmod(F.xxhash64(*spread), F.lit(HOT_SALTS)).cast("string")
+    keyed = marked.withColumn("_key", F.when(is_cold, F.col(name)).otherwise(salt))
+    # A salt that happens to equal a name is kept from matching by the second condition.
+    joined = keyed.join(cold, F.col("_key").eqNullSafe(F.col("_cold_name")) & is_cold, "left")
     return joined.select(*df.columns, F.coalesce("_hot_n", "_cold_n", F.lit(1)).cast("bigint").alias(out))
 
 

@@ -43,6 +43,11 @@ def sample_rows(df: DataFrame, n: int = 5, *, seed: int = 14789, row_id: str = "
     return df.orderBy(order_key(F.col(row_id), seed), row_id).limit(n)
 
 
+def short_run(df: DataFrame, n: int = 1, row_id: str = "row_id") -> DataFrame:
+    """The first rows by id, to try a model on."""
+    return df.orderBy(row_id).limit(n)
+
+
 def pack_sequences(
     df: DataFrame,
     length: Column,

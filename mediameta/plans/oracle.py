@@ -140,8 +140,6 @@ def _extracted(source: str, column: str, key: str = "id", retry: bool = True) ->
     picked = (
         "list_filter(cands, lambda x: x.c IS NULL OR x.ok)[1]" if retry else "cands[1]"
     )
-    valid = _VALID.replace("(c)", "(substr(u, bp[i], bp[j]-bp[i]+1))").replace("(c,", "(substr(u, bp[i], bp[j]-bp[i]+1),")
-    del valid
     return f"""(SELECT {key}, u,
       CASE WHEN hit.c IS NOT NULL AND hit.ok THEN hit.c END AS obj,
       CASE WHEN u IS NULL OR len(cands) = 0 THEN 'none' WHEN hit.ok THEN 'found'

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
@@ -93,8 +94,6 @@ def canonical(df: DataFrame, row_id: str | None = "row_id") -> DataFrame:
     renamed = df.toDF(*normalize_header(df.columns))
     extra = [c for c in require_columns(renamed.columns) if c != row_id]
     if extra:
-        import warnings
-
         warnings.warn(f"ignoring extra columns: {extra}", stacklevel=2)
     keys = [row_id] if row_id and row_id in renamed.columns else []
     return renamed.select(*keys, *RAW_COLUMNS)

@@ -38,7 +38,8 @@ def with_row_id(df: DataFrame, key: str | None = None) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.min("_place").alias("first"))
         .select(*piece, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     )
-    # The size of the offsets decides at run time between broadcast and shuffle.
+    # The size of the offsets decides at run time between broadcast and shuffle; in a
+    # shuffle, adaptive execution splits a piece that is far larger than the others.
     return stored.join(offsets, piece).select(
         (F.col("offset") + F.col("_place") - F.col("first")).alias("row_id"), *df.columns
     )

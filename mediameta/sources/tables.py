@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import warnings
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mediameta.functions.render import template_parts
-from mediameta.schema import normalize_header, require_columns
+from mediameta.schema import RAW_COLUMNS, normalize_header, require_columns
 from mediameta.sources.rowid import with_row_id
 
 _OVERFLOW = "__overflow"
@@ -39,8 +42,6 @@ def read_labelled_csv(
     wanted = [key.strip().lower()] if key else []
     extra = [c for c in require_columns(header) if c not in wanted]
     if extra:
-        import warnings
-
         warnings.warn(f"ignoring extra columns: {extra}", stacklevel=2)
 
     # One column more than the header catches fields that would be cut silently.
@@ -48,8 +49,6 @@ def read_labelled_csv(
     rows = spark.read.options(**options, columnPruning=False).schema(schema).csv(path)
     numbered = with_row_id(rows, *wanted)
     overflow = F.col(_OVERFLOW).isNotNull()
-    from mediameta.schema import RAW_COLUMNS
-
     if long_rows == "mark":
         return numbered.select("row_id", *RAW_COLUMNS, overflow.alias("overflow"))
     message = F.concat(F.lit("row with more fields than the header: "), F.col("row_id").cast("string"))
@@ -101,8 +100,6 @@ def _checked_template(template: str) -> str:
 
 
 def _small_text(spark: SparkSession, path: str) -> str:
-    from pyspark.errors import AnalysisException
-
     try:
         rows = spark.read.text(path, wholetext=True).take(1)
     except AnalysisException as e:
@@ -114,8 +111,6 @@ def run_manifest(
     df: DataFrame, config: Mapping[str, object], version: str = "unknown", timestamp: str | None = None
 ) -> DataFrame:
     """One row: code version, UTC time, configuration as JSON, and the row count of ``df``."""
-    import json
-
     now = F.lit(timestamp) if timestamp else F.date_format(
         F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")),
         "yyyy-MM-dd'T'HH:mm:ss'Z'",

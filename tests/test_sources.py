@@ -3,7 +3,8 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 
-from mediameta.operators.clean import clean_metadata
+from mediameta.operators.clean import clean_metadata, load_clean
+from mediameta.operators.split import short_run
 from mediameta.plans.derive import derived
 from mediameta.schema import RAW_COLUMNS, Params
 from mediameta.sources import tables
@@ -24,6 +25,8 @@ def test_basic(spark, tmp_path):
         raw = tables.read_labelled_csv(spark, path)
     assert raw.columns == ["row_id", *RAW_COLUMNS]
     r = clean_metadata(raw).first()
+    with pytest.warns(UserWarning, match="extra"):
+        assert load_clean(spark, path).first() == r
     assert (r.row_id, r.name, r.episode, r.confidence, r.crc_hash) == (0, "a.mkv", 2, 0.9, "ABCDEF12")
 
 
@@ -98,7 +101,9 @@ def test_training_text_sink(spark, tmp_path):
 def test_filenames(spark, tmp_path):
     path = write(tmp_path, "a b.mkv\n\n[x] ü.mkv\n", "names.txt")
     assert [r.name for r in tables.read_filenames(spark, path).orderBy("row_id").collect()] == ["a b.mkv", "[x] ü.mkv"]
-    assert [tuple(r) for r in tables.read_filenames(spark, ["p", "q"]).collect()] == [(0, "p"), (1, "q")]
+    listed = tables.read_filenames(spark, ["p", "q"])
+    assert [tuple(r) for r in listed.collect()] == [(0, "p"), (1, "q")]
+    assert [r.name for r in short_run(listed).collect()] == ["p"]
 
 
 def test_templates(spark, tmp_path):
