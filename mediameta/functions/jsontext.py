@@ -70,17 +70,38 @@ def _depths(braces: Column) -> Column:
     )
 
 
-def _close_of(depths: Column, i: Column) -> Column:
-    """Index of the brace that closes the opening brace ``i``; null when none does."""
-    hop = F.array_position(
-        F.slice(depths, i + 1, F.size(depths)), F.element_at(depths, i) - 1
-    )
-    return F.when(hop > 0, i + hop.cast("int"))
+def _with_spans(df: DataFrame, needed: Column, text: Column, out: str) -> DataFrame:
+    """Add ``out``, where needed: (start, end) per opening brace in text order; end is null if it stays open.
+
+    Braces that cross the same level alternate between opening and closing. So
+    after sorting by (level, place) the brace behind an opening one of the same
+    level closes it. Every step is a projection of its own, as lambda bodies
+    would compute its input again for every element.
+    """
+    pos, braces, depth, level = (f"{out}_{s}" for s in ("pos", "braces", "depth", "level"))
+    P, S = F.col(pos), F.col(level)
+    work = df.withColumn(pos, F.when(needed, _brace_positions(text)))
+    work = work.withColumn(braces, F.when(P.isNotNull(), F.regexp_replace(text, r"[^{}]+", "")))
+    work = work.withColumn(depth, F.when(P.isNotNull(), _depths(F.col(braces))))
+
+    def placed(p: Column, i: Column) -> Column:
+        after = F.get(F.col(depth), i)
+        return F.struct(F.when(p > 0, after).otherwise(after + 1).alias("level"), F.abs(p).alias("at"), (p > 0).alias("opens"))
+
+    work = work.withColumn(level, F.sort_array(F.transform(P, placed)))
 
+    def span(s: Column, i: Column) -> Column:
+        following = F.get(S, i + 1)
+        end = F.when(following["level"] == s["level"], following["at"])
+        return F.when(s["opens"], F.struct(s["at"].alias("start"), end.alias("end")))
 
-def _between(text: Column, positions: Column, i: Column, j: Column) -> Column:
-    start = F.element_at(positions, i)
-    return F.substr(text, start, -F.element_at(positions, j) - start + 1)
+    work = work.withColumn(out, F.sort_array(F.array_compact(F.transform(S, span))))
+    return work.drop(pos, braces, depth, level)
+
+
+def _inside(text: Column, span: Column) -> Column:
+    """The text of a span; null for an open one."""
+    return F.substr(text, span["start"], span["end"] - span["start"] + 1)
 
 
 def _bind(value: Column, body) -> Column:
@@ -88,27 +109,24 @@ def _bind(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _scan(text: Column, positions: Column, depths: Column) -> Column:
+def _scan(text: Column, spans: Column) -> Column:
     """First parseable candidate in order of start, ended by the first open one."""
 
     def state(code: int, obj: Column) -> Column:
         return F.struct(F.lit(code).alias("code"), obj.cast("string").alias("obj"))
 
-    def attempt(i: Column) -> Column:
+    def attempt(span: Column) -> Column:
         return _bind(
-            _between(text, positions, i, _close_of(depths, i)),
+            _inside(text, span),
             lambda c: F.when(c.isNull(), state(_UNBALANCED, F.lit(None)))
             .when(parses(c), state(_FOUND, c))
             .otherwise(state(_SEEKING, F.lit(None))),
         )
 
-    starts = F.filter(
-        F.sequence(F.lit(1), F.size(positions)), lambda i: F.element_at(positions, i) > 0
-    )
     return F.aggregate(
-        starts,
+        spans,
         state(_SEEKING, F.lit(None)),
-        lambda acc, i: F.when(acc["code"] == _SEEKING, attempt(i)).otherwise(acc),
+        lambda acc, span: F.when(acc["code"] == _SEEKING, attempt(span)).otherwise(acc),
     )
 
 
@@ -141,7 +159,7 @@ def extract_json(
     if mode != "native":
         raise ValueError(f"unknown mode: {mode}")
 
-    u, flat, flat_ok, pos, depth, found = (f"_{out}_{s}" for s in ("u", "flat", "ok", "pos", "depth", "found"))
+    u, flat, flat_ok, spans, found = (f"_{out}_{s}" for s in ("u", "flat", "ok", "spans", "found"))
     U = F.col(u)
     work = df.withColumn(u, after_assistant_tag(F.col(text)) if after_tag else F.col(text))
     work = work.withColumn(flat, F.nullif(F.regexp_extract(U, _FLAT_FIRST, 1), F.lit("")))
@@ -149,17 +167,13 @@ def extract_json(
     # With a single try a flat first object decides the outcome either way.
     decided = F.col(flat_ok) if retry else F.col(flat).isNotNull()
     general = ~decided & U.contains("{")
-    work = work.withColumn(pos, F.when(general, _brace_positions(U)))
-    work = work.withColumn(
-        depth,
-        F.when(F.col(pos).isNotNull(), _depths(F.regexp_replace(U, r"[^{}]+", ""))),
-    )
-    P, D = F.col(pos), F.col(depth)
+    work = _with_spans(work, general, U, spans)
+    P = F.col(spans)
     if retry:
-        scan = _scan(U, P, D)
+        scan = _scan(U, P)
     else:
-        first = F.array_position(F.transform(P, lambda p: p > 0), True).cast("int")
-        only = _between(U, P, first, _close_of(D, first))
+        work = work.withColumn(found, _inside(U, F.element_at(P, 1)))
+        only = F.col(found)
         scan = F.struct(
             F.when(only.isNull(), _UNBALANCED).when(parses(only), _FOUND).otherwise(_SEEKING).alias("code"),
             only.alias("obj"),
@@ -177,21 +191,17 @@ def extract_json(
         .when(code == _SEEKING, errors["parse"])
         .otherwise(errors["none"])
     )
-    return work.withColumns({out: obj, f"{out}_error": error}).drop(u, flat, flat_ok, pos, depth, found)
+    return work.withColumns({out: obj, f"{out}_error": error}).drop(u, flat, flat_ok, spans, found)
 
 
 def balanced_prefix_length(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add the length of the shortest prefix in which the first opened brace closes, else null."""
-    pos, depth, flat = f"_{out}_pos", f"_{out}_depth", f"_{out}_flat"
-    U, P, D = F.col(text), F.col(pos), F.col(depth)
+    spans, flat = f"_{out}_spans", f"_{out}_flat"
+    U = F.col(text)
     work = df.withColumn(flat, F.nullif(F.length(F.regexp_extract(U, _FLAT_FIRST, 0)), F.lit(0)))
-    work = work.withColumn(pos, F.when(F.col(flat).isNull() & U.contains("{"), _brace_positions(U)))
-    work = work.withColumn(
-        depth, F.when(P.isNotNull(), _depths(F.regexp_replace(U, r"[^{}]+", "")))
-    )
-    first = F.array_position(F.transform(P, lambda p: p > 0), True).cast("int")
-    end = -F.element_at(P, _close_of(D, first))
-    return work.withColumn(out, F.coalesce(F.col(flat), end)).drop(pos, depth, flat)
+    work = _with_spans(work, F.col(flat).isNull() & U.contains("{"), U, spans)
+    end = F.element_at(F.col(spans), 1)["end"]
+    return work.withColumn(out, F.coalesce(F.col(flat), end)).drop(spans, flat)
 
 
 def truncate_completion(df: DataFrame, text: str, out: str = "truncated", *, stop_on_tags: bool = True) -> DataFrame:
