@@ -88,19 +88,20 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> DataFr
     running = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = (
         placed.groupBy("b")
-        .agg(F.sum("n").alias("bn"))
+        .agg(F.sum("n").alias("bn"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         .select(
             "b",
             "bn",
+            "lo",
+            "hi",
             (F.sum("bn").over(running) - F.col("bn")).alias("before"),
             F.sum("bn").over(Window.partitionBy()).alias("total"),
         )
     )
-    wanted = hist.filter(held).select("b", "before", "total")
+    wanted = hist.filter(held).drop("bn")
     rows = placed.join(F.broadcast(wanted), "b").withColumnRenamed("b", "g")
 
-    limits = rows.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    placed = rows.join(F.broadcast(limits), "g").withColumn("b", _bucket(F.col("lo"), F.col("hi")))
+    placed = rows.withColumn("b", _bucket(F.col("lo"), F.col("hi"))).drop("lo", "hi")
     running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = (
         placed.groupBy("g", "b", "before", "total")
