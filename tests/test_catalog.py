@@ -4,9 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from mediameta.plans.catalog import QUERIES
+from mediameta.plans.oracle import ORACLE
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
 # These run Python by design.
 PYTHON = {"batch_generate", "decode_tokens", "extract_json_python"}
 
@@ -47,3 +48,4 @@ def test_entry(spark, sf_dir):
     df = entry_points.entry(spark)
     assert df.columns == ["row_id", "text"] and not df.isEmpty()
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
