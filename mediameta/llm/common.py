@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mediameta.sources.storage import scratch_path
+
 # White space and words of the corpus contracts.
 SPACES = r"[\x20\x09-\x0D]+"
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -17,10 +17,7 @@ HOT_SHARE = 1000
 
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return scratch_path(spark, label)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -30,11 +27,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def pick(df: DataFrame, *names: str) -> DataFrame:
-    """These columns alone, by position, so that further columns of any name do no harm."""
-    return df.select(*[df[n] for n in names])
-
-
 def look_up(rows: DataFrame, index: DataFrame, key: str, count: str) -> DataFrame:
     """Inner join of ``rows`` with ``index``, which has one row per key and the key's number of rows in ``count``.
 
