@@ -23,6 +23,8 @@ REMEMBERED = 400_000
 
 def load(tokenizer: str):
     """The tokenizer in this file, or the public one of this name. Strings of special tokens are ordinary text."""
+    # Units are short: a thread each costs more than it gives, and Spark's tasks have the cores already.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     if not os.path.exists(tokenizer):
