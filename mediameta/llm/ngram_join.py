@@ -1,8 +1,10 @@
 """Operator 9, n-gram Jaccard join: a blocked sparse product of the document by n-gram incidence with its transpose.
 
 Documents with equal sets are one class, and one row of the matrix. Two sets of at least ``t`` similarity share a column
-among the first ``n - ceil(t n) + 1`` of each, whatever the common order of the columns; frequent ones are ordered last, so
-passages that many documents share start no pairs. Only columns with two classes count. Three steps find all components:
+among the first ``n - ceil(t n) + 1`` of each, whatever the common order of the columns. Columns that occur once come first
+and frequent ones last, so a passage that some documents share starts no pairs. What orders the columns are counts of all
+n-grams, kept by the tasks as a sieve of fixed size and the ranks of the most frequent; errors there cost time and no result.
+Only columns with two classes count. Three steps find all components:
 
 1. Every class is paired with the least class of each of its columns, a number of pairs in proportion to the columns.
 2. Columns whose classes are then in one component are done. The rest is multiplied in blocks: within a block of classes of
@@ -16,63 +18,70 @@ N-grams are 64-bit hashes; two different ones in a pair of documents meet with a
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from fractions import Fraction
 from math import ceil
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediameta.llm.common import WORDS, look_up, written
+from mediameta.llm.common import look_up, written
 from mediameta.llm.components import components
 
 #: Production parameters: words per n-gram, threshold.
 N = 5
 THRESHOLD = Fraction(3, 4)
-#: Frequent n-grams that the tasks know by rank (a broadcast of 2 MB); any others are ordered by hash, which is as right.
+#: Frequent n-grams that the tasks know by rank (a broadcast of 2 MB); the others are known as repeated or not.
 FREQUENT = 1 << 17
-#: N-grams counted in a task's memory before those seen once are let go.
-COUNTED = 1 << 22
+#: N-grams a task sorts at a time when it counts, and how often it tells of one of them.
+COUNTED, TOLD = 1 << 22, 8
 #: Bits of the sieves that keep back what cannot match; a sieve that is too full only keeps back less.
-SIEVE = 1 << 26
+SIEVE = 1 << 27
 #: Classes in a block.
 BLOCK = 1024
 #: Rows of a block multiplied together.
 STRIP = 256
 
-WORD = re.compile(WORDS)
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Words whose hashes a task remembers.
+REMEMBERED = 400_000
 
 
-def shingler(n: int):
-    """A function from a text to the sorted hashes of its distinct n-grams; of a shorter text, of all its words."""
-    import xxhash
+class WordHashes(dict):
+    """64-bit hash of each word; a word is hashed when it is first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
 
-    known: dict[str, int] = {}
-    factors = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(n)], np.uint64)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+def shingler(n: int):
+    """A function from a text to the sorted hashes of its distinct n-grams; of a shorter text, of all its words.
 
-    def mixed(h: np.ndarray) -> np.ndarray:
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ (h >> np.uint64(29))
+    On UTF-8 bytes, lower-casing takes A-Z alone and splitting the six white-space characters of the contract.
+    """
+    hash_of = WordHashes().__getitem__
+    factor, spread = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 
     def grams(text: str | None) -> np.ndarray:
-        words = WORD.findall((text or "").translate(LOWER) if not (text or "").isascii() else (text or "").lower())
+        words = (text or "").encode(errors="surrogatepass").lower().split()
         if not words:
             return np.empty(0, np.int64)
-        if len(known) > 1 << 19:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(hash_of, words), np.uint64, len(words))
         size = min(n, len(words))
-        total = np.full(len(words) - size + 1, size, np.uint64)
-        for i in range(size):
-            total = mixed(total + h[i : len(h) - size + 1 + i] * factors[i])
+        last = len(h) - size + 1
+        total = h[:last] + np.uint64(size)
+        for i in range(1, size):
+            total *= factor
+            total ^= total >> spread
+            total += h[i : last + i]
+        total *= factor
+        total ^= total >> spread
         return np.unique(total).view(np.int64)
 
     return grams
@@ -86,73 +95,79 @@ def class_of(grams: np.ndarray) -> tuple[int, bytes]:
     return int.from_bytes(digest[:8], "little", signed=True), digest
 
 
-class Counter:
-    """Counts of n-grams in bounded memory; those that are let go make counts too low, never too high."""
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
 
-    def __init__(self) -> None:
-        self.parts: list[np.ndarray] = []
-        self.size = 0
-        self.keys, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def add(self, grams: np.ndarray) -> None:
-        self.parts.append(grams)
-        self.size += len(grams)
-        if self.size > COUNTED:
-            self.merge()
-            if len(self.keys) > COUNTED:
-                often = self.counts > 1
-                self.keys, self.counts = self.keys[often], self.counts[often]
+def slot_bits(texts: DataFrame) -> int:
+    """How many leading bits of the hashes name a slot, so that about ``2 ** 20`` n-grams fall in one."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(24, max(4, (size // 6 >> 20).bit_length()))
 
-    def merge(self) -> None:
-        keys, counts = np.unique(np.concatenate([*self.parts, np.empty(0, np.int64)]), return_counts=True)
-        every = np.concatenate([self.keys, keys])
-        self.keys, back = np.unique(every, return_inverse=True)
-        self.counts = np.bincount(back, np.concatenate([self.counts, counts]), len(self.keys)).astype(np.int64)
-        self.parts, self.size = [], 0
 
+def repeated(texts: DataFrame, n: int, bits: int) -> DataFrame:
+    """Rows (prefix, times): the leading ``bits + 32`` bits of n-grams that occur twice or more, and a count of them.
 
-def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    The counts are too low for n-grams that a task sees more than ``TOLD`` times at a time, so none fills a slot. Tasks send
+    their n-grams sorted, as 32 bits each, in one row per slot.
+    """
+    rest = np.uint64(32 - bits)
 
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams_of, seen = shingler(n), set()
+        parts: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal parts, size
+            keys, counts = np.unique(np.concatenate([*parts, np.empty(0, np.int64)]).view(np.uint64) >> rest, return_counts=True)
+            keys = np.repeat(keys, np.minimum(counts, TOLD))
+            slots = (keys >> np.uint64(32)).astype(np.int32)
+            low = keys.astype(np.uint32)
+            edges = np.flatnonzero(np.r_[True, slots[1:] != slots[:-1]]) if len(keys) else np.empty(0, int)
+            blobs = [low[a:b].tobytes() for a, b in zip(edges, [*edges[1:], len(keys)], strict=True)] if len(keys) else []
+            parts, size = [], 0
+            return pa.record_batch([pa.array(slots[edges], pa.int32()), pa.array(blobs, pa.binary())], names=["slot", "low"])
+
+        for batch in batches:
+            for text in batch.column(1).to_pylist():
+                grams = grams_of(text)
+                if not len(grams) or (cls := class_of(grams)[0]) in seen:
+                    continue
+                if len(seen) < COUNTED:
+                    seen.add(cls)
+                parts.append(grams)
+                size += len(grams)
+                if size >= COUNTED:
+                    yield flush()
+        yield flush()
 
-def survey(texts: DataFrame, n: int) -> DataFrame:
-    """One pass: a row (doc_id, n_shingles, cls, digest) per document, and rows (gram, times) for what a task saw often.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot, held = None, []
 
-    cls is null for documents without words.
-    """
+        def close() -> pa.RecordBatch:
+            keys, counts = np.unique(np.frombuffer(b"".join(held), np.uint32), return_counts=True)
+            twice = counts > 1
+            prefix = (np.int64(slot or 0) << np.int64(32)) | keys[twice].astype(np.int64)
+            return pa.record_batch([pa.array(prefix), pa.array(counts[twice].astype(np.int64))], names=["prefix", "times"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams_of, counter, seen = shingler(n), Counter(), set()
-        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("digest", pa.binary()), ("gram", pa.int64()), ("times", pa.int64())])
         for batch in batches:
-            rows = []
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                grams = grams_of(text)
-                cls, digest = class_of(grams) if len(grams) else (None, None)
-                rows.append((name, len(grams), cls, digest))
-                if cls is not None and cls not in seen:
-                    if len(seen) < COUNTED:
-                        seen.add(cls)
-                    counter.add(grams)
-            columns = [pa.array(c, f.type) for c, f in zip(list(zip(*rows, strict=True)) or [[]] * 4, schema, strict=False)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64())], schema=schema)
-        counter.merge()
-        often = counter.counts > 1
-        keys, counts = counter.keys[often], counter.counts[often]
-        for a in range(0, len(keys), 10_000):
-            m = len(keys[a : a + 10_000])
-            none = [pa.nulls(m, f.type) for f in list(schema)[:4]]
-            yield pa.RecordBatch.from_arrays([*none, pa.array(keys[a : a + m]), pa.array(counts[a : a + m])], schema=schema)
-
-    return texts.mapInArrow(run, "doc_id long, n_shingles long, cls long, digest binary, gram long, times long")
-
-
-def sieve(values: DataFrame, column: str, bits: int = SIEVE) -> np.ndarray:
-    """A bit set of the column's values by their low bits: at most ``bits / 64`` rows come to the driver."""
-    low = F.col(column).bitwiseAND(F.lit(bits - 1))
-    word = values.select(F.shiftright(low, 6).alias("w"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("b"))
-    rows = word.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(bits // 64, np.int64)
+            for s, low in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if s != slot:
+                    yield close()
+                    slot, held = s, []
+                held.append(low)
+        yield close()
+
+    sent = texts.mapInArrow(send, "slot int, low binary")
+    return sent.repartition("slot").sortWithinPartitions("slot").mapInArrow(count, "prefix long, times long")
+
+
+def sieve(values: DataFrame, columns: list, size: int = SIEVE) -> np.ndarray:
+    """A bit set of the columns' values modulo its size: at most ``size / 64`` rows come to the driver."""
+    at = F.explode(F.array(*[F.coalesce(c, F.lit(0)).bitwiseAND(F.lit(size - 1)) for c in columns]))
+    rows = values.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")).toArrow()
+    out = np.zeros(size // 64, np.int64)
     out[rows.column("w").to_numpy()] = rows.column("b").to_numpy()
     return out
 
@@ -162,61 +177,78 @@ def passes(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[low >> 6] >> (low & 63)) & 1 == 1
 
 
-def leading(grams: np.ndarray, frequent: np.ndarray, rank: np.ndarray, threshold: Fraction) -> np.ndarray:
-    """The set's first columns in the common order: rarer first, by hash where the count is not known."""
-    n = len(grams)
-    keep = n - ceil(threshold * n) + 1
-    at = np.searchsorted(frequent, grams)
-    at[at == len(frequent)] = 0
-    known = frequent[at] == grams if len(frequent) else np.zeros(n, bool)
-    place = np.where(known, rank[at] if len(rank) else 0, 0)
-    return grams[np.lexsort((grams, place))[:keep]]
+class Order:
+    """The common order of the columns: once, repeated, frequent by count; then by hash."""
 
+    def __init__(self, bits: int, twice: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> None:
+        self.rest = np.uint64(32 - bits)
+        self.twice, self.frequent, self.times = twice, frequent, times
 
-def columns_of(texts: DataFrame, n: int, threshold: Fraction, frequent: tuple[np.ndarray, np.ndarray], kept: np.ndarray | None = None) -> DataFrame:
-    """Rows (gram, cls, n, pos): the leading columns of each class, once per task; only those in the sieve, if given."""
+    def leading(self, grams: np.ndarray, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
+        """The set's first columns in the order, and whether each may occur elsewhere."""
+        n = len(grams)
+        prefix = (grams.view(np.uint64) >> self.rest).view(np.int64)
+        more = passes(self.twice, prefix) & passes(self.twice, prefix >> 13)
+        place = more.astype(np.int64)
+        if len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, prefix), len(self.frequent) - 1)
+            known = self.frequent[at] == prefix
+            place[known] = self.times[at[known]]
+        first = np.lexsort((grams, place))[: n - ceil(threshold * n) + 1]
+        return grams[first], more[first]
+
+
+def columns_of(texts: DataFrame, n: int, threshold: Fraction, order: Order) -> DataFrame:
+    """One pass: a row (doc_id, n, cls, digest) per document, and rows (gram, cls, n, pos) for each class's leading columns
+    that may occur elsewhere, once per task. cls is null for documents without words."""
+    kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("digest", pa.binary()), ("gram", pa.int64()), ("pos", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams_of, seen = shingler(n), set()
-        names = ["gram", "cls", "n", "pos"]
         for batch in batches:
+            rows: list[tuple] = []
             parts: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 4]
-            for text in batch.column(1).to_pylist():
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 grams = grams_of(text)
-                if not len(grams) or (cls := class_of(grams)[0]) in seen:
+                cls, digest = class_of(grams) if len(grams) else (None, None)
+                rows.append((name, len(grams), cls, digest))
+                if cls is None or cls in seen:
                     continue
                 if len(seen) < COUNTED:
                     seen.add(cls)
-                first = leading(grams, *frequent, threshold)
-                pos = np.arange(len(first))
-                if kept is not None:
-                    pos = np.flatnonzero(passes(kept, first))
-                    first = first[pos]
-                parts.append((first, np.full(len(first), cls), np.full(len(first), len(grams)), pos))
+                first, more = order.leading(grams, threshold)
+                pos = np.flatnonzero(more)
+                parts.append((first[pos], np.full(len(pos), cls), np.full(len(pos), len(grams)), pos))
+            named = [pa.array(c, f.type) for c, f in zip(list(zip(*rows, strict=True)) or [[]] * 4, kinds, strict=False)]
+            yield pa.RecordBatch.from_arrays([*named, *[pa.nulls(len(rows), pa.int64())] * 2], schema=kinds)
             for a in range(0, len(parts), 500):
-                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*parts[a : a + 500], strict=True)], names=names)
+                gram, cls_, size, pos = (pa.array(np.concatenate(c)) for c in zip(*parts[a : a + 500], strict=True))
+                none = [pa.nulls(len(gram), pa.int64()), pa.nulls(len(gram), pa.binary())]
+                yield pa.RecordBatch.from_arrays([none[0], size, cls_, none[1], gram, pos], schema=kinds)
 
-    return texts.mapInArrow(run, "gram long, cls long, n long, pos long")
+    return texts.mapInArrow(run, "doc_id long, n long, cls long, digest binary, gram long, pos long")
 
 
-def sets_of(texts: DataFrame, n: int, kept: np.ndarray) -> DataFrame:
-    """Rows (cls, grams) for classes in the sieve."""
+def sets_of(texts: DataFrame, n: int, classes: DataFrame) -> DataFrame:
+    """Rows (cls, grams) for ``classes`` (cls, doc_id: one document of each), from those documents and few others."""
+    named, wanted = sieve(classes, [F.col("doc_id")]), sieve(classes, [F.col("cls")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams_of, seen = shingler(n), set()
         for batch in batches:
-            classes, sets = [], []
+            batch = batch.filter(pa.array(passes(named, batch.column(0).fill_null(0).to_numpy())))
+            found, sets = [], []
             for text in batch.column(1).to_pylist():
                 grams = grams_of(text)
-                if not len(grams) or (cls := class_of(grams)[0]) in seen or not passes(kept, np.array([cls]))[0]:
+                if not len(grams) or (cls := class_of(grams)[0]) in seen or not passes(wanted, np.array([cls]))[0]:
                     continue
                 if len(seen) < COUNTED:
                     seen.add(cls)
-                classes.append(cls)
+                found.append(cls)
                 sets.append(grams)
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            offsets = np.concatenate([[0], np.cumsum([len(g) for g in sets])]).astype(np.int32)
             flat = np.concatenate([*sets, np.empty(0, np.int64)])
-            yield pa.record_batch([pa.array(classes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["cls", "grams"])
+            yield pa.record_batch([pa.array(found, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["cls", "grams"])
 
     return texts.mapInArrow(run, "cls long, grams array<long>")
 
@@ -226,8 +258,10 @@ def reaches(overlap, size_a, size_b, threshold: Fraction):
     return overlap * threshold.denominator >= threshold.numerator * (size_a + size_b - overlap)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold."""
+def verified(pairs: DataFrame, texts: DataFrame, n: int, classes: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs (a, b) of a written table whose whole sets reach the threshold."""
+    ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    sets = written(sets_of(texts, n, written(classes.join(ends, "cls").select("cls", "doc_id"), "ngram-wanted")), "ngram-sets")
     one = sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga"))
     two = sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb"))
     both = pairs.join(one, "a").join(two, "b")
@@ -235,7 +269,24 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFram
     return both.filter(reaches(overlap, F.size("ga"), F.size("gb"), threshold)).select("a", "b").distinct()
 
 
-def strip_pairs(rows, cls, size, comp, gram, pos, who, stops, threshold: Fraction) -> pd.DataFrame:
+def room(shared, last_a, last_b, n_a, n_b, least, most, threshold: Fraction):
+    """Whether two sets may reach the threshold: beyond their last shared leading columns all else would have to be shared."""
+    bound = shared + least(n_a - 1 - last_a, n_b - 1 - last_b)
+    return reaches(bound, n_a, n_b, threshold) & (least(n_a, n_b) * threshold.denominator >= threshold.numerator * most(n_a, n_b))
+
+
+def star_pairs(live: DataFrame, threshold: Fraction) -> DataFrame:
+    """Step 1: pairs (a, b) of each class b and the least class a of its columns, if they may reach the threshold."""
+    centre = live.filter("cls = pivot").select("gram", F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
+    each = live.filter("cls <> pivot").join(centre, "gram")
+    pairs = each.groupBy(F.col("pivot").alias("a"), F.col("cls").alias("b"), "n_a", F.col("n").alias("n_b")).agg(
+        F.count(F.lit(1)).alias("shared"), F.max("pos_a").alias("last_a"), F.max("pos").alias("last_b")
+    )
+    names = ("shared", "last_a", "last_b", "n_a", "n_b")
+    return pairs.filter(room(*map(F.col, names), F.least, F.greatest, threshold)).select("a", "b")
+
+
+def strip_pairs(rows, cls, size, comp, gram, pos, who, stops, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of these rows with all of the block, from the entries (gram, pos, who) sorted by gram, which end at ``stops``."""
     row_of = np.full(len(cls), -1)
     row_of[rows] = np.arange(len(rows))
@@ -251,36 +302,60 @@ def strip_pairs(rows, cls, size, comp, gram, pos, who, stops, threshold: Fractio
         last_a[cell] = np.maximum(last_a[cell], at[left][:, None])
         last_b[cell] = np.maximum(last_b[cell], at[None, :])
     i, j = np.nonzero((shared > 0) & (comp[rows][:, None] != comp[None, :]))
-    n_a, n_b = size[rows[i]], size[j]
-    room = shared[i, j] + np.minimum(n_a - 1 - last_a[i, j], n_b - 1 - last_b[i, j])
-    ok = reaches(room, n_a, n_b, threshold) & (np.minimum(n_a, n_b) * threshold.denominator >= threshold.numerator * np.maximum(n_a, n_b))
+    ok = room(shared[i, j], last_a[i, j], last_b[i, j], size[rows[i]], size[j], np.minimum, np.maximum, threshold)
     a, b = cls[rows[i[ok]]], cls[j[ok]]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-
-def multiply(threshold: Fraction):
-    """The product of one block with itself: pairs of different components with room for the threshold."""
-
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("cls", kind="stable").drop_duplicates("cls")
-        cls, size = block["cls"].to_numpy(), block["n"].to_numpy()
-        roots, comp, members = np.unique(block["root"].to_numpy(), return_inverse=True, return_counts=True)
-        none = pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-        if len(roots) < 2:
-            return none
-        # Rows: all that are not in the largest component. Every pair of two components has one of them.
-        rows = np.flatnonzero(comp != members.argmax())
-        lengths = np.array([len(g) for g in block["grams"]])
-        gram = np.concatenate(block["grams"].tolist())
-        pos = np.concatenate(block["at"].tolist())
-        who = np.repeat(np.arange(len(cls)), lengths)
-        order = np.lexsort((pos, gram))
-        gram, pos, who = gram[order], pos[order], who[order]
-        stops = np.flatnonzero(np.r_[gram[1:] != gram[:-1], True]) + 1
-        found = [none]
-        for strip in np.split(rows, range(STRIP, len(rows), STRIP)):
-            found.append(strip_pairs(strip, cls, size, comp, gram, pos, who, stops, threshold))
-        return pd.concat(found).drop_duplicates()
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def multiply(cls, size, root, grams: list, at: list, threshold: Fraction) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The product of one block with itself: pairs of classes of different components with room for the threshold."""
+    cls, first = np.unique(cls, return_index=True)
+    size, grams, at = size[first], [grams[i] for i in first], [at[i] for i in first]
+    roots, comp, members = np.unique(root[first], return_inverse=True, return_counts=True)
+    if len(roots) < 2:
+        return []
+    # Rows: all that are not in the largest component. Every pair of two components has one of them.
+    rows = np.flatnonzero(comp != members.argmax())
+    who = np.repeat(np.arange(len(cls)), [len(g) for g in grams])
+    gram, pos = np.concatenate(grams), np.concatenate(at)
+    order = np.argsort(gram, kind="stable")
+    gram, pos, who = gram[order], pos[order], who[order]
+    stops = np.flatnonzero(np.r_[gram[1:] != gram[:-1], True]) + 1
+    return [strip_pairs(strip, cls, size, comp, gram, pos, who, stops, threshold) for strip in np.split(rows, range(STRIP, len(rows), STRIP))]
+
+
+def block_products(threshold: Fraction):
+    """A task's blocks, one after the other, from rows (gram, i, j, cls, n, root, grams, at) sorted by the first three."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, pairs = None, [], []
+
+        def close() -> None:
+            nonlocal held
+            if len(held) > 1:
+                cls, size, root, grams, at = zip(*held, strict=True)
+                pairs.extend(multiply(np.array(cls), np.array(size), np.array(root), grams, at, threshold))
+            held = []
+
+        for batch in batches:
+            keys = list(zip(*[batch.column(c).to_pylist() for c in ("gram", "i", "j")], strict=True))
+            flat = [batch.column(c).flatten().to_numpy() for c in ("grams", "at")]
+            ends = np.cumsum(batch.column("grams").value_lengths().to_numpy())
+            rest = [batch.column(c).to_numpy() for c in ("cls", "n", "root")]
+            for k, own in enumerate(keys):
+                if own != key:
+                    close()
+                    key = own
+                a, b = (ends[k - 1] if k else 0), ends[k]
+                held.append((*[c[k] for c in rest], *[f[a:b] for f in flat]))
+            yield drained(pairs)
+        close()
+        yield drained(pairs)
+
+    def drained(pairs: list) -> pa.RecordBatch:
+        found = np.unique(np.concatenate([np.stack(p, axis=1) for p in pairs] or [np.empty((0, 2), np.int64)]), axis=0)
+        pairs.clear()
+        return pa.record_batch([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["a", "b"])
 
     return run
 
@@ -307,30 +382,29 @@ def cross_pairs(live: DataFrame, roots: DataFrame, threshold: Fraction, block: i
         "gram", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "n", "root",
         F.col("all.gram").alias("grams"), F.col("all.pos").alias("at"),
     )
-    return cells.groupBy("gram", "i", "j").applyInPandas(multiply(threshold), "a long, b long").distinct()
+    keys = ["gram", "i", "j"]
+    return cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(block_products(threshold), "a long, b long").distinct()
 
 
 def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: Fraction = THRESHOLD, block: int = BLOCK, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """The classes of all documents (doc_id, n_shingles, cls) and links (a, b) between classes that span all components."""
     texts = texts_of(docs, id_col, text_col)
-    seen = written(survey(texts, n), "survey")
-    nodes = seen.filter("gram IS NULL").select("doc_id", "n_shingles", "cls", "digest")
-    top = seen.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("times").alias("times"))
-    rows = top.orderBy(F.col("times").desc(), "gram").limit(frequent).toArrow()
-    grams, times = rows.column("gram").to_numpy(), rows.column("times").to_numpy()
-    order = np.argsort(grams)
-    known = (grams[order], times[order])
-    first = columns_of(texts, n, threshold, known).select("gram", "cls")
-    pairs_of = first.groupBy("gram").agg(F.min("cls").alias("pivot"), F.max("cls").alias("__max")).filter("pivot <> __max")
-    pivots = written(pairs_of.select("gram", "pivot"), "columns")
-    live = columns_of(texts, n, threshold, known, sieve(pivots, "gram")).join(pivots, "gram")
+    bits = slot_bits(texts)
+    counts = written(repeated(texts, n, bits), "ngram-counts")
+    top = counts.orderBy(F.col("times").desc(), "prefix").limit(frequent).toArrow().sort_by("prefix")
+    twice = sieve(counts, [F.col("prefix"), F.shiftright("prefix", 13)])
+    order = Order(bits, twice, top.column("prefix").to_numpy(), top.column("times").to_numpy())
+    seen = written(columns_of(texts, n, threshold, order), "ngram-columns")
+    nodes = seen.filter("gram IS NULL").select("doc_id", F.col("n").alias("n_shingles"), "cls", "digest")
+    classes = nodes.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     # A class met in several tasks gives the same rows.
-    live = written(live.groupBy("gram", "cls").agg(F.first("n").alias("n"), F.first("pos").alias("pos"), F.first("pivot").alias("pivot")), "live-columns")
-    sets = written(sets_of(texts, n, sieve(live, "cls")).dropDuplicates(["cls"]), "sets")
-    stars = live.filter("cls <> pivot").select(F.col("cls").alias("b"), F.col("pivot").alias("a")).distinct()
-    linked = written(verified(stars, sets, threshold), "star-links")
-    crossed = written(cross_pairs(live, components(linked), threshold, block), "cross-pairs")
-    return nodes, written(linked.unionByName(verified(crossed, sets, threshold)), "all-links")
+    columns = seen.filter("gram IS NOT NULL").groupBy("gram", "cls").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+    pivots = columns.groupBy("gram").agg(F.min("cls").alias("pivot"), F.max("cls").alias("__max")).filter("pivot <> __max")
+    live = written(columns.join(pivots.select("gram", "pivot"), "gram"), "ngram-live")
+    stars = written(star_pairs(live, threshold), "ngram-stars")
+    linked = written(verified(stars, texts, n, classes, threshold), "ngram-star-links")
+    crossed = written(cross_pairs(live, components(linked), threshold, block), "ngram-cross-pairs")
+    return nodes, written(linked.unionByName(verified(crossed, texts, n, classes, threshold)), "ngram-links")
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -114,17 +114,19 @@ def test_ngram_without_known_counts(spark, corpus):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_truth(corpus)
 
 
-def test_counter_is_a_lower_bound(monkeypatch):
-    monkeypatch.setattr(ngram_join, "COUNTED", 50)
-    rng = np.random.default_rng(0)
-    counter, truth = ngram_join.Counter(), defaultdict(int)
-    for _ in range(60):
-        grams = np.unique(np.r_[rng.integers(0, 1 << 40, 20), rng.integers(0, 5, 3)])
-        counter.add(grams)
-        for g in grams.tolist():
-            truth[g] += 1
-    counter.merge()
-    assert all(c <= truth[k] for k, c in zip(counter.keys.tolist(), counter.counts.tolist(), strict=True))
+def test_repeated_ngrams_are_counted(spark, corpus):
+    """Every n-gram of two classes is there; nothing that is needed passes the sieve unseen, however full it is."""
+    texts = ngram_join.texts_of(frame(spark, corpus), "doc_id", "text")
+    counts = {r.prefix: r.times for r in ngram_join.repeated(texts, 5, 6).collect()}
+    grams_of, truth = ngram_join.shingler(5), defaultdict(set)
+    for _, t in corpus:
+        grams = grams_of(t)
+        for g in (grams.view(np.uint64) >> np.uint64(26)).tolist():
+            truth[g].add(grams.tobytes())
+    assert {g for g, sets in truth.items() if len(sets) > 1} <= set(counts)
+    values = spark.createDataFrame([(-5,), (3,), (None,)], "x long")
+    bits = ngram_join.sieve(values, [F.col("x")], 128)
+    assert ngram_join.passes(bits, np.array([-5, 3, 0])).all() and not ngram_join.passes(bits, np.array([4])).any()
 
 
 def test_components(spark):
