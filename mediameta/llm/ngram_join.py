@@ -6,7 +6,7 @@ and frequent ones last, so a passage that some documents share starts no pairs.
 n-grams, kept by the tasks as a sieve of fixed size and the ranks of the most frequent; errors there cost time and no result.
 Only columns with two classes count. Three steps find all components:
 
-1. Every class is paired with the least class of each of its columns, a number of pairs in proportion to the columns.
+1. Every class is paired with one class of each of its columns, that of the least document, a number of pairs in proportion to the columns.
 2. Columns whose classes are then in one component are done. The rest is multiplied in blocks: within a block of classes of
    one column, the counts of shared leading columns are accumulated for pairs from different components alone, and a pair
    goes on only if sizes and positions leave room for the threshold.
@@ -39,6 +39,8 @@ FREQUENT = 1 << 17
 COUNTED, TOLD = 1 << 22, 8
 #: Bits of the sieves that keep back what cannot match; a sieve that is too full only keeps back less.
 SIEVE = 1 << 27
+#: Stands for a null document id where the least one is wanted.
+LAST_ID = (1 << 63) - 1
 #: Classes in a block.
 BLOCK = 1024
 #: Rows of a block multiplied together.
@@ -199,15 +201,15 @@ class Order:
 
 
 def columns_of(texts: DataFrame, n: int, threshold: Fraction, order: Order) -> DataFrame:
-    """One pass: a row (doc_id, n, cls, digest) per document, and rows (gram, cls, n, pos) for each class's leading columns
-    that may occur elsewhere, once per task. cls is null for documents without words."""
+    """One pass: a row (doc_id, n, cls, digest) per document, and rows (gram, cls, n, pos, doc_id) for each class's leading
+    columns that may occur elsewhere, once per task. cls is null for documents without words."""
     kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("digest", pa.binary()), ("gram", pa.int64()), ("pos", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams_of, seen = shingler(n), set()
         for batch in batches:
             rows: list[tuple] = []
-            parts: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 4]
+            parts: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 5]
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 grams = grams_of(text)
                 cls, digest = class_of(grams) if len(grams) else (None, None)
@@ -218,13 +220,13 @@ def columns_of(texts: DataFrame, n: int, threshold: Fraction, order: Order) -> D
                     seen.add(cls)
                 first, more = order.leading(grams, threshold)
                 pos = np.flatnonzero(more)
-                parts.append((first[pos], np.full(len(pos), cls), np.full(len(pos), len(grams)), pos))
+                own = np.full(len(pos), LAST_ID if name is None else name)
+                parts.append((first[pos], np.full(len(pos), cls), np.full(len(pos), len(grams)), pos, own))
             named = [pa.array(c, f.type) for c, f in zip(list(zip(*rows, strict=True)) or [[]] * 4, kinds, strict=False)]
             yield pa.RecordBatch.from_arrays([*named, *[pa.nulls(len(rows), pa.int64())] * 2], schema=kinds)
             for a in range(0, len(parts), 500):
-                gram, cls_, size, pos = (pa.array(np.concatenate(c)) for c in zip(*parts[a : a + 500], strict=True))
-                none = [pa.nulls(len(gram), pa.int64()), pa.nulls(len(gram), pa.binary())]
-                yield pa.RecordBatch.from_arrays([none[0], size, cls_, none[1], gram, pos], schema=kinds)
+                gram, cls_, size, pos, own = (pa.array(np.concatenate(c)) for c in zip(*parts[a : a + 500], strict=True))
+                yield pa.RecordBatch.from_arrays([own, size, cls_, pa.nulls(len(gram), pa.binary()), gram, pos], schema=kinds)
 
     return texts.mapInArrow(run, "doc_id long, n long, cls long, digest binary, gram long, pos long")
 
@@ -276,7 +278,7 @@ def room(shared, last_a, last_b, n_a, n_b, least, most, threshold: Fraction):
 
 
 def star_pairs(live: DataFrame, threshold: Fraction) -> DataFrame:
-    """Step 1: pairs (a, b) of each class b and the least class a of its columns, if they may reach the threshold."""
+    """Step 1: pairs (a, b) of each class b and the centres a of its columns, if they may reach the threshold."""
     centre = live.filter("cls = pivot").select("gram", F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
     each = live.filter("cls <> pivot").join(centre, "gram")
     pairs = each.groupBy(F.col("pivot").alias("a"), F.col("cls").alias("b"), "n_a", F.col("n").alias("n_b")).agg(
@@ -286,28 +288,34 @@ def star_pairs(live: DataFrame, threshold: Fraction) -> DataFrame:
     return pairs.filter(room(*map(F.col, names), F.least, F.greatest, threshold)).select("a", "b")
 
 
-def strip_pairs(rows, cls, size, comp, gram, pos, who, stops, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of these rows with all of the block, from the entries (gram, pos, who) sorted by gram, which end at ``stops``."""
+def strip_pairs(column, rows, cls, size, comp, gram, pos, who, stops, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of these rows with all of the block, from the entries (gram, pos, who) sorted by gram, which end at ``stops``.
+
+    A pair counts in the block of its least shared column alone.
+    """
     row_of = np.full(len(cls), -1)
     row_of[rows] = np.arange(len(rows))
     shared = np.zeros((len(rows), len(cls)), np.int32)
     last_a, last_b = np.zeros_like(shared), np.zeros_like(shared)
+    here = np.zeros(shared.shape, bool)
     for a, b in zip(np.r_[0, stops[:-1]].tolist(), stops.tolist(), strict=True):
         members, at = who[a:b], pos[a:b]
         left = row_of[members] >= 0
         if b - a < 2 or not left.any():
             continue
         cell = np.ix_(row_of[members[left]], members)
+        if gram[a] <= column:
+            here[cell] = (shared[cell] == 0) & (gram[a] == column)
         shared[cell] += 1
         last_a[cell] = np.maximum(last_a[cell], at[left][:, None])
         last_b[cell] = np.maximum(last_b[cell], at[None, :])
-    i, j = np.nonzero((shared > 0) & (comp[rows][:, None] != comp[None, :]))
+    i, j = np.nonzero(here & (comp[rows][:, None] != comp[None, :]))
     ok = room(shared[i, j], last_a[i, j], last_b[i, j], size[rows[i]], size[j], np.minimum, np.maximum, threshold)
     a, b = cls[rows[i[ok]]], cls[j[ok]]
     return np.minimum(a, b), np.maximum(a, b)
 
 
-def multiply(cls, size, root, grams: list, at: list, threshold: Fraction) -> list[tuple[np.ndarray, np.ndarray]]:
+def multiply(column, cls, size, root, grams: list, at: list, threshold: Fraction) -> list[tuple[np.ndarray, np.ndarray]]:
     """The product of one block with itself: pairs of classes of different components with room for the threshold."""
     cls, first = np.unique(cls, return_index=True)
     size, grams, at = size[first], [grams[i] for i in first], [at[i] for i in first]
@@ -321,7 +329,7 @@ def multiply(cls, size, root, grams: list, at: list, threshold: Fraction) -> lis
     order = np.argsort(gram, kind="stable")
     gram, pos, who = gram[order], pos[order], who[order]
     stops = np.flatnonzero(np.r_[gram[1:] != gram[:-1], True]) + 1
-    return [strip_pairs(strip, cls, size, comp, gram, pos, who, stops, threshold) for strip in np.split(rows, range(STRIP, len(rows), STRIP))]
+    return [strip_pairs(column, strip, cls, size, comp, gram, pos, who, stops, threshold) for strip in np.split(rows, range(STRIP, len(rows), STRIP))]
 
 
 def block_products(threshold: Fraction):
@@ -334,7 +342,7 @@ def block_products(threshold: Fraction):
             nonlocal held
             if len(held) > 1:
                 cls, size, root, grams, at = zip(*held, strict=True)
-                pairs.extend(multiply(np.array(cls), np.array(size), np.array(root), grams, at, threshold))
+                pairs.extend(multiply(key[0], np.array(cls), np.array(size), np.array(root), grams, at, threshold))
             held = []
 
         for batch in batches:
@@ -398,9 +406,11 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = seen.filter("gram IS NULL").select("doc_id", F.col("n").alias("n_shingles"), "cls", "digest")
     classes = nodes.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     # A class met in several tasks gives the same rows.
-    columns = seen.filter("gram IS NOT NULL").groupBy("gram", "cls").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
-    pivots = columns.groupBy("gram").agg(F.min("cls").alias("pivot"), F.max("cls").alias("__max")).filter("pivot <> __max")
-    live = written(columns.join(pivots.select("gram", "pivot"), "gram"), "ngram-live")
+    columns = seen.filter("gram IS NOT NULL").groupBy("gram", "cls").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("doc_id").alias("doc_id"))
+    # Copies tend to come after what they are copied from, so the class of the least document is the best centre of a star.
+    ends = (F.min("cls").alias("lo"), F.max("cls").alias("hi"))
+    pivots = columns.groupBy("gram").agg(F.min_by("cls", "doc_id").alias("pivot"), *ends).filter("lo <> hi")
+    live = written(columns.join(pivots.select("gram", "pivot"), "gram").drop("doc_id"), "ngram-live")
     stars = written(star_pairs(live, threshold), "ngram-stars")
     linked = written(verified(stars, texts, n, classes, threshold), "ngram-star-links")
     crossed = written(cross_pairs(live, components(linked), threshold, block), "ngram-cross-pairs")

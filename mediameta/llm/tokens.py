@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 
-import numpy as np
-
 # The characters that tokenizers count as white space.
 WHITE = "\t-\r \x85\xa0  -     　"
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -52,16 +52,73 @@ def units(text: str) -> Iterator[list[str]]:
 UNIT_END = re.compile(f"[^{WHITE}][{WHITE}]")
 
 
+def little_endian(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+# Words of plain Latin letters with the marks behind them; an apostrophe would make other pieces.
+PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# Texts on which the short way must agree with the whole tokenizer, or it is not taken.
+PROBES = ["the", " The", " Straße,", "ÉTÉ", " a", "Wort.", " naïve?!", " HeLLo...", "x;", "œuvre", " Ünïcödé", " qzx", "tionen"]
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 ones themselves, then from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+def short_way(model) -> Callable[[str], bytes | None] | None:
+    """Ids of a plain unit from the model's merges alone, without a pass through normaliser and splitter.
+
+    It is tried in the two forms of byte-level models, with the space before a word and without space and upper case. None
+    if neither gives the tokenizer's ids on all probes.
+    """
+    letters = byte_letters()
+    merges = model.model
+
+    def ids(piece: str) -> list[int]:
+        return [t.id for t in merges.tokenize(piece.encode().decode("latin1").translate(letters))]
+
+    def spaced(space: str, word: str, marks: str) -> list[int]:
+        return ids(space + word) + (ids(marks) if marks else [])
+
+    def lowered(space: str, word: str, marks: str) -> list[int]:
+        return ids(word.lower()) + (ids(marks) if marks else [])
+
+    for form in (spaced, lowered):
+
+        def unit(text: str, form=form) -> bytes | None:
+            m = PLAIN.fullmatch(text)
+            return little_endian(form(*m.groups())) if m else None
+
+        try:
+            if all(unit(p) in (None, little_endian(model.encode(p, add_special_tokens=False).ids)) for p in PROBES):
+                return unit
+        except Exception:  # noqa: BLE001  a model of another kind
+            continue
+    return None
+
+
 def encoder(tokenizer: str) -> Callable[[list[str]], Iterator[bytes]]:
     """A function from texts to their ids, as little-endian unsigned 32-bit integers."""
     model = load(tokenizer)
+    plain = short_way(model)
     known: dict[str, bytes] = {}
 
     def learn(new: list[str]) -> None:
+        if plain:
+            found = {u: plain(u) for u in new}
+            new = [u for u, ids in found.items() if ids is None]
+            known.update((u, ids) for u, ids in found.items() if ids is not None)
         for i in range(0, len(new), 4096):
             some = new[i : i + 4096]
             for unit, got in zip(some, model.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[unit] = np.array(got.ids, "<u4").tobytes()
+                known[unit] = little_endian(got.ids)
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         for text in texts:
@@ -69,7 +126,7 @@ def encoder(tokenizer: str) -> Callable[[list[str]], Iterator[bytes]]:
             for found in units(text or ""):
                 if len(known) > REMEMBERED:
                     known.clear()
-                new = {u for u in found if u not in known}
+                new = set(found).difference(known)
                 if new:
                     learn(list(new))
                 out.append(b"".join(map(known.__getitem__, found)))
