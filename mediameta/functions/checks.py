@@ -163,6 +163,32 @@ def score_flags(m: Members) -> dict[str, Column]:
     }
 
 
+# Parts of a JSON text: strings, numbers, words, other characters.
+_PARTS = r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.eE+-]*|true|false|.)'
+
+
+def _canonical_part(part: Column) -> Column:
+    """Numbers by value: whole ones as digits, others as the nearest double; true as 1 and false as 0."""
+    number = part.try_cast("double")
+    whole = (number == F.floor(number)) & (F.abs(number) < 1e15)
+    return (
+        F.when(part.rlike(r"\A-?[0-9]+\z"), F.when(part == "-0", "0").otherwise(part))
+        .when(part.rlike(r"\A-?[0-9]"), F.when(whole, number.cast("bigint").cast("string")).otherwise(number.cast("string")))
+        .when(part == "true", "1")
+        .when(part == "false", "0")
+        .otherwise(part)
+    )
+
+
+def _canonical(text: Column) -> Column:
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PARTS), 1), _canonical_part), "")
+
+
 def same_object(left: Members, right: Members) -> Column:
-    """Equal objects regardless of key order: ``to_json`` sorts keys and folds 1.0 to 1."""
-    return F.coalesce(F.to_json(left.variant()) == F.to_json(right.variant()), F.lit(False))
+    """Equal objects regardless of key order and of how a number is written: 1, 1.0, 1e0 and true are one value.
+
+    ``to_json`` sorts keys. Only where its texts differ are the numbers compared by value. Whole numbers from 1e15 on
+    written with a fraction or an exponent equal only others so written.
+    """
+    a, b = F.to_json(left.variant()), F.to_json(right.variant())
+    return F.coalesce(F.when(a == b, True).otherwise(_canonical(a) == _canonical(b)), F.lit(False))

@@ -41,8 +41,11 @@ EXPLICIT_EPISODE = [
     _B + r"(?:Episode|Eps|Ep|E)[ ._]*\d{1,4}(?:v\d+)?" + _E,
     r"(?i)Season[ ._]*\d+[ ._-]*(?:Episode|Eps|Ep|E)[ ._]*\d{1,4}(?:v\d+)?" + _E,
 ]
-SPACED_EPISODE = r"[ ._]-[ ._]?\d{1,3}(?:v\d+)?(?:[ ._-]|\z|\[|\()"
-DASHED_EPISODE = [r"[^0-9]-\d{1,3}(?:v\d+)?\z", r"[^0-9]-\d{1,3}(?:v\d+)?-"]
+# What ends a bare number. A hyphen does only if no letter or digit follows: else it belongs to a word of the title.
+_AFTER_NUMBER = r"(?:[ ._\[(]|\z|-(?:\z|[^\p{L}\p{N}]))"
+SPACED_EPISODE = r"[ ._]-[ ._]?\d{1,3}(?:v\d+)?" + _AFTER_NUMBER
+# At the end a number may follow one between dashes: the title's own.
+DASHED_EPISODE = [r"(?:[^0-9]|-\d{1,3})-\d{1,3}(?:v\d+)?\z", r"[^0-9]-\d{1,3}(?:v\d+)?-"]
 # Number and version at the end of an episode match.
 MATCH_NUMBER = r"(?i)(\d{1,4})(?:v\d+)?[^\p{L}\p{N}]*\z"
 MATCH_VERSION = r"(?i)\dv\d+[^\p{L}\p{N}]*\z"
@@ -60,10 +63,11 @@ TITLE = (
     r"|Season[ ._]*\d"
     r"|(?:Episode|Eps|Ep|E)[ ._]*\d{1,4}(?:v\d+)?" + _E +
     r"|(?:" + "|".join(TITLE_END_ASSETS) + r")\d*" + _E +
-    r"|-[ ._]?\d{1,3}(?:v\d+)?(?:[ ._\[(-]|\z)"
+    r"|-[ ._]?\d{1,3}(?:v\d+)?" + _AFTER_NUMBER +
     r")"
 )
-DASHED_TITLE = r"\A(.*?[^0-9])-\d{1,3}(?:v\d+)?(?:-.*)?\z"
+# The title ends where the episode begins: at the last number of the stem, else at the first between dashes.
+DASHED_TITLE = [r"\A(.*(?:[^0-9]|-\d{1,3}))-\d{1,3}(?:v\d+)?\z", r"\A(.*?[^0-9])-\d{1,3}(?:v\d+)?-"]
 SLUG = r"\A[^ _.-][^ _.]*-[^ _.]*-[^ _.]*[^ _.-]\z"
 SLUG_NUMBER = r"-\d{1,3}\z"
 
@@ -93,7 +97,7 @@ def asset(stem_: Column) -> Column:
 
 
 def _slug_title(c: Column) -> Column:
-    words = F.split(F.replace(F.regexp_replace(c, SLUG_NUMBER, ""), F.lit("---"), F.lit("-\u0002-")), "-")
+    words = F.split(F.replace(c, F.lit("---"), F.lit("-\u0002-")), "-")
 
     def word(w: Column, i: Column) -> Column:
         before = F.get(words, i - 1)
@@ -144,16 +148,18 @@ def parse_filename(df: DataFrame, name: str = "name", prefix: str = "fn_") -> Da
             p("version"): F.coalesce(marker.rlike(MATCH_VERSION), F.lit(False)),
         }
     )
+    # A slug ends with its number, unless the title was cut there already.
+    slug = F.when(c("dashed").isNull(), F.regexp_replace(c("_cut"), SLUG_NUMBER, "")).otherwise(c("_cut"))
     return (
         out.withColumn(p("_body"), F.regexp_replace(c("stem"), GROUP_TAG, ""))
         .withColumn(p("_cut"), F.coalesce(_match(c("_body"), TITLE, 1), c("_body")))
         .withColumn(
             p("_cut"),
-            F.coalesce(F.when(c("dashed").isNotNull(), _match(c("_cut"), DASHED_TITLE, 1)), c("_cut")),
+            F.coalesce(F.when(c("dashed").isNotNull(), F.coalesce(*[_match(c("_cut"), x, 1) for x in DASHED_TITLE])), c("_cut")),
         )
         .withColumns(
             {
-                p("title"): F.when(c("_cut").rlike(SLUG), _slug_title(c("_cut"))).otherwise(
+                p("title"): F.when(c("_cut").rlike(SLUG), _slug_title(slug)).otherwise(
                     F.trim(F.regexp_replace(c("_cut"), r"[ ._]+", " "))
                 ),
                 p("confidence"): confidence(

@@ -2,8 +2,9 @@
 
 Braces are balanced without regard to strings, then the balanced text is
 parsed. Most completions hold one flat object, which a single regular
-expression finds inside code generation; only texts where that does not decide
-the outcome build the brace arrays of the exact general path.
+expression finds inside code generation; an object with nested members, and no
+brace in its strings, is found by a second one. Only texts where these do not
+decide the outcome get their braces matched, by a stack in an Arrow function.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ SINGLE_ERRORS = {
 }
 
 _FLAT_FIRST = r"\A[^{]*(\{[^{}]*\})"
+_WIDEST = r"(?s)\A[^{]*(\{.*\})"
+# A JSON string, without a step back or a call per character.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 
 # Outcomes of the scan over brace starts.
 _SEEKING, _FOUND, _UNBALANCED = 0, 1, 2
@@ -52,51 +56,33 @@ def cut_at_stop_strings(text: Column, stops: list[str] | None = None) -> Column:
     return F.element_at(F.split(text, pattern, 2), 1)
 
 
-def _brace_positions(text: Column) -> Column:
-    """Signed 1-based positions: positive for an opening, negative for a closing brace."""
-    return F.array_compact(
-        F.transform(
-            F.split(text, ""),
-            lambda c, i: F.when(c == "{", i + 1).when(c == "}", -(i + 1)),
-        )
-    )
-
-
-def _depths(braces: Column) -> Column:
-    """Depth after each brace of a text made of braces only."""
-    return F.transform(
-        F.sequence(F.lit(1), F.length(braces)),
-        lambda i: 2 * F.length(F.replace(F.left(braces, i), F.lit("}"), F.lit(""))) - i,
-    )
+def _spans(text: Column) -> Column:
+    """(start, end), 1-based, per opening brace in text order; end is null if it stays open. Linear in the text."""
 
+    @F.pandas_udf("array<struct<start:int,end:int>>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else _text_spans(t) for t in texts], dtype=object)
 
-def _with_spans(df: DataFrame, needed: Column, text: Column, out: str) -> DataFrame:
-    """Add ``out``, where needed: (start, end) per opening brace in text order; end is null if it stays open.
+    return run(text)
 
-    Braces that cross the same level alternate between opening and closing. So
-    after sorting by (level, place) the brace behind an opening one of the same
-    level closes it. Every step is a projection of its own, as lambda bodies
-    would compute its input again for every element.
-    """
-    pos, braces, depth, level = (f"{out}_{s}" for s in ("pos", "braces", "depth", "level"))
-    P, S = F.col(pos), F.col(level)
-    work = df.withColumn(pos, F.when(needed, _brace_positions(text)))
-    work = work.withColumn(braces, F.when(P.isNotNull(), F.regexp_replace(text, r"[^{}]+", "")))
-    work = work.withColumn(depth, F.when(P.isNotNull(), _depths(F.col(braces))))
 
-    def placed(p: Column, i: Column) -> Column:
-        after = F.get(F.col(depth), i)
-        return F.struct(F.when(p > 0, after).otherwise(after + 1).alias("level"), F.abs(p).alias("at"), (p > 0).alias("opens"))
+def _text_spans(text: str) -> list[dict[str, int | None]]:
+    pairs = _closings(text)
+    opened = [m.start() for m in re.finditer(r"{", text)]
+    return [{"start": i + 1, "end": pairs[i] + 1 if i in pairs else None} for i in opened]
 
-    work = work.withColumn(level, F.sort_array(F.transform(P, placed)))
 
-    def span(s: Column, i: Column) -> Column:
-        following = F.get(S, i + 1)
-        end = F.when(following["level"] == s["level"], following["at"])
-        return F.when(s["opens"], F.struct(s["at"].alias("start"), end.alias("end")))
+def _whole(text: Column) -> Column:
+    """What lies between the first opening and the last closing brace, if no string in it holds a brace and it parses.
 
-    work = work.withColumn(out, F.sort_array(F.array_compact(F.transform(S, span))))
-    return work.drop(pos, braces, depth, level)
+    It is then the object of the first brace, and one pass decides most texts with nested members.
+    """
+    span = F.nullif(F.regexp_extract(text, _WIDEST, 1), F.lit(""))
+    bare = F.regexp_replace(span, _STRING, "")
+    braces = lambda c: F.regexp_count(c, F.lit("[{}]"))
+    # As the one element of a list the object is held to its end.
+    listed = F.concat(F.lit("["), span, F.lit("]"))
+    return F.when((braces(span) == braces(bare)) & parses(listed) & (F.json_array_length(listed) == 1), span)
 
 
 def _inside(text: Column, span: Column) -> Column:
@@ -159,20 +145,21 @@ def extract_json(
     if mode != "native":
         raise ValueError(f"unknown mode: {mode}")
 
-    u, flat, flat_ok, spans, found = (f"_{out}_{s}" for s in ("u", "flat", "ok", "spans", "found"))
+    u, flat, flat_ok, wide, spans, found = (f"_{out}_{s}" for s in ("u", "flat", "ok", "wide", "spans", "found"))
     U = F.col(u)
     work = df.withColumn(u, after_assistant_tag(F.col(text)) if after_tag else F.col(text))
     work = work.withColumn(flat, F.nullif(F.regexp_extract(U, _FLAT_FIRST, 1), F.lit("")))
     work = work.withColumn(flat_ok, parses(F.col(flat)))
     # With a single try a flat first object decides the outcome either way.
     decided = F.col(flat_ok) if retry else F.col(flat).isNotNull()
-    general = ~decided & U.contains("{")
-    work = _with_spans(work, general, U, spans)
+    work = work.withColumn(wide, F.when(~F.coalesce(decided, F.lit(False)) & U.contains("}"), _whole(U)))
+    general = ~decided & F.col(wide).isNull() & U.contains("{")
+    work = work.withColumn(spans, _spans(F.when(general, U)))
     P = F.col(spans)
     if retry:
         scan = _scan(U, P)
     else:
-        work = work.withColumn(found, _inside(U, F.element_at(P, 1)))
+        work = work.withColumn(found, _inside(U, F.get(P, 0)))
         only = F.col(found)
         scan = F.struct(
             F.when(only.isNull(), _UNBALANCED).when(parses(only), _FOUND).otherwise(_SEEKING).alias("code"),
@@ -180,18 +167,18 @@ def extract_json(
         )
     work = work.withColumn(found, F.when(P.isNotNull(), scan))
     code = F.coalesce(
-        F.col(f"{found}.code"), F.when(F.col(flat_ok), _FOUND), F.when(F.col(flat).isNotNull(), _SEEKING)
+        F.col(f"{found}.code"), F.when(F.col(flat_ok) | F.col(wide).isNotNull(), _FOUND), F.when(F.col(flat).isNotNull(), _SEEKING)
     )
     obj = F.when(P.isNotNull(), F.when(F.col(f"{found}.code") == _FOUND, F.col(f"{found}.obj"))).when(
         F.col(flat_ok), F.col(flat)
-    )
+    ).otherwise(F.col(wide))
     error = (
         F.when(code == _FOUND, "")
         .when(code == _UNBALANCED, errors["open"])
         .when(code == _SEEKING, errors["parse"])
         .otherwise(errors["none"])
     )
-    return work.withColumns({out: obj, f"{out}_error": error}).drop(u, flat, flat_ok, spans, found)
+    return work.withColumns({out: obj, f"{out}_error": error}).drop(u, flat, flat_ok, wide, spans, found)
 
 
 def balanced_prefix_length(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -199,8 +186,8 @@ def balanced_prefix_length(df: DataFrame, text: str, out: str) -> DataFrame:
     spans, flat = f"_{out}_spans", f"_{out}_flat"
     U = F.col(text)
     work = df.withColumn(flat, F.nullif(F.length(F.regexp_extract(U, _FLAT_FIRST, 0)), F.lit(0)))
-    work = _with_spans(work, F.col(flat).isNull() & U.contains("{"), U, spans)
-    end = F.element_at(F.col(spans), 1)["end"]
+    work = work.withColumn(spans, _spans(F.when(F.col(flat).isNull() & U.contains("{"), U)))
+    end = F.get(F.col(spans), 0)["end"]
     return work.withColumn(out, F.coalesce(F.col(flat), end)).drop(spans, flat)
 
 
@@ -243,6 +230,15 @@ def _closings(text: str) -> dict[int, int]:
     return pairs
 
 
+def python_truncate(text: str) -> str:
+    """The shortest prefix that ends with a chat tag or closes the first object; else the whole text."""
+    ends = [text.find(t) + len(t) for t in CHAT_TAGS if t in text]
+    closing = _closings(text).get(text.find("{"))
+    if closing is not None:
+        ends.append(closing + 1)
+    return text[: min(ends)] if ends else text
+
+
 def python_extract(text: str, retry: bool = True, after_tag: bool = True) -> tuple[str | None, str]:
     """(compact JSON, "") or (None, error). NaN and infinities become their names."""
     if after_tag:

@@ -9,6 +9,8 @@ from mediameta.functions.checks import validate_objects
 from mediameta.functions.jsontext import extract_json
 from mediameta.schema import ATTEMPT_SCHEDULE
 
+# Failed attempts count down from here.
+_LAST = 1 << 40
 NO_ATTEMPTS = "no generation attempts: max_retries <= 0"
 
 
@@ -27,34 +29,40 @@ def first_valid_attempt(
 ) -> DataFrame:
     """Per key the first valid attempt, else the last one, as a generation record.
 
-    A partial ``min_by`` runs before the shuffle: one candidate per key and task
-    moves, however many attempts a key has.
+    Every key gets a record; one without an attempt in the allowed range gets the empty one. Attempts are unique per key.
+    Judging leaves one number per attempt, whose minimum is a hash aggregate combined map-side. Only the chosen
+    attempts' texts are then fetched, and judged once more for the record.
     """
     schedule = ATTEMPT_SCHEDULE[: max(max_retries, 0)]
     if not schedule:
         return df.select(key).distinct().select(key, *empty_record())
-    tried = judge_attempts(df.filter(F.col("attempt").between(1, len(schedule))), require_episode=require_episode)
-    order = F.struct(
-        (~F.col("ok")).alias("failed"),
-        F.when(F.col("ok"), F.col("attempt")).otherwise(-F.col("attempt")).alias("place"),
-    )
-    best = tried.groupBy(key).agg(
-        F.min_by(F.struct("ok", "attempt", "gen_tokens", "decoded", "obj", "errors"), order).alias("b")
+    inside = F.coalesce(F.col("attempt").between(1, len(schedule)), F.lit(False))
+    tried = judge_attempts(df.select(key, "attempt", F.when(inside, F.col("decoded")).alias("decoded")), require_episode=require_episode)
+    number = F.col("attempt").cast("bigint")
+    code = F.when(inside, F.when(F.col("ok"), number).otherwise(_LAST - number))
+    best = tried.groupBy(key).agg(F.min(code).alias("_code")).select(
+        F.col(key).alias("_key"), F.when(F.col("_code") < _LAST // 2, F.col("_code")).otherwise(_LAST - F.col("_code")).alias("_attempt")
     )
+    given = df.select(key, number.alias("attempt"), "gen_tokens", "decoded")
+    rows = best.join(given, best["_key"].eqNullSafe(given[key]) & (best["_attempt"] == given["attempt"]), "left")
+    judged = judge_attempts(rows, require_episode=require_episode)
+    none = F.col("_attempt").isNull()
     temperature = F.array(*[F.lit(t) for t, _ in schedule])
     top_p = F.array(*[F.lit(p) for _, p in schedule])
-    at = F.col("b.attempt").cast("int")
-    return best.select(
-        key,
-        F.when(F.col("b.ok"), "ok").otherwise("fail").alias("status"),
+    at = F.col("_attempt").cast("int")
+    record = [
+        F.when(F.col("ok") & ~none, "ok").otherwise("fail").alias("status"),
         at.alias("attempt"),
-        F.element_at(temperature, at).alias("temperature"),
-        F.element_at(top_p, at).alias("top_p"),
-        F.col("b.gen_tokens").cast("int").alias("gen_tokens"),
-        F.col("b.decoded").alias("decoded"),
-        F.col("b.obj").alias("obj"),
-        F.col("b.errors").alias("errors"),
-    )
+        F.get(temperature, at - 1).alias("temperature"),
+        F.get(top_p, at - 1).alias("top_p"),
+        F.col("gen_tokens").cast("int").alias("gen_tokens"),
+        F.col("decoded").alias("decoded"),
+        F.col("obj").alias("obj"),
+        F.col("errors").alias("errors"),
+    ]
+    names = ["status", "attempt", "temperature", "top_p", "gen_tokens", "decoded", "obj", "errors"]
+    chosen = [F.when(none, e).otherwise(r).alias(n) for n, e, r in zip(names, empty_record(), record, strict=True)]
+    return judged.select(F.col("_key").alias(key), *chosen)
 
 
 def empty_record() -> list[Column]:

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediameta.functions import render
-from mediameta.operators.clean import clean_metadata, require_episode
+from mediameta.operators.clean import clean_metadata, require_episode, require_rows
+from mediameta.operators.quality import issue_counts
 from mediameta.operators.split import capped_eval, train_eval
 from mediameta.schema import Params
+from mediameta.sources.tables import run_manifest, write_manifest, write_training_text
 
 
 def training_examples(clean: DataFrame, system: str, template: str = render.USER_TEMPLATE) -> DataFrame:
@@ -46,3 +48,27 @@ def prepare(raw: DataFrame, system: str, template: str = render.USER_TEMPLATE, p
     return Prepared(
         clean, kept, training_examples(train, system, template), training_examples(held, system, template)
     )
+
+
+def prepare_run(
+    raw: DataFrame, out: str, system: str, template: str = render.USER_TEMPLATE, params: Params | None = None, version: str = "unknown"
+) -> DataFrame:
+    """The whole preparation: clean, guard, report, split, render, and write it all under ``out``.
+
+    ``clean`` (Parquet, the input of all that follows), ``issues``, ``train``, ``evaluation`` and ``manifest``. Raises
+    ``RuntimeError`` when no row is left. Returns the manifest.
+    """
+    params = params or Params()
+    spark = raw.sparkSession
+    clean_metadata(raw).write.parquet(f"{out}/clean")
+    clean = spark.read.parquet(f"{out}/clean")
+    issue_counts(clean, params.max_name_len).coalesce(1).write.json(f"{out}/issues")
+    kept = require_rows(require_episode(clean) if params.require_episode else clean)
+    train, evaluation = train_eval(kept, params.eval_fraction, seed=params.seed)
+    if params.eval_max_samples is not None:
+        evaluation = capped_eval(kept, params.eval_max_samples, params.eval_fraction, seed=params.seed)
+    write_training_text(training_examples(train, system, template), f"{out}/train")
+    write_training_text(training_examples(evaluation, system, template), f"{out}/evaluation")
+    manifest = run_manifest(kept, params.as_dict(), version)
+    write_manifest(manifest, f"{out}/manifest")
+    return spark.read.json(f"{out}/manifest")

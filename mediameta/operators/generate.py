@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mediameta.functions.jsontext import python_extract
+from mediameta.functions import render
+from mediameta.functions.jsontext import python_extract, python_truncate
 from mediameta.operators.attempts import empty_record
 from mediameta.schema import ATTEMPT_SCHEDULE, GENERATION_SCHEMA, TARGET_KEYS
 
@@ -27,11 +28,14 @@ def batch_generate(
     prompt: str = "prompt",
     max_retries: int = 3,
     require_episode: bool = True,
+    cut: bool = False,
 ) -> DataFrame:
     """Replace ``prompt`` by the generation record and ``seconds`` of each row.
 
     ``make_generator`` must be picklable; it runs once per task, so a model is
     loaded once. Every round calls the model only for rows that still fail.
+    ``cut`` ends each answer where generation should have stopped: at a chat tag
+    or the end of the first object; a count of words then follows the cut text.
     The other columns pass through. Set the batch size with
     ``spark.sql.execution.arrow.maxRecordsPerBatch``.
     """
@@ -47,14 +51,28 @@ def batch_generate(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         generate = make_generator()
         for batch in batches:
-            records = _rounds(list(batch[prompt]), generate, schedule, require_episode)
+            records = _rounds(list(batch[prompt]), generate, schedule, require_episode, cut)
             made = pd.DataFrame(records, columns=fields, index=batch.index)
             yield pd.concat([batch[names], made], axis=1)
 
     return df.mapInPandas(run, schema)
 
 
-def _rounds(prompts: list[str], generate: Generator, schedule, require_episode: bool) -> list[tuple]:
+def infer_metadata(
+    names: DataFrame,
+    make_generator: Callable[[], Generator],
+    system: str,
+    template: str = render.USER_TEMPLATE,
+    *,
+    name: str = "name",
+    **options,
+) -> DataFrame:
+    """The whole chain for filenames: prompt, generation, cut, extraction, checks, retries; one record per row."""
+    prompt = render.inference_prompt(F.lit(system), render.user_prompt(F.col(name), template))
+    return batch_generate(names.withColumn("_prompt", prompt), make_generator, prompt="_prompt", cut=True, **options)
+
+
+def _rounds(prompts: list[str], generate: Generator, schedule, require_episode: bool, cut: bool) -> list[tuple]:
     """One record per prompt: the first valid answer, else the last one."""
     records: list[tuple] = [()] * len(prompts)
     open_rows = list(range(len(prompts)))
@@ -67,8 +85,9 @@ def _rounds(prompts: list[str], generate: Generator, schedule, require_episode:
         share = (time.monotonic() - began) / len(open_rows)
         failing = []
         for i, answer in zip(open_rows, answers, strict=True):
-            text, tokens = answer if isinstance(answer, tuple) else (answer, len(answer.split()))
-            text = text.strip()
+            text, tokens = answer if isinstance(answer, tuple) else (answer, None)
+            text = (python_truncate(text) if cut else text).strip()
+            tokens = len(text.split()) if tokens is None else tokens
             spent[i] += share
             obj, error = python_extract(text, retry=False, after_tag=False)
             if obj is None:

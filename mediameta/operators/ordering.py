@@ -7,16 +7,20 @@ and the last step is a filter-like projection without a shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mediameta.sources.storage import materialize
+
 # Digits of the hash used per histogram: 16^4 buckets at most.
 _DIGITS = 4
 _LEVELS = 2
-# Buckets of the value histogram.
+# Buckets of a value histogram, and how often it is refined.
 _BUCKETS = 65536
+_ZOOMS = 5
 
 
 def order_key(row_id: Column, seed: int) -> Column:
@@ -27,11 +31,13 @@ def order_key(row_id: Column, seed: int) -> Column:
 def rank_cut(df: DataFrame, row_id: str, seed: int, rank: Callable[[Column], Column]) -> DataFrame:
     """One row (or none for rank 0): ``cut`` = (hash, row id) of the row with the given 1-based rank.
 
-    ``rank`` maps the row count to the wanted rank. Row ids must be unique.
-    Each level counts rows per hash prefix, finds the bucket that holds the
+    ``rank`` maps the row count to the wanted rank. Row ids must be unique and
+    not null: others raise. Hashes and ids are written once to shared storage,
+    so the source is read once, whatever the number of levels. Each level counts rows per hash prefix, finds the bucket that holds the
     rank, and looks only into that bucket; two levels leave n / 2^32 rows.
     """
-    rows = df.select(order_key(F.col(row_id), seed).alias("h"), F.col(row_id).alias("id"))
+    sound = F.coalesce(F.col(row_id), F.raise_error(F.lit(f"null in {row_id}")).cast(df.schema[row_id].dataType))
+    rows = materialize(df.select(order_key(sound, seed).alias("h"), F.col(row_id).alias("id")), "ranks")
     for level in range(_LEVELS):
         digits = F.substring("h", 1 + level * _DIGITS, _DIGITS)
         # At most 65,536 rows reach this window, whatever the table's size.
@@ -51,9 +57,12 @@ def rank_cut(df: DataFrame, row_id: str, seed: int, rank: Callable[[Column], Col
         # The target is one row: the bucket in which the wanted rank lies.
         rows = rows.join(F.broadcast(target), digits == F.col("b")).select(rows["h"], rows["id"], target["need"])
     last = Window.orderBy("h", "id")
+    # Equal ids have equal hashes; where the cut falls on them, it is not one row.
+    twin = F.lead("id").over(last).eqNullSafe(F.col("id")) | F.lag("id").over(last).eqNullSafe(F.col("id"))
+    single = F.when(twin, F.raise_error(F.lit(f"{row_id} is not unique")).cast("boolean")).otherwise(True)
     return (
-        rows.select(F.struct("h", "id").alias("cut"), "need", F.row_number().over(last).alias("r"))
-        .filter("r = need")
+        rows.select(F.struct("h", "id").alias("cut"), "need", F.row_number().over(last).alias("r"), single.alias("ok"))
+        .filter("r = need and ok")
         .select("cut")
     )
 
@@ -66,67 +75,51 @@ def first_by_hash(df: DataFrame, row_id: str, seed: int, rank: Callable[[Column]
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
-    """One row with the array ``q``: exact quantiles with linear interpolation.
+    """One row with the array ``q``: exact quantiles with linear interpolation; null without values.
 
-    Nulls are ignored, other values must be finite. Equal values collapse to
-    one counted row first, so a hot value costs nothing. A histogram of at most
-    65,537 buckets between the extremes finds the buckets that hold the wanted
-    ranks, at most two per probability. A second histogram between the extremes
-    of each such bucket takes care of outliers. Only what is left is ordered.
+    Nulls are ignored, other values must be finite. The values alone are written once to shared storage. Each level counts
+    them in a histogram of at most ``_BUCKETS`` buckets per wanted bucket, combined map-side: first by the logarithm, then
+    three times between the extremes of the buckets that hold the wanted ranks, at most two per probability. Four levels
+    separate any two doubles, so what is left has one value per bucket, or a few neighbouring doubles, however the values
+    are spread and repeated. No value is shuffled or sorted. The driver sees the wanted buckets, a few rows per level.
     """
-    rows = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    limits = rows.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("s")).scalar()
-    exact = [(F.col("total") - 1) * F.lit(float(p)) for p in probs]
-    places = [r for h in exact for r in (F.floor(h), F.ceil(h))]
-    held = _any([(F.col("before") <= r) & (r < F.col("before") + F.col("bn")) for r in places])
-
-    placed = rows.withColumn("b", _bucket(limits["lo"], limits["hi"]))
-    running = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = (
-        placed.groupBy("b")
-        .agg(F.sum("n").alias("bn"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        .select(
-            "b",
-            "bn",
-            "lo",
-            "hi",
-            (F.sum("bn").over(running) - F.col("bn")).alias("before"),
-            F.sum("bn").over(Window.partitionBy()).alias("total"),
+    spark = df.sparkSession
+    v = F.col("v")
+    values = materialize(df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v")), "values")
+    total = values.count()
+    exact = [(total - 1) * float(p) for p in probs]
+    places = sorted({int(r) for h in exact for r in (math.floor(h), math.ceil(h))}) if total else []
+    # Wanted intervals of values: (least, greatest, values before).
+    wanted: list[tuple[float, float, int]] = []
+    sign = F.signum(v)
+    bucket, group, kept = F.floor(sign * (F.log(F.abs(v)) + 800) * 20), F.lit(0), F.lit(True)
+    bucket = F.when(v == 0, 0).otherwise(bucket)
+    starts = {0: 0}
+    for level in range(_ZOOMS + 1 if total else 0):
+        if level:
+            starts = {i: before for i, (_, _, before) in enumerate(wanted)}
+            group = F.coalesce(*[F.when(v.between(lo, hi), i) for i, (lo, hi, _) in enumerate(wanted)])
+            kept = group.isNotNull()
+            bucket = F.coalesce(
+                *[F.when(v.between(lo, hi), F.floor((v - lo) / (hi - lo) * _BUCKETS) if math.isfinite(hi - lo) and hi > lo else F.lit(0)) for lo, hi, _ in wanted]
+            )
+        hist = (
+            values.filter(kept)
+            .groupBy(group.alias("g"), bucket.alias("b"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         )
-    )
-    wanted = hist.filter(held).drop("bn")
-    rows = placed.join(F.broadcast(wanted), "b").withColumnRenamed("b", "g")
-
-    placed = rows.withColumn("b", _bucket(F.col("lo"), F.col("hi"))).drop("lo", "hi")
-    running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = (
-        placed.groupBy("g", "b", "before", "total")
-        .agg(F.sum("n").alias("bn"))
-        .withColumn("before", F.col("before") + F.sum("bn").over(running) - F.col("bn"))
-    )
-    wanted = hist.filter(held).select("g", "b", "before")
-    rows = placed.drop("before").join(F.broadcast(wanted), ["g", "b"])
-
-    running = Window.partitionBy("g", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = rows.select("v", "n", "total", (F.col("before") + F.sum("n").over(running) - F.col("n")).alias("start"))
-    at = [
-        F.max(F.when((F.col("start") <= r) & (r < F.col("start") + F.col("n")), F.col("v"))).alias(f"x{i}")
-        for i, r in enumerate(places)
-    ]
-    quantiles = [
-        F.col(f"x{2 * i}") + (F.col(f"x{2 * i + 1}") - F.col(f"x{2 * i}")) * (h - F.floor(h))
-        for i, h in enumerate(exact)
-    ]
-    return inside.agg(*at, F.max("total").alias("total")).select(F.array(*quantiles).alias("q"))
-
-
-def _bucket(lo: Column, hi: Column) -> Column:
-    """The histogram bucket of ``v`` between two extremes; 0 when they are equal."""
-    return F.coalesce(F.floor((F.col("v") - lo) / F.nullif(hi - lo, F.lit(0.0)) * _BUCKETS), F.lit(0))
+        before = F.create_map(*[F.lit(x).cast("bigint") for pair in starts.items() for x in pair])[F.col("g").cast("bigint")]
+        # At most one histogram's rows per wanted interval.
+        running = Window.partitionBy("g").orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = hist.withColumn("start", before + F.sum("n").over(running) - F.col("n"))
+        held = _any([(F.col("start") <= r) & (F.col("start") + F.col("n") > r) for r in places])
+        wanted = sorted((r.lo, r.hi, r.start) for r in placed.filter(held).select("lo", "hi", "start").collect())
+        if all(lo == hi for lo, hi, _ in wanted):
+            break
+    at = {r: next(lo for lo, _, start in reversed(wanted) if start <= r) for r in places}
+    found = [at[math.floor(h)] + (at[math.ceil(h)] - at[math.floor(h)]) * (h - math.floor(h)) for h in exact] if total else None
+    q = F.array(*[F.lit(x) for x in found]) if found else F.lit(None).cast("array<double>")
+    return spark.range(1).select(q.alias("q"))
 
 
 def _any(conditions: Sequence[Column]) -> Column:

@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from mediameta.functions.text import crc_matches
 from mediameta.schema import ISSUES
 
-# A name is hot from this count on; colder names fit any task.
-HOT_COUNT = 10_000
-# At most this many names are broadcast. The next one holds under a thousandth of all rows.
+# At most this many names are broadcast: the most frequent ones. The next one holds under a thousandth of all rows.
 HOT_NAMES = 1_000
-# Hot rows are spread over this many keys.
+# Their rows are spread over this many keys.
 HOT_SALTS = 1_024
 
 
@@ -25,20 +23,20 @@ def _bad_crc() -> Column:
 
 
 def with_name_count(
-    df: DataFrame, name: str = "name", out: str = "name_count", *, hot_count: int = HOT_COUNT
+    df: DataFrame, name: str = "name", out: str = "name_count", *, hot_names: int = HOT_NAMES
 ) -> DataFrame:
     """Add how many rows share the row's name; nulls count as one name.
 
     Counting combines before its shuffle. Joining the counts back would send all
     rows of a hot name to one task, so the hottest names (a bounded number) come
     by broadcast and their rows are salted evenly over the shuffle, where
-    they match nothing; all other names hold few rows each. The result is exact.
+    they match nothing. The plan is the same at every size, and the result exact. Adaptive
+    execution may split a lesser name's rows once more.
     """
     repeated = df.groupBy(name).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     hot = (
-        repeated.filter(F.col("_n") >= hot_count)
-        .orderBy(F.desc("_n"), name)
-        .limit(HOT_NAMES)
+        repeated.orderBy(F.desc("_n"), name)
+        .limit(hot_names)
         .select(F.col(name).alias("_hot_name"), F.col("_n").alias("_hot_n"))
     )
     cold = repeated.select(F.col(name).alias("_cold_name"), F.col("_n").alias("_cold_n"))

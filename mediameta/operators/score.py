@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,12 +11,18 @@ from pyspark.sql import types as T
 
 from mediameta.functions.checks import same_object, score_flags, with_members
 from mediameta.functions.jsontext import extract_json
+from mediameta.functions.tokens import replace_ignored
+from mediameta.operators.generate import decode_tokens
 from mediameta.schema import METRICS
 
 
 def pair_labels(predictions: DataFrame, labels: DataFrame, key: str = "id") -> DataFrame:
-    """Every prediction with its label, or null; the key is unique on both sides."""
-    return predictions.join(labels, key, "left")
+    """Every prediction with its label, or null. A second label of one key raises: it would change all denominators."""
+    rest = [c for c in labels.columns if c != key]
+    twice = F.raise_error(F.concat(F.lit("more than one label for "), F.col(key).cast("string"))).cast("boolean")
+    single = labels.groupBy(key).agg(F.count(F.lit(1)).alias("_labels"), *[F.any_value(c).alias(c) for c in rest])
+    checked = single.filter(F.when(F.col(key).isNull() | (F.col("_labels") == 1), True).otherwise(twice))
+    return predictions.join(checked.drop("_labels"), key, "left")
 
 
 def score_rows(df: DataFrame, pred: str = "pred", label: str = "label", mode: str = "native") -> DataFrame:
@@ -43,3 +50,21 @@ def score_completions(
         raise TypeError("decode token ids to text before scoring")
     flags = score_rows(df, pred, label, mode)
     return flags.agg(*[F.coalesce(F.avg(F.col(m).cast("double")), F.lit(0.0)).alias(m) for m in METRICS])
+
+
+def score_token_ids(
+    df: DataFrame,
+    make_decoder: Callable,
+    *,
+    pred: str = "pred_ids",
+    label: str = "label_ids",
+    pad_id: int | None = 0,
+    end_id: int | None = None,
+    mode: str = "native",
+) -> DataFrame:
+    """``score_completions`` of id arrays: ignore markers are replaced on both sides, ids decoded, texts scored."""
+    ready = df.select(
+        replace_ignored(F.col(pred), pad_id, end_id).alias("_pred"), replace_ignored(F.col(label), pad_id, end_id).alias("_label")
+    )
+    texts = decode_tokens(decode_tokens(ready, "_pred", "pred", make_decoder), "_label", "label", make_decoder)
+    return score_completions(texts.select("pred", "label"), mode=mode)

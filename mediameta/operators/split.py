@@ -59,13 +59,18 @@ def pack_sequences(
     """(row_id, n_tokens, bucket, sequence, start): where each example begins in its packed sequence.
 
     Examples are laid end to end and cut every ``limit`` tokens. Buckets are
-    ranges of unique non-negative row ids, so no window exceeds
-    ``rows_per_bucket`` rows however large the table is.
+    equal ranges between the least and the greatest row id, as wide as
+    ``rows_per_bucket`` rows take on average. So sparse ids pack as tightly as
+    dense ones, and no window grows with the table while the ids are spread
+    evenly. Row ids must be unique.
     """
+    ids = df.agg(F.min(row_id).alias("lo"), F.max(row_id).alias("hi"), F.count(row_id).alias("n"))
+    width = F.greatest(F.ceil((F.col("hi") - F.col("lo") + 1) * float(rows_per_bucket) / F.col("n")), F.lit(1))
+    at = ids.select(F.struct("lo", width.alias("width")).alias("s")).scalar()
     sized = df.select(
         F.col(row_id),
         length.cast("bigint").alias("n_tokens"),
-        F.floor(F.col(row_id) / rows_per_bucket).cast("bigint").alias("bucket"),
+        F.floor((F.col(row_id) - at["lo"]) / at["width"]).cast("bigint").alias("bucket"),
     )
     before = Window.partitionBy("bucket").orderBy(row_id).rowsBetween(Window.unboundedPreceding, -1)
     return sized.withColumn("_at", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).select(

@@ -11,7 +11,7 @@ from mediameta.functions import filename as fn
 from mediameta.functions import jsontext, render, text, tokens
 from mediameta.functions.checks import validate_objects
 from mediameta.operators import attempts, clean, examples, generate, profile, quality, score, split
-from mediameta.plans.derive import derived, spread, table
+from mediameta.plans.derive import RAGGED_HEADER, derived, spread, table
 from mediameta.schema import RAW_COLUMNS, Params, canonical
 from mediameta.sources import tables
 from mediameta.sources.rowid import with_row_id
@@ -63,6 +63,24 @@ def csv_roundtrip(spark, sf_dir):
     return clean.clean_metadata(tables.read_labelled_csv(spark, path, key="row_id"))
 
 
+@query
+def read_filenames(spark, sf_dir):
+    path = scratch_path(spark, "names")
+    names = derived(spark, sf_dir, "filenames").repartitionByRange(8, "row_id").sortWithinPartitions("row_id")
+    names.select("name").write.text(path)
+    return tables.read_filenames(spark, path)
+
+
+@query
+def csv_ragged(spark, sf_dir):
+    """Many files without a key column, read in the order of the lines, with rows of any length."""
+    path = scratch_path(spark, "ragged")
+    lines = derived(spark, sf_dir, "ragged_lines").repartitionByRange(8, "k").sortWithinPartitions("k")
+    # One column without quotes: the lines and the header go out as they are.
+    lines.select(F.col("line").alias(RAGGED_HEADER)).write.options(header=True, sep="\u0001", quote="").csv(path)
+    return tables.read_labelled_csv(spark, path, long_rows="mark", multi_line=False)
+
+
 @query
 def row_ids(spark, sf_dir):
     return with_row_id(table(spark, sf_dir, "orders").select("o_orderkey"))
@@ -222,15 +240,15 @@ def profile_nulls(spark, sf_dir):
 
 def _described(df: DataFrame, column: str) -> DataFrame:
     return profile.describe_column(df, column).select(
-        "count", *[_rounded(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
+        "count",
+        *[F.format_string("%.6e", F.col(c)).alias(c) for c in ("mean", "std")],
+        *[_rounded(c) for c in ("min", "q25", "q50", "q75", "max")],
     )
 
 
 @query
 def profile_episode(spark, sf_dir):
-    # The few huge test values would only compare floating-point noise.
-    small = _clean(spark, sf_dir).select(F.pmod("episode", F.lit(1000)).alias("episode"))
-    return _described(small, "episode")
+    return _described(_clean(spark, sf_dir), "episode")
 
 
 @query
@@ -276,6 +294,15 @@ def split_assignment(spark, sf_dir):
     return split.assign_split(_clean(spark, sf_dir), SPLIT_FRACTION, seed=SEED).select("row_id", "split")
 
 
+@query
+def prepare_examples(spark, sf_dir):
+    """The chain's written examples, with the side they are on."""
+    out = scratch_path(spark, "prepared")
+    examples.prepare_run(_raw(spark, sf_dir), out, SYSTEM_TEXT, params=Params(seed=SEED, eval_max_samples=EVAL_CAP))
+    sides = [spark.read.parquet(f"{out}/{side}").withColumn("side", F.lit(side)) for side in ("train", "evaluation")]
+    return sides[0].unionByName(sides[1])
+
+
 @query
 def eval_cap(spark, sf_dir):
     return split.capped_eval(_clean(spark, sf_dir), EVAL_CAP, SPLIT_FRACTION, seed=SEED).select("row_id", "name")
@@ -286,6 +313,11 @@ def pack_sequences(spark, sf_dir):
     return split.pack_sequences(table(spark, sf_dir, "documents"), F.col("n_chars"), PACK_LIMIT, row_id="doc_id")
 
 
+@query
+def pack_sparse(spark, sf_dir):
+    return split.pack_sequences(table(spark, sf_dir, "orders"), F.col("o_orderkey") % 700, PACK_LIMIT, row_id="o_orderkey")
+
+
 # --- JSON text ---
 
 
@@ -306,6 +338,11 @@ def extract_json_long(spark, sf_dir):
     return jsontext.extract_json(derived(spark, sf_dir, "long_completions"), "pred").select("id", "obj", "obj_error")
 
 
+@query
+def extract_json_deep(spark, sf_dir):
+    return jsontext.extract_json(derived(spark, sf_dir, "deep_completions"), "pred").select("id", "obj", "obj_error")
+
+
 @query
 def extract_json_python(spark, sf_dir):
     found = jsontext.extract_json(derived(spark, sf_dir, "completions"), "pred", mode="python")
@@ -347,6 +384,28 @@ def score_completions(spark, sf_dir):
     return scores.select(*[_rounded(c) for c in scores.columns])
 
 
+@query
+def score_empty(spark, sf_dir):
+    logits = table(spark, sf_dir, "events").select(F.array(F.array("value")).alias("pred"), F.lit("x").alias("label"))
+    return score.score_completions(logits)
+
+
+def code_decoder():
+    """A stand-in tokenizer: a character per id, zero is padding."""
+    return lambda rows: ["".join(chr(i) for i in ids if i) for ids in rows]
+
+
+@query
+def score_token_ids(spark, sf_dir):
+    def ids(c: str) -> Column:
+        codes = F.transform(F.split(F.nullif(F.col(c), F.lit("")), ""), lambda x: F.ascii(x).cast("bigint"))
+        return F.concat(codes, F.array(F.lit(-100).cast("bigint"))).alias(f"{c}_ids")
+
+    both = derived(spark, sf_dir, "completions").select(ids("pred"), ids("label"))
+    scores = score.score_token_ids(both, code_decoder)
+    return scores.select(*[_rounded(c) for c in scores.columns])
+
+
 @query
 def score_rows(spark, sf_dir):
     both = derived(spark, sf_dir, "completions")
@@ -394,6 +453,12 @@ def length_generator():
     return generate_
 
 
+@query
+def infer_chain(spark, sf_dir):
+    records = generate.infer_metadata(derived(spark, sf_dir, "filenames"), length_generator, SYSTEM_TEXT)
+    return records.select("row_id", "status", "attempt", "obj", F.array_join("errors", " | ").alias("errors"))
+
+
 @query
 def batch_generate(spark, sf_dir):
     prompts = derived(spark, sf_dir, "filenames").select(

@@ -37,19 +37,22 @@ _NAMED = f"""
 SELECT t.*,
        CASE
          WHEN k % 3 = 0 THEN 'Evening Sampler - 01.mkv'
-         WHEN j % 14 = 0 THEN concat('[Grp] ', title, ' - ', ee, ' (1080p) [', crc, '].mkv')
-         WHEN j % 14 = 1 THEN concat(title, ' - S0', st, 'E', ee, ' - Part 720p [', lower(crc), '].mkv')
-         WHEN j % 14 = 2 THEN concat(replace(title, ' ', '_'), '_S0', st, '_-_E', ee, '_(4k).mkv')
-         WHEN j % 14 = 3 THEN concat(replace(title, ' ', '.'), '.Season', st, '_Eps', ee, '(720p).FLAC.[', crc, '].mkv')
-         WHEN j % 14 = 4 THEN concat(title, ' NCOP - 01.mkv')
-         WHEN j % 14 = 5 THEN concat(title, ' - ', ee, 'v2 [', crc, '].mkv')
-         WHEN j % 14 = 6 THEN concat(title, ' 2nd Season - ', ee, ' (BD).mkv')
-         WHEN j % 14 = 7 THEN concat(title, ' (1080p).WEB-DL.[', crc, '].mkv')
-         WHEN j % 14 = 8 THEN concat(title, ' S0', st, ' -', ee, '- (AV1) (x265).mkv')
-         WHEN j % 14 = 9 THEN concat(title, ' S01E', ee, 'v3 OVA.mkv')
-         WHEN j % 14 = 10 THEN concat('Episode ', et, ' ', title, '.mp4')
-         WHEN j % 14 = 11 THEN concat(title, ' (Other Name) - ', ee, ' [1080p][', pri, '].mkv')
-         WHEN j % 14 = 12 THEN concat('hoshi-no-', lower(replace(title, ' ', '-')), '-', ee, '.mkv')
+         WHEN j % 17 = 0 THEN concat('[Grp] ', title, ' - ', ee, ' (1080p) [', crc, '].mkv')
+         WHEN j % 17 = 1 THEN concat(title, ' - S0', st, 'E', ee, ' - Part 720p [', lower(crc), '].mkv')
+         WHEN j % 17 = 2 THEN concat(replace(title, ' ', '_'), '_S0', st, '_-_E', ee, '_(4k).mkv')
+         WHEN j % 17 = 3 THEN concat(replace(title, ' ', '.'), '.Season', st, '_Eps', ee, '(720p).FLAC.[', crc, '].mkv')
+         WHEN j % 17 = 4 THEN concat(title, ' NCOP - 01.mkv')
+         WHEN j % 17 = 5 THEN concat(title, ' - ', ee, 'v2 [', crc, '].mkv')
+         WHEN j % 17 = 6 THEN concat(title, ' 2nd Season - ', ee, ' (BD).mkv')
+         WHEN j % 17 = 7 THEN concat(title, ' (1080p).WEB-DL.[', crc, '].mkv')
+         WHEN j % 17 = 8 THEN concat(title, ' S0', st, ' -', ee, '- (AV1) (x265).mkv')
+         WHEN j % 17 = 9 THEN concat(title, ' S01E', ee, 'v3 OVA.mkv')
+         WHEN j % 17 = 10 THEN concat('Episode ', et, ' ', title, '.mp4')
+         WHEN j % 17 = 11 THEN concat(title, ' (Other Name) - ', ee, ' [1080p][', pri, '].mkv')
+         WHEN j % 17 = 12 THEN concat('hoshi-no-', lower(replace(title, ' ', '-')), '-', ee, '.mkv')
+         WHEN j % 17 = 13 THEN concat(title, ' - 3-Ri no baka - ', ee, '.mkv')
+         WHEN j % 17 = 14 THEN concat(title, ' - 12-sai no haru - ', ee, ' [', crc, '].mkv')
+         WHEN j % 17 = 15 THEN concat(title, ' - 9-nine- - ', ee, ' [1080p].mkv')
          ELSE concat('umi---aki-no-sora-sama-to-6-gou-', ee, ' (S0', st, 'E', ee, ').mkv')
        END AS base_name
 FROM ({_TITLED}) t"""
@@ -83,6 +86,34 @@ SELECT k AS row_id,
                    WHEN 6 THEN 'nan' ELSE crc END AS crc_hash
 FROM ({_NAMED}) n"""
 
+# The titles as slugs, and as titles once more: hyphens become spaces, but for those next to digits and before honorifics.
+_SLUG_WANTED = (
+    'Hoshi no Harbor Lights|Hoshi no Kaze no Uta|hoshi-no-7-seven-|Hoshi no Zero 3-4|Hoshi no Matte Yo Neko-chan|'
+    'Hoshi no Tōi Sora no Mukō|Hoshi no Blue Door - Second Key|Hoshi no Say "hi" / Bye|Hoshi no Garden (niwa no Hana)'
+)
+
+# What is to be read from each name, by how the name was made and not by how it is read.
+EXPECTED = f"""
+SELECT row_id, name, want_title, want_season, want_episode, want_explicit AND want_episode IS NOT NULL AS want_explicit,
+       want_version, want_asset, want_crc, regexp_replace(name, '[.](mkv|mp4)$', '') AS want_stem
+FROM (SELECT k AS row_id, base_name AS name, k % 3 = 0 AS hot, j % 17 AS form,
+       CASE WHEN k % 3 = 0 THEN 'Evening Sampler'
+            WHEN j % 17 = 10 THEN concat('Episode ', et, ' ', title)
+            WHEN j % 17 = 11 THEN concat(title, ' (Other Name)')
+            WHEN j % 17 = 12 THEN replace(split_part('{_SLUG_WANTED}', '|', CAST(j % 9 + 1 AS INT)), '/', chr(92))
+            WHEN j % 17 = 13 THEN concat(title, ' - 3-Ri no baka')
+            WHEN j % 17 = 14 THEN concat(title, ' - 12-sai no haru')
+            WHEN j % 17 = 15 THEN concat(title, ' - 9-nine-')
+            WHEN j % 17 = 16 THEN 'Umi - Aki no Sora-sama to 6-gou'
+            ELSE title END AS want_title,
+       CASE WHEN k % 3 = 0 THEN NULL WHEN j % 17 IN (1, 2, 3, 8, 16) THEN s WHEN j % 17 = 6 THEN 2 WHEN j % 17 = 9 THEN 1 END AS want_season,
+       CASE WHEN k % 3 = 0 THEN 1 WHEN j % 17 IN (4, 7) THEN NULL ELSE e END AS want_episode,
+       k % 3 <> 0 AND j % 17 IN (1, 2, 3, 9, 10, 16) AS want_explicit,
+       k % 3 <> 0 AND j % 17 IN (5, 9) AS want_version,
+       k % 3 <> 0 AND j % 17 IN (4, 9) AS want_asset,
+       CASE WHEN k % 3 <> 0 AND j % 17 IN (0, 1, 3, 5, 7, 14) THEN crc END AS want_crc
+  FROM ({_NAMED}) n) m"""
+
 # Bare filenames, as a model or the extraction rules get them.
 FILENAMES = f"SELECT k AS row_id, base_name AS name FROM ({_NAMED}) n"
 
@@ -147,6 +178,32 @@ SELECT doc_id AS id,
        END AS pred
 FROM documents"""
 
+# An object with a member per word of a document; what may not stand in a JSON text is a space.
+_PLAIN = "translate(text, concat(chr(34), chr(92), chr(10), chr(9), chr(13)), '     ')"
+DEEP_OBJECT = f"concat('{{\"w\":[{{\"x\":{{\"y\":\"', replace({_PLAIN}, ' ', '\"}}}},{{\"x\":{{\"y\":\"'), '\"}}}}]}}')"
+DEEP_COMPLETIONS = f"SELECT doc_id AS id, concat('Here: ', {DEEP_OBJECT}, ' and }} {{ more') AS pred FROM documents"
+
+# Lines of a labelled CSV with any number of fields, and what is to be read from them.
+RAGGED_HEADER = "name,show_name,season,episode,reasoning,confidence,crc_hash"
+_RAGGED_LINE = """CASE k % 8
+         WHEN 0 THEN concat('n', k, ',show,1,2,why,0.5,', crc)
+         WHEN 1 THEN concat('n', k, ',show,1,2,why,0.5,', crc, ',,lost')
+         WHEN 2 THEN concat('n', k, ',show,1,2,why,0.5,', crc, ',extra,')
+         WHEN 3 THEN concat('n', k, ',show,1,2,why,0.5,', crc, ',')
+         WHEN 4 THEN concat('n', k, ',show,1')
+         WHEN 5 THEN concat('"n', k, ', with ""comma"", and more",show,1,2,"why, then",0.5,', crc)
+         WHEN 6 THEN concat('"n', k, ', x",show,,,,,')
+         ELSE concat('"n', k, ',",show,1,2,"a,b",0.5,', crc, ',"x,y"') END"""
+RAGGED_LINES = f"SELECT k, {_RAGGED_LINE} AS line FROM ({_BASE}) b"
+RAGGED = """SELECT k,
+       CASE k % 8 WHEN 5 THEN concat('n', k, ', with "comma", and more') WHEN 6 THEN concat('n', k, ', x') WHEN 7 THEN concat('n', k, ',') ELSE concat('n', k) END AS name,
+       'show' AS show_name, CASE WHEN k % 8 <> 6 THEN '1' END AS season, CASE WHEN k % 8 NOT IN (4, 6) THEN '2' END AS episode,
+       CASE k % 8 WHEN 4 THEN NULL WHEN 6 THEN NULL WHEN 5 THEN 'why, then' WHEN 7 THEN 'a,b' ELSE 'why' END AS reasoning,
+       CASE WHEN k % 8 NOT IN (4, 6) THEN '0.5' END AS confidence, CASE WHEN k % 8 NOT IN (4, 6) THEN crc END AS crc_hash,
+       k % 8 IN (1, 2, 3, 7) AS overflow
+FROM (""" + _BASE + ") b"
+
+
 def attempts(engine: str = "spark") -> str:
     """Attempts 1..4 per id; valid at attempt k % 6, and for every fifth id also later on."""
     rows = {"spark": "explode(array(1, 2, 3, 4))", "duckdb": "unnest([1, 2, 3, 4])"}[engine]
@@ -177,6 +234,8 @@ SOURCES = {
     "filenames": "orders",
     "completions": "orders",
     "long_completions": "documents",
+    "deep_completions": "documents",
+    "ragged_lines": "orders",
     "attempts": "orders",
     "token_ids": "events",
 }
@@ -196,6 +255,8 @@ def sql_of(name: str, engine: str = "spark") -> str:
         "filenames": FILENAMES,
         "completions": COMPLETIONS,
         "long_completions": LONG_COMPLETIONS,
+        "deep_completions": DEEP_COMPLETIONS,
+        "ragged_lines": RAGGED_LINES,
     }[name]
 
 
@@ -205,13 +266,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *key: str) -> DataFrame:
-    """The frame, spread by key when its scan has fewer splits than there are cores.
-
-    A small file of one row group is one task, and all later work would run on
-    one core. Large tables have more splits than cores and pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+    """The frame, dealt out by key, at every size: a small file of one row group would be one task."""
+    return df.repartition(*key)
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,12 +9,11 @@ from __future__ import annotations
 
 import json
 
-from mediameta.functions import filename as fn
 from mediameta.functions.render import ASSISTANT_TAG, END_OF_TEXT, SYSTEM_TAG, USER_TAG, USER_TEMPLATE
 from mediameta.functions.text import WHITESPACE
 from mediameta.plans import catalog
 from mediameta.plans.catalog import MANIFEST_TIME, SEED, SYSTEM_TEXT
-from mediameta.plans.derive import sql_of
+from mediameta.plans.derive import DEEP_OBJECT, EXPECTED, RAGGED, sql_of
 from mediameta.schema import ISSUES, METRICS, RAW_COLUMNS, TARGET_KEYS, Params
 
 
@@ -109,7 +108,7 @@ def _describe(column: str, source: str) -> str:
     def quantile(p):
         return f"round(quantile_cont(CAST({column} AS DOUBLE), {p}), 6)"
 
-    return f"""SELECT count({column}) AS count, round(avg({column}), 6) AS mean, round(stddev_samp({column}), 6) AS std,
+    return f"""SELECT count({column}) AS count, format('{{:.6e}}', avg({column})) AS mean, format('{{:.6e}}', stddev_samp({column})) AS std,
       round(CAST(min({column}) AS DOUBLE), 6) AS min, {quantile(0.25)} AS q25, {quantile(0.5)} AS q50,
       {quantile(0.75)} AS q75, round(CAST(max({column}) AS DOUBLE), 6) AS max FROM {source} c"""
 
@@ -266,39 +265,14 @@ def _chosen(max_retries: int) -> str:
 # --- filename extraction ---
 
 
-def _find(x: str, pattern: str, group: int = 0) -> str:
-    return f"nullif(regexp_extract({x}, {_q(pattern)}, {group}), '')"
-
-
-_HONOR = "(" + ", ".join(_q(h) for h in fn.HONORIFICS) + ")"
-_PART = "(" + ", ".join(_q(p) for p in fn.PARTICLES) + ")"
-_SLUG_WORDS = f"string_split(replace(regexp_replace(cut, {_q(fn.SLUG_NUMBER)}, ''), '---', '-' || chr(2) || '-'), '-')"
-_SLUG_TITLE = f"""list_reduce(list_transform({_SLUG_WORDS}, lambda w, i:
-    CASE WHEN w = chr(2) THEN ' -'
-         WHEN i > 1 AND (w IN {_HONOR} OR regexp_matches({_SLUG_WORDS}[i - 1], '[0-9]\\z')) THEN '-' || w
-         ELSE (CASE WHEN i = 1 THEN '' ELSE ' ' END) || (CASE WHEN w IN {_PART} THEN w ELSE upper(left(w, 1)) || substr(w, 2) END)
-    END), lambda a, b: a || b)"""
-
-_FN = f"""(SELECT row_id, name, stem AS fn_stem, crc AS fn_crc, season AS fn_season, asset AS fn_asset, explicit, episode AS fn_episode,
-    version AS fn_version,
-    CASE WHEN regexp_matches(cut, {_q(fn.SLUG)}) THEN {_SLUG_TITLE} ELSE trim(regexp_replace(cut, '[ ._]+', ' ', 'g')) END AS fn_title,
-    round(greatest(0, least(1.0 - (CASE WHEN version AND episode IS NOT NULL THEN 0.1 ELSE 0 END)
-      - (CASE WHEN season IS NULL THEN 0.1 ELSE 0 END) - (CASE WHEN episode IS NOT NULL AND explicit IS NULL THEN 0.15 ELSE 0 END)
-      - (CASE WHEN episode IS NULL THEN 0.8 ELSE 0 END), CASE WHEN episode IS NULL THEN 0.2 ELSE 1.0 END)), 2)::DOUBLE AS fn_confidence
-  FROM (SELECT *, coalesce(CASE WHEN dashed IS NOT NULL THEN {_find('cut0', fn.DASHED_TITLE, 1)} END, cut0) AS cut,
-               CAST({_find('marker', fn.MATCH_NUMBER, 1)} AS BIGINT) AS episode,
-               coalesce(regexp_matches(marker, {_q(fn.MATCH_VERSION)}), FALSE) AS version
-  FROM (SELECT *, coalesce(explicit, spaced, dashed) AS marker,
-               coalesce({_find('body', fn.TITLE, 1)}, body) AS cut0
-  FROM (SELECT *, CASE WHEN bare AND spaced IS NULL THEN coalesce({', '.join(_find('stem', p) for p in fn.DASHED_EPISODE)}) END AS dashed
-  FROM (SELECT *, CASE WHEN bare THEN {_find('stem', fn.SPACED_EPISODE)} END AS spaced
-  FROM (SELECT *, explicit IS NULL AND NOT asset AS bare
-  FROM (SELECT *, upper({_find('stem', fn.CRC, 1)}) AS crc,
-               CAST(coalesce({', '.join(_find('stem', p, 1) for p in fn.SEASON)}) AS BIGINT) AS season,
-               regexp_matches(stem, {_q(fn.ASSET)}) AS asset,
-               coalesce({', '.join(_find('stem', p) for p in fn.EXPLICIT_EPISODE)}) AS explicit,
-               regexp_replace(stem, {_q(fn.GROUP_TAG)}, '') AS body
-  FROM (SELECT row_id, name, regexp_replace(name, {_q(fn.EXTENSION)}, '') AS stem FROM {_input('filenames')} f) f0) f1) f2) f3) f4) f5) f6)"""
+# Expected values come from how each name was made; no pattern of the extraction is used.
+_FN = f"""(SELECT row_id, name, want_stem AS fn_stem, want_crc AS fn_crc, want_season AS fn_season, want_asset AS fn_asset,
+    CASE WHEN want_explicit THEN 'marked' END AS explicit, want_episode AS fn_episode, want_version AS fn_version, want_title AS fn_title,
+    round(greatest(0, least(1.0 - (CASE WHEN want_version AND want_episode IS NOT NULL THEN 0.1 ELSE 0 END)
+      - (CASE WHEN want_season IS NULL THEN 0.1 ELSE 0 END)
+      - (CASE WHEN want_episode IS NOT NULL AND NOT want_explicit THEN 0.15 ELSE 0 END)
+      - (CASE WHEN want_episode IS NULL THEN 0.8 ELSE 0 END), CASE WHEN want_episode IS NULL THEN 0.2 ELSE 1.0 END)), 2)::DOUBLE AS fn_confidence
+  FROM ({EXPECTED}) w)"""
 
 _REASON = """concat(CASE WHEN fn_season IS NULL THEN 'No season marker is present. '
       ELSE concat('Season ', fn_season, ' has an explicit marker. ') END,
@@ -328,6 +302,17 @@ _EVAL = f"ceil(CAST(total AS DOUBLE) * {catalog.SPLIT_FRACTION}::DOUBLE)"
 _STUB = "concat('{\"show_name\":\"Length ', n, '\",\"season\":null,\"episode\":', n, ',\"crc_hash\":null,\"confidence\":0.9,\"reasoning\":\"stub\"}')"
 _NO_OBJECT = "'no object here'"
 
+
+
+def _packed(source: str, key: str, size: str) -> str:
+    """Examples end to end in ranges of ids, each of 4,096 rows on average."""
+    return f"""SELECT {key}, n_tokens, bucket, CAST(floor(pos / {catalog.PACK_LIMIT}) AS BIGINT) AS sequence, pos % {catalog.PACK_LIMIT} AS start
+      FROM (SELECT *, CAST(sum(n_tokens) OVER (PARTITION BY bucket ORDER BY {key}) - n_tokens AS BIGINT) AS pos
+            FROM (SELECT {key}, {size} AS n_tokens,
+                         CAST(floor(({key} - lo) / ceil((hi - lo + 1) * 4096.0::DOUBLE / n)) AS BIGINT) AS bucket
+                  FROM {source}, (SELECT min({key}) AS lo, max({key}) AS hi, count(*) AS n FROM {source}) x) d) e"""
+
+
 ORACLE: dict[str, str] = {
     "schema_canonical": f"SELECT row_id, {', '.join(RAW_COLUMNS)} FROM {_RAW} r",
     "csv_roundtrip": f"SELECT * FROM {_CLEAN} c",
@@ -359,7 +344,7 @@ ORACLE: dict[str, str] = {
     "profile_nulls": "SELECT count(*) AS row_count, "
     + ", ".join(f"count(*) - count({c}) AS {c}_nulls" for c in RAW_COLUMNS)
     + f" FROM {_CLEAN} c",
-    "profile_episode": _describe("episode", f"(SELECT (episode % 1000 + 1000) % 1000 AS episode FROM {_CLEAN} c)"),
+    "profile_episode": _describe("episode", _CLEAN),
     "profile_confidence": _describe("confidence", _CLEAN),
     "episode_top20": f"SELECT episode AS value, count(*) AS n FROM {_KEPT} c GROUP BY episode ORDER BY n DESC, value LIMIT 20",
     "season_coverage": f"SELECT round(100.0::DOUBLE * count(season) / count(*), 6) AS percent FROM {_CLEAN} c",
@@ -371,9 +356,10 @@ ORACLE: dict[str, str] = {
     "LEFT JOIN found f ON f.issue = i.issue GROUP BY i.issue",
     "split_assignment": f"SELECT row_id, CASE WHEN r <= {_EVAL} THEN 'eval' ELSE 'train' END AS split FROM {_RANKED} x",
     "eval_cap": f"SELECT row_id, name FROM {_RANKED} x WHERE r <= least({_EVAL}, {catalog.EVAL_CAP})",
-    "pack_sequences": f"""SELECT doc_id, n_tokens, bucket, CAST(floor(pos / {catalog.PACK_LIMIT}) AS BIGINT) AS sequence, pos % {catalog.PACK_LIMIT} AS start
-      FROM (SELECT *, CAST(sum(n_tokens) OVER (PARTITION BY bucket ORDER BY doc_id) - n_tokens AS BIGINT) AS pos
-            FROM (SELECT doc_id, n_chars AS n_tokens, CAST(floor(doc_id / 4096) AS BIGINT) AS bucket FROM documents) d) e""",
+    "pack_sequences": _packed("documents", "doc_id", "n_chars"),
+    "pack_sparse": _packed("orders", "o_orderkey", "o_orderkey % 700"),
+    "csv_ragged": f"SELECT row_number() OVER (ORDER BY k) - 1 AS row_id, name, show_name, season, episode, reasoning, confidence, crc_hash, overflow FROM ({RAGGED}) r",
+    "extract_json_deep": f"SELECT doc_id AS id, {DEEP_OBJECT} AS obj, '' AS obj_error FROM documents",
     "extract_json": f"SELECT id, obj, {_RETRY_ERROR} AS obj_error FROM {_extracted(_COMPLETIONS, 'pred')} e",
     "extract_json_once": f"SELECT id, obj, {_ONCE_ERROR} AS obj_error FROM {_extracted(_COMPLETIONS, 'pred', retry=False)} e",
     "extract_json_long": f"SELECT id, obj, {_RETRY_ERROR} AS obj_error FROM {_extracted(_input('long_completions'), 'pred')} e",
@@ -388,6 +374,7 @@ ORACLE: dict[str, str] = {
     "score_completions": "SELECT "
     + ", ".join(f"round(avg(CASE WHEN {m} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS {m}" for m in METRICS)
     + f" FROM {_SCORED} s",
+    "score_empty": "SELECT " + ", ".join(f"0.0::DOUBLE AS {m}" for m in METRICS),
     "score_rows": f"SELECT * FROM {_SCORED} s",
     "pair_labels": "SELECT d.doc_id, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id",
     "first_valid_attempt": f"SELECT * FROM {_chosen(3)} c",
@@ -400,6 +387,15 @@ ORACLE: dict[str, str] = {
         CASE WHEN n % 5 < 3 THEN '' ELSE 'No ''{{'' found.' END AS errors
       FROM (SELECT row_id, n, CAST(least(n % 5 + 1, 3) AS INTEGER) AS attempt
             FROM (SELECT row_id, length({_chat(_prompt('name'))}) AS n FROM {_input('filenames')} f) a) b""",
+    "infer_chain": f"""SELECT row_id, CASE WHEN n % 5 < 3 THEN 'ok' ELSE 'fail' END AS status, CAST(least(n % 5 + 1, 3) AS INTEGER) AS attempt,
+        CASE WHEN n % 5 < 3 THEN {_STUB} END AS obj, CASE WHEN n % 5 < 3 THEN '' ELSE 'No ''{{'' found.' END AS errors
+      FROM (SELECT row_id, length({_chat(_prompt('name'))}) AS n FROM {_input('filenames')} f) a""",
+    "read_filenames": f"SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, name FROM {_input('filenames')} f",
+    "prepare_examples": f"""SELECT concat({_chat(_prompt('name'))}, {_target()}, '{END_OF_TEXT}') AS text,
+        CASE WHEN r <= {_EVAL} THEN 'evaluation' ELSE 'train' END AS side
+      FROM (SELECT c.*, row_number() OVER (ORDER BY md5(concat('{SEED}:', CAST(row_id AS VARCHAR))), row_id) AS r, count(*) OVER () AS total
+            FROM {_KEPT} c) x
+      WHERE r > {_EVAL} OR r <= {catalog.EVAL_CAP}""",
     "fn_stem": f"SELECT row_id, fn_stem FROM {_FN} x",
     "fn_crc": f"SELECT row_id, fn_crc FROM {_FN} x",
     "fn_season": f"SELECT row_id, fn_season FROM {_FN} x",
@@ -409,3 +405,4 @@ ORACLE: dict[str, str] = {
     "fn_confidence": f"SELECT row_id, fn_confidence FROM {_FN} x",
     "extract_metadata": f"SELECT *, {_target()} AS target FROM {_EXTRACTED} x",
 }
+ORACLE["score_token_ids"] = ORACLE["score_completions"]

@@ -15,7 +15,9 @@ from mediameta.functions.render import template_parts
 from mediameta.schema import RAW_COLUMNS, normalize_header, require_columns
 from mediameta.sources.rowid import with_row_id
 
-_OVERFLOW = "__overflow"
+_ODD_ROW = "__odd_row"
+# A quoted field, or a part of one between doubled quotes.
+_QUOTED = r'"[^"]*+"'
 
 
 def read_labelled_csv(
@@ -29,30 +31,36 @@ def read_labelled_csv(
     """The seven required columns as text plus ``row_id``; lazy but for the header line.
 
     Commas, doubled quotes and newlines inside quotes are kept. Short rows are
-    padded with nulls. Rows with more fields than the header fail the job, or
-    with ``long_rows="mark"`` keep their place and get ``overflow`` set.
-    All files under ``path`` share one header. ``multi_line`` files cannot be
-    split, so at scale give many files, or turn it off when no value holds a
+    padded with nulls. Rows with more fields than the header, empty ones
+    included, fail the job, or with ``long_rows="mark"`` keep their place and get
+    ``overflow`` set. All files under ``path`` must have the same header: one with
+    other columns, or in another order, fails the job. ``multi_line`` files cannot
+    be split, so at scale give many files, or turn it off when no value holds a
     newline.
     """
     if long_rows not in ("raise", "mark"):
         raise ValueError(f"unknown treatment of long rows: {long_rows}")
     options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "encoding": "UTF-8"}
-    header = normalize_header(spark.read.options(**options).csv(path).columns)
+    found = spark.read.options(**options).csv(path).columns
+    header = normalize_header(found)
     wanted = [key.strip().lower()] if key else []
     extra = [c for c in require_columns(header) if c not in wanted]
     if extra:
         warnings.warn(f"ignoring extra columns: {extra}", stacklevel=2)
 
-    # One column more than the header catches fields that would be cut silently.
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _OVERFLOW]])
-    rows = spark.read.options(**options, columnPruning=False).schema(schema).csv(path)
-    numbered = with_row_id(rows, *wanted)
-    overflow = F.col(_OVERFLOW).isNotNull()
+    # Rows whose number of fields differs from the header's come with their text. Files are held to the header's names.
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*found, _ODD_ROW]])
+    checks = {"columnPruning": False, "enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _ODD_ROW}
+    rows = spark.read.options(**options, **checks).schema(schema).csv(path)
+    needed = [found[header.index(c)] for c in [*wanted, *RAW_COLUMNS]]
+    numbered = with_row_id(rows.select(*[F.col(f"`{c}`") for c in needed], _ODD_ROW), *needed[: len(wanted)])
+    named = numbered.toDF("row_id", *RAW_COLUMNS, _ODD_ROW)
+    fields = F.regexp_count(F.regexp_replace(_ODD_ROW, _QUOTED, ""), F.lit(",")) + 1
+    overflow = F.coalesce(fields > len(found), F.lit(False))
     if long_rows == "mark":
-        return numbered.select("row_id", *RAW_COLUMNS, overflow.alias("overflow"))
+        return named.select("row_id", *RAW_COLUMNS, overflow.alias("overflow"))
     message = F.concat(F.lit("row with more fields than the header: "), F.col("row_id").cast("string"))
-    checked = numbered.filter(F.when(~overflow, True).otherwise(F.raise_error(message).cast("boolean")))
+    checked = named.filter(F.when(~overflow, True).otherwise(F.raise_error(message).cast("boolean")))
     return checked.select("row_id", *RAW_COLUMNS)
 
 

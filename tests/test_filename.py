@@ -36,6 +36,11 @@ OWN = [
     ("Show (1080p HEVC) - 05.mkv", None, 5, None, 0.75, "Show"),
     ("Show Season 2 Episode 12 [ABC].mkv", 2, 12, None, 1.0, "Show"),
     ("Show [ABCDEF123].mkv", None, None, None, 0.1, "Show"),
+    ("Show - 3-Ri no baka - 07.mkv", None, 7, None, 0.75, "Show - 3-Ri no baka"),
+    ("Title - 12-sai no haru - 03 [x].mkv", None, 3, None, 0.75, "Title - 12-sai no haru"),
+    ("Show - 9-nine- - 04 [1080p].mkv", None, 4, None, 0.75, "Show - 9-nine-"),
+    ("Show - 3-Ri no baka.mkv", None, None, None, 0.1, "Show - 3-Ri no baka"),
+    ("Show - 05- (AV1).mkv", None, 5, None, 0.75, "Show"),
     ("opera house - 02.mkv", None, 2, None, 0.75, "opera house"),
 ]
 

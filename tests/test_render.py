@@ -35,11 +35,11 @@ def test_braces_at_the_ends_of_values_stay(spark):
 
 
 def test_training_text(spark):
-    df = spark.createDataFrame([(0, "a$1\\b.mkv", "A", 1, 2, "ok", 0.9, "ABCDEF12"), (1, None, "A", 1, 2, "ok", 0.9, None)], CLEAN)
+    df = spark.createDataFrame([(0, "c$2\\d.mp4", "Low Tide", 3, 14, "read", 0.65, "00FF11EE"), (1, None, "Low Tide", 3, 14, "read", 0.65, None)], CLEAN)
     first, second = [r.text for r in training_examples(df, "SYS").orderBy("row_id").collect()]
     assert first == (
-        '<|system|>\nSYS\n<|user|>\nFilename: "a$1\\b.mkv"\nExtract metadata.\n<|assistant|>\n'
-        '{"show_name":"A","season":1,"episode":2,"crc_hash":"ABCDEF12","confidence":0.9,"reasoning":"ok"}<|endoftext|>'
+        '<|system|>\nSYS\n<|user|>\nFilename: "c$2\\d.mp4"\nExtract metadata.\n<|assistant|>\n'
+        '{"show_name":"Low Tide","season":3,"episode":14,"crc_hash":"00FF11EE","confidence":0.65,"reasoning":"read"}<|endoftext|>'
     )
     assert 'Filename: ""' in second
 

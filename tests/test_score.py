@@ -1,6 +1,8 @@
 import json
+import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from mediameta.functions.checks import validate_objects
@@ -9,9 +11,9 @@ from mediameta.operators import attempts, generate, score
 from mediameta.operators.generate import object_errors_of
 from mediameta.schema import METRICS
 
-GOOD = '{"show_name":"A","season":1,"episode":2,"crc_hash":"ABCDEF12","confidence":0.9,"reasoning":"ok"}'
-BAD = '{"show_name":"A","season":null,"episode":null,"crc_hash":"BAD","confidence":1.2,"reasoning":123}'
-WRONG = {"show_name": "", "season": "bad", "episode": "bad", "crc_hash": "ZZZZZZZZ", "confidence": 1.5, "reasoning": 123}
+GOOD = '{"show_name":"Lantern Coast","season":4,"episode":11,"crc_hash":"0F1E2D3C","confidence":0.8,"reasoning":"both marked"}'
+BAD = '{"show_name":"Lantern Coast","season":null,"episode":null,"crc_hash":"0F1E","confidence":-0.3,"reasoning":[1]}'
+WRONG = {"show_name": "", "season": [4], "episode": "eleven", "crc_hash": "0F1E2D3G", "confidence": 7, "reasoning": None}
 
 
 def errors_of(spark, texts, **options):
@@ -33,10 +35,10 @@ def test_every_error(spark):
 
 
 def test_valid_and_missing(spark):
-    ok, no_episode, empty, none = errors_of(spark, [GOOD, GOOD.replace('"episode":2', '"episode":null'), "{}", "x"])
+    ok, no_episode, empty, none = errors_of(spark, [GOOD, GOOD.replace('"episode":11', '"episode":null'), "{}", "x"])
     assert ok == [] and no_episode == ["episode is required but was null."]
     assert empty == ["empty object"] and none == ["No '{' found."]
-    assert errors_of(spark, [GOOD.replace('"episode":2', '"episode":null')], require_episode=False) == [[]]
+    assert errors_of(spark, [GOOD.replace('"episode":11', '"episode":null')], require_episode=False) == [[]]
 
 
 def test_native_and_python_checks_agree(spark):
@@ -61,8 +63,8 @@ def test_scores(spark):
     assert scores(spark, [(prompt + GOOD, prompt + GOOD)]) == (1,) * 6
     assert scores(spark, [(GOOD, None), (GOOD, GOOD), (None, GOOD), ("x", GOOD)]) == (0.5,) * 5 + (0.25,)
     assert scores(spark, []) == (0,) * 6
-    assert scores(spark, [(GOOD.replace("0.9", "0.90"), GOOD)]) == (1,) * 6
-    no_crc = GOOD.replace('"crc_hash":"ABCDEF12",', "")
+    assert scores(spark, [(GOOD.replace("0.8", "0.80"), GOOD)]) == (1,) * 6
+    no_crc = GOOD.replace('"crc_hash":"0F1E2D3C",', "")
     assert scores(spark, [(no_crc, GOOD)]) == (1, 0, 1, 1, 1, 0)
 
 
@@ -80,6 +82,53 @@ def test_logits_and_ids(spark):
         score.score_completions(ids)
 
 
+NUMBERS = ["1", "1.0", "1e0", "10e-1", "true", "0", "-0", "0.0", "false", "100", "1e2", "0.00005", "5e-05", "5.0E-5", "0.1", "0.10", "1e-1", "0.3", "0.30000000000000004", "null", '"1"', '"1.0"', "12345678901234567890", "2.5e3", "2500"]
+
+
+def test_equality_by_value(spark):
+    rng = random.Random(9)
+
+    names = ["a", "b", "1e2", r't\"rue']
+
+    def value(depth=0):
+        kind = rng.random()
+        if depth < 3 and kind < 0.2:
+            return "[" + ",".join(value(depth + 1) for _ in range(rng.randrange(3))) + "]"
+        if depth < 3 and kind < 0.4:
+            return "{" + ",".join(f'"{k}":{value(depth + 1)}' for k in rng.sample(names, rng.randrange(3))) + "}"
+        return rng.choice(NUMBERS)
+
+    def other(text):
+        for _ in range(rng.randrange(3)):
+            text = text.replace(*rng.choice([("100", "1e2"), ("1.0", "true"), ("0.10", "0.1"), ("5e-05", "0.00005"), ("false", "0"), ("2500", "2.5e3")]), 1)
+        return text
+
+    rows = []
+    for i in range(1500):
+        a = '{"x":' + value() + ',"y":' + value() + "}"
+        rows.append((i, a, other(a) if i % 2 else '{"x":' + value() + "}"))
+    rows += [(9001, '{"a":1e2}', '{"a":100}'), (9002, '{"a":5e-05}', '{"a":0.00005}'), (9003, '{"a":true}', '{"a":1}')]
+    df = spark.createDataFrame(rows, "i int, pred string, label string")
+    got = {r.i: r.exact_json_match for r in score.score_rows(df).collect()}
+
+    def read(text):
+        try:
+            return json.loads(text)
+        except ValueError:
+            return text
+
+    for i, a, b in rows:
+        assert got[i] == (read(a) == read(b)), (a, b)
+
+
+def test_labels_are_unique(spark):
+    preds = spark.createDataFrame([(1, GOOD), (2, GOOD), (None, GOOD)], "id bigint, pred string")
+    labels = spark.createDataFrame([(1, GOOD), (1, BAD), (None, GOOD), (None, GOOD)], "id bigint, label string")
+    with pytest.raises(PySparkException, match="more than one label"):
+        score.pair_labels(preds, labels).collect()
+    assert score.pair_labels(preds, labels.filter("id IS NULL OR label LIKE '%0F1E2D3C%'")).count() == 3
+
+
 def test_missing_label_still_counts(spark):
     preds = spark.createDataFrame([(1, GOOD), (2, GOOD)], "id bigint, pred string")
     labels = spark.createDataFrame([(1, GOOD), (3, GOOD)], "id bigint, label string")
@@ -104,6 +153,15 @@ def test_first_valid_attempt(spark):
         assert (r.status, r.attempt, len(r.errors)) == ("fail", 0, 1)
 
 
+def test_every_id_gets_a_record(spark):
+    rows = [(1, 5, GOOD, 7), (2, 1, "x", 1), (2, 9, GOOD, 2), (3, None, GOOD, 3), (None, 2, GOOD, 4), (4, 0, "x", 1), (4, 2, BAD, 6)]
+    df = spark.createDataFrame(rows, "id bigint, attempt int, decoded string, gen_tokens int")
+    found = attempts.first_valid_attempt(df)
+    got = {r.id: (r.status, r.attempt, r.gen_tokens) for r in found.collect()}
+    assert got == {1: ("fail", 0, 0), 2: ("fail", 1, 1), 3: ("fail", 0, 0), None: ("ok", 2, 4), 4: ("fail", 2, 6)}
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_run_summary(spark):
     df = spark.createDataFrame([("ok", 1, 5), ("ok", 3, 6), ("fail", 3, 1)], "status string, attempt int, gen_tokens int")
     got = {r.status: (r.n, r.gen_tokens, r.attempts, r.max_attempt) for r in attempts.run_summary(df).collect()}

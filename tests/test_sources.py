@@ -52,6 +52,38 @@ def test_long_rows(spark, tmp_path):
         tables.read_labelled_csv(spark, path, long_rows="ignore")
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_long_rows_of_any_shape(spark, tmp_path, multi_line):
+    full = "n{},s,1,2,r,0.5,AABBCCDD"
+    ends = {",,lost": True, ",x,": True, ",": True, ",,": True, ',"a,b"': True, "": False}
+    lines = [full.format(i) + end for i, end in enumerate(ends)] + ['"q, ""r""","s,t",1,2,"u,v",0.5,x', "short,s", '"c, d",s', ",,,,,,", ",,,,,,,"]
+    path = write(tmp_path, "\n".join([HEADER, *lines]) + "\n")
+    marked = tables.read_labelled_csv(spark, path, long_rows="mark", multi_line=multi_line).orderBy("row_id").collect()
+    assert [r.overflow for r in marked] == [*ends.values(), False, False, False, False, True]
+    assert marked[6].name == 'q, "r"' and marked[8].name == "c, d" and marked[8].season is None
+    with pytest.raises(PySparkException, match="more fields than the header"):
+        tables.read_labelled_csv(spark, path, multi_line=multi_line).count()
+
+
+def test_newline_in_the_last_field(spark, tmp_path):
+    path = write(tmp_path, f'{HEADER}\na,b,1,2,r,0.9,"x\ny"\na,b,1,2,r,0.9,"x\ny",z\n')
+    marked = tables.read_labelled_csv(spark, path, long_rows="mark").orderBy("row_id").collect()
+    assert [(r.crc_hash, r.overflow) for r in marked] == [("x\ny", False), ("x\ny", True)]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_files_with_another_header(spark, tmp_path, multi_line):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    write(folder, f"{HEADER}\na,b,1,2,r,0.9,x\n", "one.csv")
+    other = HEADER.split(",")
+    other[0], other[1] = other[1], other[0]
+    write(folder, ",".join(other) + "\nb,a,1,2,r,0.9,x\n", "two.csv")
+    # The numbered copy fails, or, with a key, the read itself.
+    with pytest.raises(Exception, match=r"two\.csv|[Hh]eader"):
+        tables.read_labelled_csv(spark, str(folder), multi_line=multi_line).collect()
+
+
 def test_row_ids_follow_file_order(spark, tmp_path):
     folder = tmp_path / "many"
     folder.mkdir()

@@ -59,7 +59,7 @@ def test_hot_names_give_the_same_counts(spark, hot, parts):
     """A third of the rows share one name, another part is null."""
     names = ["hot" if i % 3 == 0 else None if i % 7 == 0 else f"n{i % 150}" if i % 2 else f"u{i}" for i in range(900)]
     df = spark.createDataFrame(list(enumerate(names)), "row_id bigint, name string").repartition(parts)
-    got = {r.row_id: r.name_count for r in quality.with_name_count(df, hot_count=hot).collect()}
+    got = {r.row_id: r.name_count for r in quality.with_name_count(df, hot_names=hot).collect()}
     assert got == {i: names.count(n) for i, n in enumerate(names)}
 
 
@@ -85,12 +85,15 @@ def test_describe(spark):
     assert empty["count"] == 0 and empty.q50 is None
 
 
-@pytest.mark.parametrize("kind", ["hot", "outlier", "uniform"])
+@pytest.mark.parametrize("kind", ["hot", "outlier", "uniform", "decades", "signs", "one"])
 def test_exact_quantiles(spark, kind):
     data = {
         "hot": [5.0 if i % 3 == 0 else (i * 7919 % 1000) / 10 for i in range(3001)],
         "outlier": [float(i % 40) for i in range(2000)] + [9e18],
         "uniform": [i / 7 for i in range(1501)],
+        "decades": [10 ** (i * 18 / 4001) for i in range(4001)],
+        "signs": [(-1) ** i * 1.5 ** (i % 90) for i in range(1000)] + [0.0, -0.0, 5e-324, -5e-324],
+        "one": [2.5],
     }[kind]
     df = spark.createDataFrame([(v,) for v in data] + [(None,)], "v double").repartition(5)
     got = exact_quantiles(df, "v", [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]).first().q
