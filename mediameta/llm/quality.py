@@ -33,6 +33,8 @@ SEED = 11
 
 #: Hashed features: shapes of words, words, metadata.
 SHAPES, WORDS, META = 256, 256, 192
+#: Further text features: repeats of the word before, and the number of words.
+MEASURES = 2
 REMEMBERED = 400_000
 
 LETTERS, DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+")
@@ -50,12 +52,12 @@ def shape(word: str) -> str:
 
 
 def text_features():
-    """A function from a text to its row: shares of word shapes and of words, by hash."""
+    """A function from a text to its row: shares of word shapes and of words, by hash, and the measures."""
     known: dict[str, int] = {}
 
     def row(text: str | None) -> np.ndarray:
         words = (text or "").split()
-        out = np.zeros(SHAPES + WORDS, np.float32)
+        out = np.zeros(SHAPES + WORDS + MEASURES, np.float32)
         if not words:
             return out
         if len(known) > REMEMBERED:
@@ -65,7 +67,9 @@ def text_features():
                 known[w] = bucket(shape(w), SHAPES) << 16 | bucket("w" + w.lower(), WORDS)
         codes = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         out[:SHAPES] = np.sqrt(np.bincount(codes >> 16, minlength=SHAPES) / len(words))
-        out[SHAPES:] = np.sqrt(np.bincount(codes & 0xFFFF, minlength=WORDS) / len(words))
+        out[SHAPES : SHAPES + WORDS] = np.sqrt(np.bincount(codes & 0xFFFF, minlength=WORDS) / len(words))
+        out[-2] = np.sqrt((codes[1:] == codes[:-1]).mean()) * 2 if len(words) > 1 else 0
+        out[-1] = np.log2(len(words)) / 8
         return out
 
     return row
@@ -194,7 +198,7 @@ COLUMNS = ("text", "lang", "source", "n_chars")
 
 def features_of(batch: pa.RecordBatch, row) -> tuple[np.ndarray, np.ndarray]:
     texts = batch.column("text").to_pylist()
-    text = np.array([row(t) for t in texts]).reshape(len(texts), SHAPES + WORDS)
+    text = np.array([row(t) for t in texts]).reshape(len(texts), SHAPES + WORDS + MEASURES)
     others = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("n_chars").to_pylist(), texts, strict=True)
     meta = np.array([meta_features(a, b, c, (t or "").count("\n") + 1) for a, b, c, t in others]).reshape(len(texts), META)
     return text, meta
@@ -230,7 +234,7 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, labe
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", labelled: int = LABELLED, unlabelled: int = UNLABELLED, rounds: int = ROUNDS) -> Model | None:
     """The co-trained model; None if there are too few labels."""
     got = sample(docs, labels, id_col, label_col, labelled, unlabelled)
-    text = np.array([np.frombuffer(x, np.float32) for x in got["t"]]).reshape(len(got), SHAPES + WORDS)
+    text = np.array([np.frombuffer(x, np.float32) for x in got["t"]]).reshape(len(got), SHAPES + WORDS + MEASURES)
     meta = np.array([np.frombuffer(x, np.float32) for x in got["m"]]).reshape(len(got), META)
     y = got["y"].to_numpy(int)
     known = y >= 0
