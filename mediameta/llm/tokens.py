@@ -18,7 +18,7 @@ UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Longer texts are cut into units part by part.
 PART = 1 << 20
 #: Units remembered per task; then the memory is emptied and begins anew.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 
 def load(tokenizer: str):
@@ -60,9 +60,9 @@ def little_endian(ids: list[int]) -> bytes:
 
 
 # Words of plain Latin letters with the marks behind them; an apostrophe would make other pieces.
-PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+PLAIN = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 # Texts on which the short way must agree with the whole tokenizer, or it is not taken.
-PROBES = ["the", " The", " Straße,", "ÉTÉ", " a", "Wort.", " naïve?!", " HeLLo...", "x;", "œuvre", " Ünïcödé", " qzx", "tionen"]
+PROBES = ["the", " The", " Straße,", "ÉTÉ", " a", "Wort.", "\nnaïve?!", "\nHeLLo...", "x;", "œuvre", " Ünïcödé", " qzx", "tionen"]
 
 
 def byte_letters() -> dict[int, str]:
@@ -72,64 +72,62 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def short_way(model) -> Callable[[str], bytes | None] | None:
-    """Ids of a plain unit from the model's merges alone, without a pass through normaliser and splitter.
+class Pieces(dict):
+    """Ids of pieces by the model's merges alone."""
+
+    def __init__(self, merges) -> None:
+        self.merges, self.letters = merges, byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        named = piece.replace(" ", self.letters[32]) if piece.isascii() and piece != "\n" else piece.encode().decode("latin1").translate(self.letters)
+        self[piece] = ids = little_endian([t.id for t in self.merges.tokenize(named)])
+        return ids
 
-    It is tried in the two forms of byte-level models, with the space before a word and without space and upper case. None
-    if neither gives the tokenizer's ids on all probes.
-    """
-    letters = byte_letters()
-    merges = model.model
 
-    def ids(piece: str) -> list[int]:
-        return [t.id for t in merges.tokenize(piece.encode().decode("latin1").translate(letters))]
+class Units(dict):
+    """Ids of units. Plain ones go the short way, without a pass through normaliser and splitter, if there is one.
 
-    def spaced(space: str, word: str, marks: str) -> list[int]:
-        return ids(space + word) + (ids(marks) if marks else [])
+    It is tried in the two forms of byte-level models, with the white space before a word and without white space and upper
+    case, and taken if it gives the tokenizer's ids on all probes.
+    """
+
+    def __init__(self, model) -> None:
+        self.model = model
+        self.pieces = Pieces(model.model)
+        self.form = next((f for f in (self.spaced, self.lowered) if self.agrees(f)), None)
 
-    def lowered(space: str, word: str, marks: str) -> list[int]:
-        return ids(word.lower()) + (ids(marks) if marks else [])
+    def spaced(self, white: str, word: str, marks: str) -> bytes:
+        head = self.pieces["\n"] + self.pieces[word] if white == "\n" else self.pieces[white + word]
+        return head + self.pieces[marks] if marks else head
 
-    for form in (spaced, lowered):
+    def lowered(self, white: str, word: str, marks: str) -> bytes:
+        head = self.pieces[word.lower()]
+        return head + self.pieces[marks] if marks else head
 
-        def unit(text: str, form=form) -> bytes | None:
-            m = PLAIN.fullmatch(text)
-            return little_endian(form(*m.groups())) if m else None
+    def whole(self, unit: str) -> bytes:
+        return little_endian(self.model.encode(unit, add_special_tokens=False).ids)
 
+    def agrees(self, form: Callable[[str, str, str], bytes]) -> bool:
         try:
-            if all(unit(p) in (None, little_endian(model.encode(p, add_special_tokens=False).ids)) for p in PROBES):
-                return unit
+            return all(form(*m.groups()) == self.whole(p) for p in PROBES if (m := PLAIN.fullmatch(p)))
         except Exception:  # noqa: BLE001  a model of another kind
-            continue
-    return None
+            return False
+
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) + len(self.pieces) > REMEMBERED:
+            self.clear()
+            self.pieces.clear()
+        m = PLAIN.fullmatch(unit) if self.form else None
+        self[unit] = ids = self.form(*m.groups()) if m else self.whole(unit)
+        return ids
 
 
 def encoder(tokenizer: str) -> Callable[[list[str]], Iterator[bytes]]:
     """A function from texts to their ids, as little-endian unsigned 32-bit integers."""
-    model = load(tokenizer)
-    plain = short_way(model)
-    known: dict[str, bytes] = {}
-
-    def learn(new: list[str]) -> None:
-        if plain:
-            found = {u: plain(u) for u in new}
-            new = [u for u, ids in found.items() if ids is None]
-            known.update((u, ids) for u, ids in found.items() if ids is not None)
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            for unit, got in zip(some, model.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[unit] = little_endian(got.ids)
+    ids_of = Units(load(tokenizer)).__getitem__
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         for text in texts:
-            out = []
-            for found in units(text or ""):
-                if len(known) > REMEMBERED:
-                    known.clear()
-                new = set(found).difference(known)
-                if new:
-                    learn(list(new))
-                out.append(b"".join(map(known.__getitem__, found)))
-            yield b"".join(out)
+            yield b"".join([b"".join(map(ids_of, found)) for found in units(text or "")])
 
     return encode
