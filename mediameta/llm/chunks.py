@@ -1,8 +1,15 @@
-"""Operator 4, substring deduplication: content-defined chunks, cut by a gear rolling hash and deduplicated by digest.
+"""Operator 4, substring deduplication: every passage of ``LEAST_SPAN`` bytes or more that occurs before, found exactly.
 
-A text's bytes are cut where the gear hash of the last ``WINDOW`` bytes has its top bits zero. The cuts depend on the bytes
-around them alone, so an insertion moves the chunks near it and the rest fall as before. Chunks with an equal digest are
-equal; of each, the first by (document, position) stays. Neighbouring repeated chunks of a document form a span.
+Each window of ``LEAST_SPAN`` bytes has a seed, the ``WINDOW`` bytes within it whose gear rolling hash is least, so equal
+windows have equal seeds at the same place. Neighbouring windows with one seed are a run, about one in 48 bytes.
+
+1. Runs with an equal digest are equal: all but the first by (document, position) are repeated as a whole.
+2. Of runs that differ, windows are equal only if the seed and the half of the rest before or behind it are. Where two
+   different runs share such a key, their windows are compared one by one. Shared keys are in a sieve of bits that
+   follows their number; an error there costs time and no result.
+3. Repeated windows that touch or overlap form a span, so a span ends where the match ends.
+
+``chunk`` cuts texts at content-defined places alone.
 """
 
 from __future__ import annotations
@@ -16,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediameta.llm.common import look_up, written
+from mediameta.llm.ngram_join import passes, sieve
 
 #: Production parameters: cut on 5 zero bits, so about every 32 bytes beyond the least.
 CUT_BITS = 5
@@ -23,6 +31,12 @@ LEAST, MOST = 24, 1024
 WINDOW = 32
 #: Spans with fewer bytes are chance or phrase, and stay. Passages of 50 words have over 200.
 LEAST_SPAN = 128
+#: A span's ends move to whole words by at most so many bytes; less than half of ``LEAST_SPAN``.
+WORD_REACH = 32
+#: The sieve of shared keys has at most two to this many bits, 64 MB.
+MOST_BITS = 29
+#: Runs that a task remembers to have met; then the memory is emptied and begins anew.
+MET = 500_000
 #: Bytes hashed together.
 PART = 1 << 22
 
@@ -110,31 +124,212 @@ def chunk(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return read.mapInArrow(run, "doc_id long, start long, length long, digest binary")
 
 
+def parts(names: list, texts: list[bytes], least: int) -> Iterator[tuple[bytes, list]]:
+    """Texts joined to about ``PART`` bytes, with (name, place in the join, bytes, offset of its first byte, whole size).
+
+    Longer texts come in parts that share ``least - 1`` bytes, so each window is in one part.
+    """
+    joined, listed, size = [], [], 0
+    for name, data in zip(names, texts, strict=True):
+        for at in range(0, max(1, len(data) - least + 1), PART):
+            piece = data[at : at + PART + least - 1]
+            if len(piece) < least:
+                continue
+            joined.append(piece)
+            listed.append((name, size, len(piece), at, len(data)))
+            size += len(piece)
+            if size >= PART:
+                yield b"".join(joined), listed
+                joined, listed, size = [], [], 0
+    if listed:
+        yield b"".join(joined), listed
+
+
+def seeds(raw: np.ndarray, table: np.ndarray, least: int) -> np.ndarray:
+    """For each window of ``least`` bytes, the first byte of its seed: the leftmost of least gear hash."""
+    width = least - WINDOW + 1
+    h = rolling(raw, table)[WINDOW - 1 :].astype(np.uint64) << np.uint64(32) | np.arange(len(raw) - WINDOW + 1, dtype=np.uint64)
+    step = 1
+    while step * 2 <= width:
+        h = np.minimum(h[:-step], h[step:])
+        step *= 2
+    if step < width:
+        h = np.minimum(h[: len(h) - (width - step)], h[width - step :])
+    return (h & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def runs(listed: list, raw: np.ndarray, table: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each listed text, its number and its runs: first window, last window, seed, as places in the join."""
+    seed = seeds(raw, table, least)
+    change = np.flatnonzero(np.diff(seed)) + 1
+    for k, (_, at, size, _, _) in enumerate(listed):
+        stop = at + size - least + 1
+        low, high = np.searchsorted(change, [at, stop], "right")
+        first = np.r_[at, change[low:high]]
+        first = first[first < stop]
+        yield k, first, np.r_[first[1:], stop] - 1, seed[first]
+
+
+def keys(raw: np.ndarray, first: np.ndarray, last: np.ndarray, seed: np.ndarray, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of each run's seed with the half of a window before it, and behind it, each with whether its windows take them in whole."""
+    half = (least - WINDOW) // 2
+    size = -(-(WINDOW + half) // 8) * 8
+    odd = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 63, size // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    out = []
+    for side, begin, has in ((1, seed - half, seed - first >= half), (2, seed, last + least >= seed + WINDOW + half)):
+        text = np.zeros((len(first), size), np.uint8)
+        text[has, : WINDOW + half] = np.lib.stride_tricks.sliding_window_view(raw, WINDOW + half)[begin[has]]
+        h = text.view(np.uint64) * odd
+        h = ((h ^ (h >> np.uint64(32))) * odd[::-1]).sum(axis=1, dtype=np.uint64) + np.uint64(side)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        out.append(((h ^ (h >> np.uint64(32))).view(np.int64), has))
+    return out
+
+
+def word_edges(raw: np.ndarray, listed: list) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a word begins, and where one ends, within the listed texts."""
+    space = np.isin(raw, np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8))
+    begins, ends = np.flatnonzero(space[:-1] & ~space[1:]) + 1, np.flatnonzero(~space[:-1] & space[1:]) + 1
+    edge = np.array([at for _, at, _, offset, _ in listed if not offset], np.int64)
+    stop = np.array([at + size for _, at, size, offset, whole in listed if offset + size == whole], np.int64)
+    return np.union1d(begins, edge), np.union1d(ends, stop)
+
+
+def whole_words(first: np.ndarray, stop: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes before the first whole word and behind the last one; 0 where none is within ``WORD_REACH``."""
+    nearest = np.r_[begins, np.iinfo(np.int64).max][np.searchsorted(begins, first)]
+    lead = np.where(nearest - first <= WORD_REACH, nearest - first, 0)
+    nearest = np.r_[-(WORD_REACH + 1), ends][np.searchsorted(ends, stop, "right")]
+    return lead, np.where(stop - nearest <= WORD_REACH, stop - nearest, 0)
+
+
+PLACES = "doc_id long, run long, start long, length long, lead int, tail int, digest long, more int"
+
+
+def listed_runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tuple]:
+    """By about ``PART`` bytes: the join, its bytes' edges of words, and the runs: text of each, first and last window, seed."""
+    table = gear()
+    for batch in batches:
+        texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
+        for data, listed in parts(batch.column(0).to_pylist(), texts, least):
+            raw = np.frombuffer(data, np.uint8)
+            found = list(runs(listed, raw, table, least))
+            text = np.repeat([k for k, *_ in found], [len(x) for _, x, *_ in found])
+            first, last, seed = (np.concatenate([x[c] for x in found]) for c in (1, 2, 3))
+            yield data, raw, listed, text, first, last, seed
+
+
+def rows_of(data: bytes, raw: np.ndarray, listed: list, text: np.ndarray, run: np.ndarray, start: np.ndarray, stop: np.ndarray) -> dict:
+    """The columns of ``PLACES`` for these bytes of the join."""
+    import xxhash
+
+    moved = np.array([offset - at for _, at, _, offset, _ in listed], np.int64)[text]
+    digests = b"".join([xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)])
+    halves = np.frombuffer(digests, ">i8").astype(np.int64).reshape(-1, 2)
+    lead, tail = whole_words(start, stop, *word_edges(raw, listed))
+    ids = pa.array([name for name, *_ in listed], pa.int64()).take(pa.array(text))
+    return {
+        "doc_id": ids, "run": run + moved, "start": start + moved, "length": stop - start, "lead": lead.astype(np.int32),
+        "tail": tail.astype(np.int32), "digest": halves[:, 0].copy(), "more": halves[:, 1].astype(np.int32),
+    }
+
+
+def scan(docs: DataFrame, least: int) -> DataFrame:
+    """All runs: doc_id, run and start (its first byte), length (bytes), lead and tail (bytes of words in part), digest and
+    more (96 bits of its hash), and the hashes of its two keys."""
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for data, raw, listed, text, first, last, seed in listed_runs(batches, least):
+            columns = rows_of(data, raw, listed, text, first, first, last + least)
+            for name, (key, has) in zip(("before", "behind"), keys(raw, first, last, seed, least), strict=True):
+                columns[name] = pa.array(key, mask=~has)
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return docs.mapInArrow(listing, PLACES + ", before long, behind long")
+
+
+def scan_windows(docs: DataFrame, least: int, shared: np.ndarray) -> DataFrame:
+    """The windows of the runs that have a key in the sieve, in the columns of ``PLACES``.
+
+    Where a task has met an equal run in an earlier document, that run is repeated as a whole, and only its window at its first
+    whole word is listed, which names the document it comes from.
+    """
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        half, met = (least - WINDOW) // 2, {}
+        for data, raw, listed, text, first, last, seed in listed_runs(batches, least):
+            before, behind = (has & passes(shared, key) & passes(shared, key >> 29) for key, has in keys(raw, first, last, seed, least))
+            some = np.flatnonzero(before | behind)
+            text, first, last, seed, before, behind = (x[some] for x in (text, first, last, seed, before, behind))
+            # Windows with the key before the seed come first, those with the key behind it last.
+            low = np.where(before, first, np.maximum(first, seed + WINDOW + half - least))
+            high = np.where(behind, last, np.minimum(last, seed - half))
+            lead, _ = whole_words(first, first, *word_edges(raw, listed))
+            word = np.minimum(first + lead, last)
+            known = np.zeros(len(some), bool)
+            for k, (t, a, b) in enumerate(zip(text.tolist(), first.tolist(), last.tolist(), strict=True)):
+                digest, name = xxhash.xxh3_128_digest(data[a : b + least]), listed[t][0]
+                place = (name is None, name or 0)
+                known[k] = met.setdefault(digest, place) < place
+                if place < met[digest]:
+                    met[digest] = place
+            if len(met) > MET:
+                met.clear()
+            low, high = np.where(known, np.maximum(low, word), low), np.where(known, np.minimum(high, word), high)
+            times = np.maximum(high - low + 1, 0)
+            start = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+            yield pa.RecordBatch.from_pydict(rows_of(data, raw, listed, np.repeat(text, times), np.repeat(first, times), start, start + least))
+
+    return docs.mapInArrow(listing, PLACES)
+
+
+def shared_keys(rows: DataFrame) -> np.ndarray:
+    """A sieve of the keys that different runs have in common, of about 16 bits a key."""
+    each = rows.select(F.explode(F.array("before", "behind")).alias("key"), F.hash("digest", "more").alias("d")).filter("key IS NOT NULL")
+    common = written(each.groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo <> hi").select("key"), "chunk-keys")
+    size = 1 << min(MOST_BITS, max(16, (16 * common.count()).bit_length()))
+    return sieve(common, [F.col("key"), F.shiftright("key", 29)], size)
+
+
+def again(rows: DataFrame, least: int, label: str) -> DataFrame:
+    """The rows whose bytes occur before, with the document where they occur first. Within a document, the first occurrence
+    stays whole, so an overlap with it does not count."""
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
+    groups = rows.groupBy("digest", "more").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first")).filter("times > 1")
+    found = look_up(rows, written(groups, label), ["digest", "more"], "times")
+    apart = ~F.col("doc_id").eqNullSafe(F.col("first.doc_id")) | (F.col("start") >= F.col("first.start") + least)
+    return found.filter(apart).select("doc_id", "run", "start", "length", "lead", "tail", F.struct("first.last", "first.doc_id").alias("first"))
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_span: int = LEAST_SPAN) -> DataFrame:
     """doc_id, start, length (bytes), chunks, first_doc_id: the spans that repeat earlier text, of ``least_span`` bytes or more.
 
-    Of equal chunks the first by (doc_id, start), null ids last, stays. first_doc_id is the document of the span's first
-    chunk. Rows that repeat an id are one document as to order, and their spans are listed for each. Clean documents do
-    not appear; an empty table gives an empty result.
+    A span is the union of windows of ``least_span`` bytes which occur before, by (doc_id, start), null ids last; all are
+    found. Words that a span takes in part, and white space at its ends, are left out of it, so it may be shorter by
+    up to ``WORD_REACH`` bytes at either end. chunks is the number of its runs, first_doc_id the first document with the
+    window at its first whole word. Rows that repeat an id are one document as to order, and their spans are listed for each. Clean
+    documents do not appear; an empty table gives an empty result.
     """
-    rows = written(chunk(docs, id_col, text_col), "chunks")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
-    groups = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first")).filter("times > 1")
-    index = written(groups, "chunk-index")
-    found = look_up(rows, index, "digest", "times")
-    again = found.filter((F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start") != F.col("first")))
-    again = again.select("doc_id", "start", "length", F.col("first.doc_id").alias("first_doc_id"))
+    if least_span < 2 * WINDOW:
+        raise ValueError(f"least_span is at least {2 * WINDOW}")
+    read = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    rows = written(scan(read, least_span), "chunks")
+    windows = written(scan_windows(read, least_span, shared_keys(rows)), "chunk-windows")
+    pieces = again(rows, least_span, "chunk-index").unionByName(again(windows, least_span, "chunk-window-index"))
     order = Window.partitionBy("doc_id").orderBy("start", "length")
     end = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    spans = again.withColumn("__new", F.coalesce((F.col("start") > end).cast("int"), F.lit(1)))
-    spans = spans.withColumn("span", F.sum("__new").over(order))
+    spans = pieces.withColumn("__new", F.coalesce((F.col("start") > end).cast("int"), F.lit(1)))
+    spans = spans.withColumn("span", F.sum("__new").over(order)).withColumn("end", F.col("start") + F.col("length"))
     out = spans.groupBy("doc_id", "span").agg(
-        F.min("start").alias("start"),
-        F.max(F.col("start") + F.col("length")).alias("__end"),
-        F.count(F.lit(1)).alias("chunks"),
-        F.min_by("first_doc_id", "start").alias("first_doc_id"),
+        F.min(F.struct("start", "lead")).alias("from"),
+        F.max(F.struct("end", "tail")).alias("to"),
+        F.count_distinct("run").alias("chunks"),
+        F.min(F.struct(F.col("start") + F.col("lead"), -F.col("start"), "first")).alias("first"),
     )
-    return out.select("doc_id", "start", (F.col("__end") - F.col("start")).alias("length"), "chunks", "first_doc_id").filter(F.col("length") >= least_span)
+    start, stop = F.col("from.start") + F.col("from.lead"), F.col("to.end") - F.col("to.tail")
+    return out.select("doc_id", start.alias("start"), (stop - start).alias("length"), "chunks", F.col("first.first.doc_id").alias("first_doc_id"))
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

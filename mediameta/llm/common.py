@@ -27,7 +27,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def look_up(rows: DataFrame, index: DataFrame, key: str, count: str) -> DataFrame:
+def look_up(rows: DataFrame, index: DataFrame, key: str | list[str], count: str) -> DataFrame:
     """Inner join of ``rows`` with ``index``, which has one row per key and the key's number of rows in ``count``.
 
     Both are read more than once, so give written tables. Keys with over a ``HOT_SHARE``-th of all rows, fewer than

@@ -194,3 +194,76 @@ def test_repeated_passages_are_found(spark):
     left = {r.doc_id: r.text for r in chunks.cut_spans(docs, spans).collect()}
     assert len(left) == len(rows) and all(left[i] == texts[i] for i in left if i not in (9, 17))
     assert passage not in left[9] and passage in left[4]
+
+
+def span_truth(rows, least=chunks.LEAST_SPAN):
+    """(doc_id, start, length, first_doc_id) by the definition: all windows, in order, that a dictionary has from before."""
+    space, first, out = b" \t\n\x0b\x0c\r", {}, []
+    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+        data, spans = (t or "").encode(), []
+        for p in range(len(data) - least + 1):
+            doc, at = first.setdefault(data[p : p + least], (i, p))
+            if doc != i or p >= at + least:
+                if spans and p <= spans[-1][1]:
+                    spans[-1][1] = p + least
+                else:
+                    spans.append([p, p + least, {}])
+                spans[-1][2][p] = doc
+        for a, b, docs in spans:
+            begins = [q for q in range(a, a + chunks.WORD_REACH + 1) if q == 0 or data[q - 1] in space and data[q] not in space]
+            ends = [q for q in range(b - chunks.WORD_REACH, b + 1) if q == len(data) or data[q] in space and data[q - 1] not in space]
+            a, b = min(begins, default=a), max(ends, default=b)
+            out.append((i, a, b - a, docs[max(p for p in docs if p <= a)]))
+    return out
+
+
+def test_spans_are_all_repeated_windows(spark, corpus):
+    rng = random.Random(21)
+    rows = [(i, t if len(t or "") < 20_000 else t[:1500]) for i, t in corpus]
+    passages = ["".join(rng.choice("é abcß") for _ in range(n)) for n in (100, 127, 128, 129, 140, 300)]
+    for k in range(80):
+        own = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(200))) for _ in range(3)]
+        rows.append((10_000 + k, own[0] + rng.choice(passages) + own[1] + rng.choice(passages)[rng.randrange(60) :] + own[2]))
+    rows += [(20_000, "abcdefghi " * 60), (20_001, "b" * 700), (20_002, "b" * 129), (None, rows[-1][1] + " behind")]
+    got = [(r.doc_id, r.start, r.length, r.first_doc_id) for r in chunks.repeated_spans(frame(spark, rows).repartition(7)).collect()]
+    assert sorted(got, key=repr) == sorted(span_truth(rows), key=repr)
+    few = rows[:60] + rows[-60:]
+    got = [(r.doc_id, r.start, r.length, r.first_doc_id) for r in chunks.repeated_spans(frame(spark, few), least_span=77).collect()]
+    assert sorted(got, key=repr) == sorted(span_truth(few, 77), key=repr)
+
+
+def test_no_planted_passage_is_missed(spark):
+    """Passages of 51 to 100 words in two to ten documents each: every later copy is found, whole."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows, planted = [text(60) for _ in range(1500)], []
+    for n in [51] * 150 + [60] * 60 + [80] * 60 + [100] * 60:
+        passage = text(n)
+        for i in sorted(rng.sample(range(len(rows)), rng.randrange(2, 11))):
+            planted.append((i, passage))
+            rows[i] += " " + passage + " " + text(20)
+    spans = defaultdict(list)
+    for r in chunks.repeated_spans(frame(spark, list(enumerate(rows)))).collect():
+        spans[r.doc_id].append((r.start, r.start + r.length))
+    seen, later = set(), []
+    for i, passage in planted:
+        if passage in seen:
+            later.append((i, rows[i].index(passage), len(passage)))
+        seen.add(passage)
+    assert len(later) > 1000 and all(any(a <= at and at + n <= b for a, b in spans[i]) for i, at, n in later)
+
+
+def test_long_texts_come_in_parts(monkeypatch):
+    """Each window of a text is in one run, also where parts meet."""
+    monkeypatch.setattr(chunks, "PART", 1000)
+    rng = random.Random(2)
+    texts = [bytes(rng.choice(b"abc ") for _ in range(n)) for n in (5000, 0, 127, 128, 999, 1127, 1128)]
+    seen = defaultdict(list)
+    for data, listed in chunks.parts(list(range(len(texts))), texts, 128):
+        for k, first, last, seed in chunks.runs(listed, np.frombuffer(data, np.uint8), chunks.gear(), 128):
+            name, at, _, offset, _ = listed[k]
+            for a, b, s in zip(first.tolist(), last.tolist(), seed.tolist(), strict=True):
+                assert a <= b <= s <= a + 128 - chunks.WINDOW
+                seen[name] += range(a - at + offset, b - at + offset + 1)
+    assert all(seen[i] == list(range(max(0, len(t) - 127))) for i, t in enumerate(texts))
