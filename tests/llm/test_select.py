@@ -196,3 +196,21 @@ def test_stages_take_odd_rows(spark, sf_dir):
         docs = spark.createDataFrame(rows, DOCS).withColumn("root", F.lit("clash")).withColumn("__n", F.lit(5))
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, sf_dir).collect()
+
+
+def test_near_stage_decides_by_row(spark, sf_dir):
+    """Null and repeated ids: one row of each component of near copies stays, and every row without a copy."""
+    rng = random.Random(12)
+    text = lambda n=60: " ".join(f"w{rng.randrange(4000)}" for _ in range(n))
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(3, a), (7, a + " x"), (7, text()), (None, a + " y"), (None, text()), (None, text())]
+    rows += [(None, b), (None, b + " x"), (None, b + " y"), (9, c), (9, c + " x"), (9, text()), (11, d), (11, d), (12, text())]
+    rows += [(None, None), (None, ""), (13, " "), (13, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS).repartition(5)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near(spark, docs, sf_dir).collect()]
+    grams = lambda t: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)}
+    alike = lambda x, y: bool(grams(x)) and 4 * len(grams(x) & grams(y)) >= 3 * len(grams(x) | grams(y))
+    left = [k for k, (i, t) in enumerate(rows) if not any(alike(t or "", u or "") for n, (_, u) in enumerate(rows) if n != k)]
+    assert sorted((rows[k] for k in left), key=repr) == sorted((r for r in kept if not any(r[1] and r[1].startswith(x) for x in (a, b, c, d))), key=repr)
+    assert all(sum(bool(t) and t.startswith(x) for _, t in kept) == 1 for x in (a, b, c, d))
+    assert (3, a) in kept and not set(kept) - set(rows)
