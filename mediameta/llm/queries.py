@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediameta.llm import chunks, exact_dedup, mixing, ngram_join, packing, quality, sharding, tokenids, topk, url_rules
+from mediameta.llm import chunks, divergence, exact_dedup, mixing, ngram_join, packing, quality, sharding, tokenids, topk, url_rules
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -55,11 +55,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sharding, op2_best_fit_packing, op3_url_filters, op4_substring_dedup, op5_token_ids,
         op6_mixing, op7_quality_classifier, op8_exact_top_k, op9_ngram_jaccard, op10_exact_dedup,
+        op13_source_divergence,
     )
 }
 
@@ -151,6 +156,38 @@ g AS (SELECT t, min(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM t GR
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t.t) AS text_sha256 FROM t JOIN g ON t.t = g.t
 """
 
+_OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS MATERIALIZED (SELECT i, lang, source, unnest(w) AS term FROM d),
+k AS MATERIALIZED (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT i) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY ALL),
+f AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0)::HUGEINT AS c
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS MATERIALIZED (
+  SELECT lang, source, term, c, sum(c) OVER (PARTITION BY lang, term) AS lc,
+    (1 + 1000000000::HUGEINT * (c + 5) // (sum(c) OVER (PARTITION BY lang, source) + 5 * v))::BIGINT AS p,
+    sum(c) OVER (PARTITION BY lang) AS ln, v
+  FROM f JOIN v USING (lang)),
+q AS (SELECT *, (1 + 1000000000::HUGEINT * (lc + 5) // (ln + 5 * v))::BIGINT AS q FROM p),
+x AS (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM q WHERE c > 0 AND p > q
+  UNION ALL
+  SELECT a.lang, a.source, 'pair', b.source, coalesce((
+    SELECT sum(abs(l.p - r.p)) FROM p l JOIN p r ON l.lang = r.lang AND l.term = r.term
+    WHERE l.lang = a.lang AND l.source = a.source AND r.source = b.source), 0)::BIGINT
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM x)
+WHERE part = 'pair' OR rank <= 50
+"""
+
 ORACLE = {
     "op1_sharding": _op1(),
     "op3_url_filters": _OP3,
@@ -158,4 +195,5 @@ ORACLE = {
     "op8_exact_top_k": _OP8,
     "op9_ngram_jaccard": _OP9,
     "op10_exact_dedup": _OP10,
+    "op13_source_divergence": _OP13,
 }
