@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediameta.llm import chunks, conversations, divergence, exact_dedup, mixing, ngram_join, packing, quality, sharding, tokenids, topk, url_rules
+from mediameta.llm import chunks, conversations, divergence, exact_dedup, mixing, ngram_join, packing, personal, quality, sharding, tokenids, topk, url_rules
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digest(personal.find_personal(read(spark, sf_dir, "documents")))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.damage_and_repair(read(spark, sf_dir, "conversations"))
 
@@ -68,7 +72,7 @@ QUERIES = {
     for f in (
         op1_sharding, op2_best_fit_packing, op3_url_filters, op4_substring_dedup, op5_token_ids,
         op6_mixing, op7_quality_classifier, op8_exact_top_k, op9_ngram_jaccard, op10_exact_dedup,
-        op12_conversation_repair, op13_source_divergence,
+        op11_personal_data, op12_conversation_repair, op13_source_divergence,
     )
 }
 
