@@ -211,6 +211,8 @@ def _tile(terms: int):
         import pandas as pd
 
         lang, _, a, b = key
+        # So that a pair has the same order in every block.
+        rows = rows.sort_values("source", ignore_index=True)
         width = int(rows["width"].iloc[0])
         shares = np.repeat(rows["none"].to_numpy(np.int64, na_value=0)[:, None], width, axis=1)
         for i, (at, p) in enumerate(zip(rows["ordinals"], rows["shares"], strict=True)):
@@ -218,13 +220,15 @@ def _tile(terms: int):
                 shares[i, np.asarray(at, np.int64) % terms] = p
         sources, tiles = rows["source"].to_numpy(), rows["tile"].to_numpy()
         left = np.flatnonzero(tiles == a)
-        out = []
+        source, item, value = [], [], []
         for n, i in enumerate(left):
             others = left[n + 1 :] if a == b else np.flatnonzero(tiles == b)
-            if len(others):
-                value = np.abs(shares[others] - shares[i]).sum(axis=1)
-                out.append(pd.DataFrame({"lang": lang, "source": sources[i], "item": sources[others], "value": value}))
-        return pd.concat(out) if out else pd.DataFrame({"lang": [], "source": [], "item": [], "value": []})
+            source += [sources[i]] * len(others)
+            item += sources[others].tolist()
+            value += np.abs(shares[others] - shares[i]).sum(axis=1).tolist()
+        # With their types, as there may be no row.
+        names = {k: pd.Series(v, dtype=object) for k, v in (("lang", [lang] * len(value)), ("source", source), ("item", item))}
+        return pd.DataFrame({**names, "value": pd.Series(value, dtype="int64")})
 
     return run
 
