@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -163,32 +165,99 @@ def score_flags(m: Members) -> dict[str, Column]:
     }
 
 
-# Parts of a JSON text: strings, numbers, words, other characters.
-_PARTS = r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.eE+-]*|true|false|.)'
+# Parts of a JSON text that are strings, or else numbers and truth values; with and without the marks of ``_tagged``.
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_VALUE = r"-?[0-9][0-9.eE+-]*+|true|false"
+_PLAIN_PARTS = rf"({_STRING})|({_VALUE})"
+_TAGGED_PARTS = r'("s(?:[^"\\]++|\\.)*+")|"n([^"]*+)"'
+# Numbers which a parsed form may have rounded: many digits, or an exponent.
+_LONG_NUMBER = r"[0-9]{16}|[0-9][eE]"
+
+#: A double is a whole number of this many bits times a power of two.
+_BITS = 53
+#: Whole numbers that lie within half of 2 ** 971 of each other and agree modulo all of these are the same.
+_PRIME_BITS, _PRIMES_NEEDED = 31, 34
+
+
+def _primes() -> list[int]:
+    found, n = [], 2**_PRIME_BITS - 1
+    small = [d for d in range(2, 1 << 16) if all(d % f for f in range(2, math.isqrt(d) + 1))]
+    while len(found) < _PRIMES_NEEDED:
+        if all(n % d for d in small if d * d <= n):
+            found.append(n)
+        n -= 2
+    return found
+
+
+def _tagged(obj: Column) -> Column:
+    """The object as text with sorted keys, each string behind an s, and each number and truth value as a string behind an n.
+
+    So the parser sorts keys and resolves escapes, and the digits stay as they are written.
+    """
+    strings = F.regexp_replace(obj, _STRING_BODY, '"s$1"')
+    return F.to_json(F.try_parse_json(F.regexp_replace(strings, _NEXT_VALUE, '$1"n$2"')))
+
+
+_STRING_BODY = r'"((?:[^"\\]++|\\.)*+)"'
+# From the last match on: what is no value, strings as a whole, then a value.
+_NEXT_VALUE = rf'\G((?:[^"0-9tf-]++|{_STRING})*+)({_VALUE})'
+
+
+def _digits(number: Column) -> Column:
+    """A whole number's text without leading zeros and the sign of zero; truth values as 1 and 0."""
+    return F.when(number == "true", "1").when(number == "false", "0").when(number == "-0", "0").otherwise(number)
 
 
-def _canonical_part(part: Column) -> Column:
-    """Numbers by value: whole ones as digits, others as the nearest double; true as 1 and false as 0."""
-    number = part.try_cast("double")
-    whole = (number == F.floor(number)) & (F.abs(number) < 1e15)
-    return (
-        F.when(part.rlike(r"\A-?[0-9]+\z"), F.when(part == "-0", "0").otherwise(part))
-        .when(part.rlike(r"\A-?[0-9]"), F.when(whole, number.cast("bigint").cast("string")).otherwise(number.cast("string")))
-        .when(part == "true", "1")
-        .when(part == "false", "0")
-        .otherwise(part)
+def _rest(number: Column, prime: Column) -> Column:
+    """A whole number's digits modulo a prime, nine digits at a time."""
+    digits = F.ltrim(number, F.lit("-"))
+    padded = F.lpad(digits, F.ceil(F.length(digits) / 9).cast("int") * 9, F.lit("0"))
+    return F.aggregate(
+        F.sequence(F.lit(0), (F.length(padded) / 9).cast("int") - 1),
+        F.lit(0).cast("bigint"),
+        lambda acc, i: (acc * 1_000_000_000 + F.substr(padded, i * 9 + 1, F.lit(9)).cast("bigint")) % prime,
     )
 
 
-def _canonical(text: Column) -> Column:
-    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PARTS), 1), _canonical_part), "")
+def _rest_of_double(value: Column, prime: Column) -> Column:
+    """The same of a whole double from 2 ** 53 on: its leading bits, doubled as often as its exponent says."""
+    power = F.greatest(F.floor(F.log2(F.abs(value))).cast("int") - _BITS, F.lit(0))
+    # Scaling by a power of two is exact; the logarithm may be off by one, which leaves a bit more or less.
+    lead = (F.abs(value) / F.pow(F.lit(2.0), power)).cast("bigint")
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(power, F.lit(1))), lead % prime, lambda acc, i: F.when(i <= power, acc * 2 % prime).otherwise(acc))
+
+
+def _equal_numbers(a: Column, b: Column) -> Column:
+    """Two written numbers are one value: whole ones by their digits, others by the nearest double, a mix of both exactly."""
+    whole = lambda c: c.rlike(r"\A(?:-?[0-9]+|true|false)\z")
+    both, x, y = whole(a) & whole(b), _digits(a), _digits(b)
+    left, right = x.try_cast("double"), y.try_cast("double")
+    # One is whole, the other a double. Up to 2 ** 53 doubles are exact; beyond, the nearest may be another number.
+    number, value = F.when(whole(a), x).otherwise(y), F.when(whole(a), right).otherwise(left)
+    exact = F.forall(F.array(*[F.lit(p).cast("bigint") for p in _PRIMES]), lambda p: _rest(number, p) == _rest_of_double(value, p))
+    mixed = F.when((left != right) | (F.abs(value) == float("inf")), False).when(F.abs(value) <= 2.0**_BITS, True).otherwise(exact)
+    return F.when(both, x == y).when(whole(a) | whole(b), mixed).otherwise(left == right)
+
+
+_PRIMES = _primes()
+
+
+def _equal_by_digits(a: Column, b: Column) -> Column:
+    """Objects of equal strings whose numbers are equal pair by pair."""
+    numbers = lambda c: F.regexp_extract_all(c, F.lit(_TAGGED_PARTS), F.lit(2))
+    bare = lambda c: F.regexp_replace(c, _TAGGED_PARTS, "$1#")
+    pairs = F.zip_with(numbers(a), numbers(b), lambda x, y: F.when(x == y, True).otherwise(_equal_numbers(x, y)))
+    return F.when(bare(a) == bare(b), F.forall(pairs, lambda x: x)).otherwise(False)
 
 
 def same_object(left: Members, right: Members) -> Column:
     """Equal objects regardless of key order and of how a number is written: 1, 1.0, 1e0 and true are one value.
 
-    ``to_json`` sorts keys. Only where its texts differ are the numbers compared by value. Whole numbers from 1e15 on
-    written with a fraction or an exponent equal only others so written.
+    ``to_json`` sorts keys. Its texts decide where they are equal without long numbers, and where they differ in more
+    than numbers. Only what is left is compared number by number, with all digits that the object was written with.
     """
     a, b = F.to_json(left.variant()), F.to_json(right.variant())
-    return F.coalesce(F.when(a == b, True).otherwise(_canonical(a) == _canonical(b)), F.lit(False))
+    bare = lambda c: F.regexp_replace(c, _PLAIN_PARTS, "$1#")
+    long = F.col(left.prefix).rlike(_LONG_NUMBER) | F.col(right.prefix).rlike(_LONG_NUMBER)
+    numbers = _equal_by_digits(_tagged(F.col(left.prefix)), _tagged(F.col(right.prefix)))
+    return F.coalesce(F.when((a == b) & ~long, True).when(bare(a) != bare(b), False).otherwise(numbers), F.lit(False))

@@ -49,7 +49,9 @@ DASHED_EPISODE = [r"(?:[^0-9]|-\d{1,3})-\d{1,3}(?:v\d+)?\z", r"[^0-9]-\d{1,3}(?:
 # Number and version at the end of an episode match.
 MATCH_NUMBER = r"(?i)(\d{1,4})(?:v\d+)?[^\p{L}\p{N}]*\z"
 MATCH_VERSION = r"(?i)\dv\d+[^\p{L}\p{N}]*\z"
-ASSET = r"(?:^|[^\p{L}\p{N}])(?:" + "|".join(ASSET_TOKENS) + r")\d*" + _E
+# A checksum may begin like a token (ED123456), so hex groups are taken out first, and a token's number is short.
+HEX_GROUP = r"\[[0-9A-Fa-f]{8}\]"
+ASSET = r"(?:^|[^\p{L}\p{N}])(?:" + "|".join(ASSET_TOKENS) + r")\d{0,2}" + _E
 
 GROUP_TAG = r"\A\[[^\]]*\][ ._]*"
 _META = r"(?:" + QUALITY + r"|S\d{1,2}[ ._-]*E\d{1,4}(?:v\d+)?)"
@@ -93,7 +95,7 @@ def season(stem_: Column) -> Column:
 
 def asset(stem_: Column) -> Column:
     """True when the stem holds a token of a non-episode asset."""
-    return stem_.rlike(ASSET)
+    return F.regexp_replace(stem_, HEX_GROUP, "[]").rlike(ASSET)
 
 
 def _slug_title(c: Column) -> Column:

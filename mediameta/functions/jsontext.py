@@ -1,10 +1,10 @@
 """JSON objects inside free text.
 
 Braces are balanced without regard to strings, then the balanced text is
-parsed. Most completions hold one flat object, which a single regular
-expression finds inside code generation; an object with nested members, and no
-brace in its strings, is found by a second one. Only texts where these do not
-decide the outcome get their braces matched, by a stack in an Arrow function.
+parsed. One regular expression finds the first opening brace's object, nested
+up to ``_NESTED`` deep, inside code generation. Only texts where it does not
+decide the outcome get all their braces matched, by array expressions over the
+braces alone: a running depth, and by depth the next brace that closes.
 """
 
 from __future__ import annotations
@@ -31,10 +31,19 @@ SINGLE_ERRORS = {
     "parse": "JSON parse failed",
 }
 
-_FLAT_FIRST = r"\A[^{]*(\{[^{}]*\})"
-_WIDEST = r"(?s)\A[^{]*(\{.*\})"
-# A JSON string, without a step back or a call per character.
-_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+# How deep the one expression looks; deeper texts take the general way.
+_NESTED = 8
+
+
+def _object(depth: int) -> str:
+    inner = f"(?:{_object(depth - 1)}[^{{}}]*+)*+" if depth > 1 else ""
+    return rf"\{{[^{{}}]*+{inner}\}}"
+
+
+# The text up to and with the first object; without a step back, so linear and with a flat stack.
+_FIRST = rf"\A[^{{]*+({_object(_NESTED)})"
+# Braces that are looked through in one go: the running values of a block are copied per brace.
+_BLOCK = 256
 
 # Outcomes of the scan over brace starts.
 _SEEKING, _FOUND, _UNBALANCED = 0, 1, 2
@@ -57,32 +66,43 @@ def cut_at_stop_strings(text: Column, stops: list[str] | None = None) -> Column:
 
 
 def _spans(text: Column) -> Column:
-    """(start, end), 1-based, per opening brace in text order; end is null if it stays open. Linear in the text."""
+    """(start, end), 1-based, per opening brace in text order; end is null if it stays open.
 
-    @F.pandas_udf("array<struct<start:int,end:int>>")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else _text_spans(t) for t in texts], dtype=object)
+    Every brace gets its place and the depth it stands at, in blocks, so the work is linear in the text. Sorted by
+    depth, then place, what follows an opening brace of the same depth is the one that closes it. A closing brace
+    without an open one stands at depth 0 and counts for nothing.
+    """
+    braced = F.regexp_extract(text, r"(?s)\A.*[{}]", 0)
+    pieces = F.regexp_extract_all(braced, F.lit("[^{}]*+[{}]"), F.lit(0))
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / _BLOCK).cast("int")), lambda i: F.slice(pieces, i * _BLOCK + 1, F.lit(_BLOCK))
+    )
+    whole, empty = F.lit(0), F.array().cast("array<struct<depth:int,at:int,opens:boolean>>")
 
-    return run(text)
+    def step(acc: Column, piece: Column) -> Column:
+        opens, at = F.endswith(piece, F.lit("{")), acc["at"] + F.length(piece)
+        mark = F.struct(F.when(opens, acc["depth"] + 1).otherwise(acc["depth"]).alias("depth"), at.alias("at"), opens.alias("opens"))
+        depth = F.when(opens, acc["depth"] + 1).otherwise(F.greatest(acc["depth"] - 1, whole))
+        return F.struct(at.alias("at"), depth.alias("depth"), F.concat(acc["marks"], F.array(mark)).alias("marks"))
 
+    def block(acc: Column, some: Column) -> Column:
+        start = F.struct(acc["at"].alias("at"), acc["depth"].alias("depth"), empty.alias("marks"))
+        return _bind(
+            F.aggregate(some, start, step),
+            lambda x: F.struct(x["at"].alias("at"), x["depth"].alias("depth"), F.concat(acc["blocks"], F.array(x["marks"])).alias("blocks")),
+        )
 
-def _text_spans(text: str) -> list[dict[str, int | None]]:
-    pairs = _closings(text)
-    opened = [m.start() for m in re.finditer(r"{", text)]
-    return [{"start": i + 1, "end": pairs[i] + 1 if i in pairs else None} for i in opened]
+    none = F.array().cast("array<array<struct<depth:int,at:int,opens:boolean>>>")
+    marks = F.aggregate(blocks, F.struct(whole.alias("at"), whole.alias("depth"), none.alias("blocks")), block, lambda acc: F.array_sort(F.flatten(acc["blocks"])))
 
+    def pair(sorted_: Column) -> Column:
+        def end(mark: Column, i: Column) -> Column:
+            after = F.get(sorted_, i + 1)
+            return F.struct(mark["at"].alias("start"), F.when((after["depth"] == mark["depth"]) & ~after["opens"], after["at"]).alias("end"), mark["opens"].alias("opens"))
 
-def _whole(text: Column) -> Column:
-    """What lies between the first opening and the last closing brace, if no string in it holds a brace and it parses.
+        return F.array_sort(F.filter(F.transform(sorted_, end), lambda x: x["opens"]))
 
-    It is then the object of the first brace, and one pass decides most texts with nested members.
-    """
-    span = F.nullif(F.regexp_extract(text, _WIDEST, 1), F.lit(""))
-    bare = F.regexp_replace(span, _STRING, "")
-    braces = lambda c: F.regexp_count(c, F.lit("[{}]"))
-    # As the one element of a list the object is held to its end.
-    listed = F.concat(F.lit("["), span, F.lit("]"))
-    return F.when((braces(span) == braces(bare)) & parses(listed) & (F.json_array_length(listed) == 1), span)
+    return F.when(F.size(pieces) > 0, _bind(marks, pair))
 
 
 def _inside(text: Column, span: Column) -> Column:
@@ -145,50 +165,45 @@ def extract_json(
     if mode != "native":
         raise ValueError(f"unknown mode: {mode}")
 
-    u, flat, flat_ok, wide, spans, found = (f"_{out}_{s}" for s in ("u", "flat", "ok", "wide", "spans", "found"))
+    u, first, ok, spans, found = (f"_{out}_{s}" for s in ("u", "first", "ok", "spans", "found"))
     U = F.col(u)
     work = df.withColumn(u, after_assistant_tag(F.col(text)) if after_tag else F.col(text))
-    work = work.withColumn(flat, F.nullif(F.regexp_extract(U, _FLAT_FIRST, 1), F.lit("")))
-    work = work.withColumn(flat_ok, parses(F.col(flat)))
-    # With a single try a flat first object decides the outcome either way.
-    decided = F.col(flat_ok) if retry else F.col(flat).isNotNull()
-    work = work.withColumn(wide, F.when(~F.coalesce(decided, F.lit(False)) & U.contains("}"), _whole(U)))
-    general = ~decided & F.col(wide).isNull() & U.contains("{")
+    work = work.withColumn(first, F.nullif(F.regexp_extract(U, _FIRST, 1), F.lit("")))
+    work = work.withColumn(ok, parses(F.col(first)))
+    # With a single try the first object decides the outcome either way.
+    decided = F.col(ok) if retry else F.col(first).isNotNull()
+    general = ~F.coalesce(decided, F.lit(False)) & U.contains("{")
     work = work.withColumn(spans, _spans(F.when(general, U)))
     P = F.col(spans)
     if retry:
         scan = _scan(U, P)
     else:
-        work = work.withColumn(found, _inside(U, F.get(P, 0)))
+        work = work.withColumn(found, _inside(U, F.get(P, F.lit(0))))
         only = F.col(found)
         scan = F.struct(
             F.when(only.isNull(), _UNBALANCED).when(parses(only), _FOUND).otherwise(_SEEKING).alias("code"),
             only.alias("obj"),
         )
     work = work.withColumn(found, F.when(P.isNotNull(), scan))
-    code = F.coalesce(
-        F.col(f"{found}.code"), F.when(F.col(flat_ok) | F.col(wide).isNotNull(), _FOUND), F.when(F.col(flat).isNotNull(), _SEEKING)
-    )
-    obj = F.when(P.isNotNull(), F.when(F.col(f"{found}.code") == _FOUND, F.col(f"{found}.obj"))).when(
-        F.col(flat_ok), F.col(flat)
-    ).otherwise(F.col(wide))
+    code = F.coalesce(F.col(f"{found}.code"), F.when(F.col(ok), _FOUND), F.when(F.col(first).isNotNull(), _SEEKING))
+    obj = F.when(P.isNotNull(), F.when(F.col(f"{found}.code") == _FOUND, F.col(f"{found}.obj"))).when(F.col(ok), F.col(first))
     error = (
         F.when(code == _FOUND, "")
         .when(code == _UNBALANCED, errors["open"])
         .when(code == _SEEKING, errors["parse"])
         .otherwise(errors["none"])
     )
-    return work.withColumns({out: obj, f"{out}_error": error}).drop(u, flat, flat_ok, wide, spans, found)
+    return work.withColumns({out: obj, f"{out}_error": error}).drop(u, first, ok, spans, found)
 
 
 def balanced_prefix_length(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add the length of the shortest prefix in which the first opened brace closes, else null."""
-    spans, flat = f"_{out}_spans", f"_{out}_flat"
+    spans, first = f"_{out}_spans", f"_{out}_first"
     U = F.col(text)
-    work = df.withColumn(flat, F.nullif(F.length(F.regexp_extract(U, _FLAT_FIRST, 0)), F.lit(0)))
-    work = work.withColumn(spans, _spans(F.when(F.col(flat).isNull() & U.contains("{"), U)))
-    end = F.get(F.col(spans), 0)["end"]
-    return work.withColumn(out, F.coalesce(F.col(flat), end)).drop(spans, flat)
+    work = df.withColumn(first, F.nullif(F.length(F.regexp_extract(U, _FIRST, 0)), F.lit(0)))
+    work = work.withColumn(spans, _spans(F.when(F.col(first).isNull() & U.contains("{"), U)))
+    end = F.get(F.col(spans), F.lit(0))["end"]
+    return work.withColumn(out, F.coalesce(F.col(first), end)).drop(spans, first)
 
 
 def truncate_completion(df: DataFrame, text: str, out: str = "truncated", *, stop_on_tags: bool = True) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mediameta.sources.storage import scratch_path
+
 NBSP, IDEOGRAPHIC_SPACE = "\u00a0", "\u3000"
 
 # k: the key; j: k without the hot residue; e, s: episode and season numbers.
@@ -270,9 +272,18 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
     return df.repartition(*key)
 
 
+#: Paths of the inputs written by this process, by Spark application, tables and name.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One derived input, as a lazy frame over the given table."""
-    source = SOURCES[name]
-    view = f"mediameta_{source}"
-    spread(table(spark, sf_dir, source), KEYS[source]).createOrReplaceTempView(view)
-    return spark.sql(sql_of(name).replace(f"FROM {source}", f"FROM {view}"))
+    """One derived input, written to the shared folder by its first user and read from there."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        source = SOURCES[name]
+        view = f"mediameta_{source}"
+        spread(table(spark, sf_dir, source), KEYS[source]).createOrReplaceTempView(view)
+        path = scratch_path(spark, f"input-{name}")
+        spark.sql(sql_of(name).replace(f"FROM {source}", f"FROM {view}")).write.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])

@@ -10,18 +10,14 @@ from mediameta.plans.oracle import ORACLE
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 # These run Python by design.
 PYTHON = {"batch_generate", "infer_chain", "score_token_ids", "decode_tokens", "extract_json_python"}
-# These match braces in Python where two patterns do not decide.
-BRACES = {
-    "extract_json", "extract_json_once", "extract_json_long", "extract_json_deep", "event_properties", "truncate_completion",
-    "validate_objects", "score_completions", "score_rows", "first_valid_attempt", "retry_summary",
-}
+SQL_DIR = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
-def duck(sf_dir):
+def duck():
     con = duckdb.connect()
     for t in TABLES.split():
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SQL_DIR}/{t}.parquet'")
     return con
 
 
@@ -31,8 +27,8 @@ def canonical_rows(names, rows):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_matches_sql(spark, sf_dir, duck, name):
-    df = QUERIES[name](spark, sf_dir)
+def test_matches_sql(spark, duck, name):
+    df = QUERIES[name](spark, SQL_DIR)
     cursor = duck.execute(ORACLE[name])
     names = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(names)
@@ -45,7 +41,7 @@ def test_matches_sql(spark, sf_dir, duck, name):
 def test_plan(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    if name not in PYTHON | BRACES:
+    if name not in PYTHON:
         assert "EvalPython" not in plan and "InPandas" not in plan
 
 

@@ -42,6 +42,11 @@ OWN = [
     ("Show - 3-Ri no baka.mkv", None, None, None, 0.1, "Show - 3-Ri no baka"),
     ("Show - 05- (AV1).mkv", None, 5, None, 0.75, "Show"),
     ("opera house - 02.mkv", None, 2, None, 0.75, "opera house"),
+    # A checksum that begins like an asset's token.
+    ("Show - 05 [ED123456].mkv", None, 5, "ED123456", 0.75, "Show"),
+    ("Show - 05 [CM] [ED478140].mkv", None, None, "ED478140", 0.1, "Show"),
+    ("Show - 05 [ed478140] x.mkv", None, 5, None, 0.75, "Show"),
+    ("Show ED12 - 05 [AB123456].mkv", None, None, "AB123456", 0.1, "Show ED12"),
 ]
 
 

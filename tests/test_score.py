@@ -216,3 +216,49 @@ def test_decode_tokens(spark):
     assert [r.t for r in generate.decode_tokens(df, "ids", "t", make).collect()] == ["Hi", None]
     already = df.select(F.lit("text").alias("ids"))
     assert generate.decode_tokens(already, "ids", "t", make).first().t == "text"
+
+
+def some_number(rng):
+    kind = rng.randrange(8)
+    digits = lambda n: str(rng.randrange(1, 10)) + "".join(rng.choice("0123456789") for _ in range(n - 1))
+    if kind == 0:
+        return str(rng.choice([0, 1, 2, 10, 100, 2**53, 2**53 + 1, 10**15, 10**16, 10**22, 10**23, -1, -(2**63), 2**64]))
+    if kind == 1:
+        return rng.choice(["true", "false", "-0", "0.0", "-0.0", "1.0", "1e0", "10e-1", "100E-2", "0.1e1"])
+    if kind == 2:
+        return digits(rng.choice([16, 17, 19, 40]))
+    if kind == 3:
+        return str(2 ** rng.randrange(50, 300) * rng.choice([1, 3, -1, -5]))
+    if kind == 4:
+        return f"{rng.choice([1, 2, 5, 12, 100])}e{rng.choice([0, 1, 15, 16, 22, 23, 40, -3, -400, 300])}"
+    if kind == 5:
+        return f"{rng.randrange(5)}.{rng.randrange(3)}e{rng.choice(['+', '-', ''])}{rng.randrange(400)}"
+    if kind == 6:
+        return repr(rng.choice([0.1, 1 / 3, 2.0**60, 1e300, 123456789012345678.0]))
+    return f"{digits(rng.randrange(1, 20))}.{digits(3)}"
+
+
+def rewritten(rng, text):
+    """The same value in another form, or a near one."""
+    value = json.loads(text)
+    forms = [text, text]
+    if not isinstance(value, bool) and value == value and abs(value) < 1e308:
+        forms += [repr(float(value)), f"{float(value):.17e}"]
+        if value == int(value):
+            forms += [str(int(value)), str(int(value) + 1), f"{int(value)}.0", f"{int(value) or 1}0e-1", f"{int(float(value))}"]
+    return rng.choice(forms)
+
+
+def test_numbers_are_equal_as_in_python(spark):
+    rng = random.Random(17)
+    pairs = [("1e400", "1e401"), ("9007199254740993", "9007199254740992.0"), ("1e23", str(10**23)), ("1e22", str(10**22)), (str(2**200), f"{2.0**200!r}")]
+    for _ in range(1500):
+        text = some_number(rng)
+        pairs.append((text, rewritten(rng, text) if rng.random() < 0.8 else some_number(rng)))
+    finite = [p for p in pairs if all(abs(json.loads(x)) < 1e308 for x in p)]
+    shape = '{{"b":"n1\\"n2 : 3","a":[{0},{{"c":{0}}}],"s1":"0"}}'
+    rows = [(i, shape.format(a), '{{ "s1": "0", "a": [ {0} , {{"c":{0}}}], "b": "\\u006e1\\"n2 : 3" }}'.format(b)) for i, (a, b) in enumerate(finite)]
+    got = {r.id: r.exact_json_match for r in score.score_rows(spark.createDataFrame(rows, "id int, pred string, label string").repartition(4)).collect()}
+    want = {i: json.loads(p) == json.loads(t) for i, p, t in rows}
+    assert sum(want.values()) > 300 and sum(not w for w in want.values()) > 200
+    assert [(rows[i][1], rows[i][2], got[i]) for i in want if got[i] != want[i]] == []
