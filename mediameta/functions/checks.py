@@ -18,6 +18,22 @@ _NUMERIC = r"\A(?:BIGINT|BOOLEAN|DOUBLE|FLOAT|DECIMAL\(.*)\z"
 _INT_OR_NULL = r"\A(?:BIGINT|BOOLEAN|VOID|DECIMAL\((?:19|2\d|3\d),0\))\z"
 
 
+# The texts of the checks, in their order.
+EXPECTED_KEYS = "['" + "', '".join(TARGET_KEYS) + "']"
+MESSAGES = {
+    "keys": f"Keys/order mismatch. Expected {EXPECTED_KEYS}, got ",
+    "show_name": "show_name must be a non-empty string.",
+    "season": "season must be int or null.",
+    "episode": "episode must be int or null.",
+    "required": "episode is required but was null.",
+    "crc_type": "crc_hash must be string or null.",
+    "crc_form": "crc_hash must match ^[A-F0-9]{8}$ when present.",
+    "confidence_type": "confidence must be a number.",
+    "confidence_range": "confidence must be in [0, 1].",
+    "reasoning": "reasoning must be a string.",
+}
+
+
 class Members:
     """Columns of one parsed object; ``type_of`` is VOID for an absent member."""
 
@@ -100,24 +116,17 @@ def _python_list(keys: Column) -> Column:
 
 
 def object_errors(m: Members, require_episode: bool) -> Column:
-    """Error texts in check order; an empty array for a valid object. The texts are fixed values."""
-    expected = "['" + "', '".join(TARGET_KEYS) + "']"
+    """Error texts in check order; an empty array for a valid object."""
+    t = MESSAGES
     checks = [
-        F.when(
-            ~m.keys_in_order(),
-            F.concat(F.lit(f"Keys/order mismatch. Expected {expected}, got "), _python_list(m.keys())),
-        ),
-        F.when(~m.text_present("show_name"), "show_name must be a non-empty string."),
-        F.when(~m.int_or_null("season"), "season must be int or null."),
-        F.when(~m.int_or_null("episode"), "episode must be int or null."),
-        F.when(m.is_null("episode"), "episode is required but was null.") if require_episode else None,
-        F.when(~m.is_null("crc_hash") & ~m.is_text("crc_hash"), "crc_hash must be string or null.").when(
-            ~m.crc_valid(), "crc_hash must match ^[A-F0-9]{8}$ when present."
-        ),
-        F.when(~m.is_number("confidence"), "confidence must be a number.").when(
-            ~m.in_unit_range("confidence"), "confidence must be in [0, 1]."
-        ),
-        F.when(~m.is_text("reasoning"), "reasoning must be a string."),
+        F.when(~m.keys_in_order(), F.concat(F.lit(t["keys"]), _python_list(m.keys()))),
+        F.when(~m.text_present("show_name"), t["show_name"]),
+        F.when(~m.int_or_null("season"), t["season"]),
+        F.when(~m.int_or_null("episode"), t["episode"]),
+        F.when(m.is_null("episode"), t["required"]) if require_episode else None,
+        F.when(~m.is_null("crc_hash") & ~m.is_text("crc_hash"), t["crc_type"]).when(~m.crc_valid(), t["crc_form"]),
+        F.when(~m.is_number("confidence"), t["confidence_type"]).when(~m.in_unit_range("confidence"), t["confidence_range"]),
+        F.when(~m.is_text("reasoning"), t["reasoning"]),
     ]
     return F.array_compact(F.array(*[c for c in checks if c is not None]))
 
@@ -232,10 +241,10 @@ def _equal_numbers(a: Column, b: Column) -> Column:
     whole = lambda c: c.rlike(r"\A(?:-?[0-9]+|true|false)\z")
     both, x, y = whole(a) & whole(b), _digits(a), _digits(b)
     left, right = x.try_cast("double"), y.try_cast("double")
-    # One is whole, the other a double. Up to 2 ** 53 doubles are exact; beyond, the nearest may be another number.
+    # One is whole, the other a double. Below 2 ** 53 doubles are exact; from there on the nearest may be another number.
     number, value = F.when(whole(a), x).otherwise(y), F.when(whole(a), right).otherwise(left)
     exact = F.forall(F.array(*[F.lit(p).cast("bigint") for p in _PRIMES]), lambda p: _rest(number, p) == _rest_of_double(value, p))
-    mixed = F.when((left != right) | (F.abs(value) == float("inf")), False).when(F.abs(value) <= 2.0**_BITS, True).otherwise(exact)
+    mixed = F.when((left != right) | (F.abs(value) == float("inf")), False).when(F.abs(value) < 2.0**_BITS, True).otherwise(exact)
     return F.when(both, x == y).when(whole(a) | whole(b), mixed).otherwise(left == right)
 
 

@@ -254,6 +254,18 @@ def python_truncate(text: str) -> str:
     return text[: min(ends)] if ends else text
 
 
+def python_stops(text: str, stop_on_tags: bool = False) -> bool:
+    """True when the first object is closed, or a chat tag is complete."""
+    if stop_on_tags and any(t in text for t in CHAT_TAGS):
+        return True
+    depth, start = 0, text.find("{")
+    for m in re.finditer(r"[{}]", text[start:] if start >= 0 else ""):
+        depth += 1 if m.group() == "{" else -1
+        if not depth:
+            return True
+    return False
+
+
 def python_extract(text: str, retry: bool = True, after_tag: bool = True) -> tuple[str | None, str]:
     """(compact JSON, "") or (None, error). NaN and infinities become their names."""
     if after_tag:

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediameta.functions import render
-from mediameta.operators.clean import clean_metadata, require_episode, require_rows
-from mediameta.operators.quality import issue_counts
-from mediameta.operators.split import capped_eval, train_eval
-from mediameta.schema import Params
-from mediameta.sources.tables import run_manifest, write_manifest, write_training_text
+from mediameta.operators.clean import clean_metadata, require_episode
+from mediameta.operators.profile import write_and_profile
+from mediameta.operators.split import train_eval
+from mediameta.schema import ISSUES, Params
+from mediameta.sources.tables import manifest_row, write_manifest, write_training_text
 
 
 def training_examples(clean: DataFrame, system: str, template: str = render.USER_TEMPLATE) -> DataFrame:
@@ -42,9 +42,7 @@ def prepare(raw: DataFrame, system: str, template: str = render.USER_TEMPLATE, p
     params = params or Params()
     clean = clean_metadata(raw)
     kept = require_episode(clean) if params.require_episode else clean
-    train, held = train_eval(kept, params.eval_fraction, seed=params.seed)
-    if params.eval_max_samples is not None:
-        held = capped_eval(kept, params.eval_max_samples, params.eval_fraction, seed=params.seed)
+    train, held = train_eval(kept, params.eval_fraction, cap=params.eval_max_samples, seed=params.seed)
     return Prepared(
         clean, kept, training_examples(train, system, template), training_examples(held, system, template)
     )
@@ -55,20 +53,24 @@ def prepare_run(
 ) -> DataFrame:
     """The whole preparation: clean, guard, report, split, render, and write it all under ``out``.
 
-    ``clean`` (Parquet, the input of all that follows), ``issues``, ``train``, ``evaluation`` and ``manifest``. Raises
-    ``RuntimeError`` when no row is left. Returns the manifest.
+    ``clean`` (Parquet, the input of all that follows), ``profile``, ``issues``, ``train``, ``evaluation`` and
+    ``manifest``. The counts in these come from the pass that writes ``clean``; only duplicates take another, over the
+    names alone. Raises ``RuntimeError`` when no row is left. Returns the manifest.
     """
     params = params or Params()
     spark = raw.sparkSession
-    clean_metadata(raw).write.parquet(f"{out}/clean")
+    report = write_and_profile(clean_metadata(raw), f"{out}/clean", params.max_name_len)
+    counts = report.first()
+    spark.createDataFrame([counts], report.schema).coalesce(1).write.json(f"{out}/profile")
+    totals = spark.createDataFrame([(i, counts[i]) for i in ISSUES], "issue string, n long")
+    totals.coalesce(1).write.json(f"{out}/issues")
+    left = counts["row_count"] - (counts["episode_nulls"] if params.require_episode else 0)
+    if not left:
+        raise RuntimeError("no rows with an episode are left; the episode column is not readable")
     clean = spark.read.parquet(f"{out}/clean")
-    issue_counts(clean, params.max_name_len).coalesce(1).write.json(f"{out}/issues")
-    kept = require_rows(require_episode(clean) if params.require_episode else clean)
-    train, evaluation = train_eval(kept, params.eval_fraction, seed=params.seed)
-    if params.eval_max_samples is not None:
-        evaluation = capped_eval(kept, params.eval_max_samples, params.eval_fraction, seed=params.seed)
+    kept = require_episode(clean) if params.require_episode else clean
+    train, evaluation = train_eval(kept, params.eval_fraction, cap=params.eval_max_samples, seed=params.seed)
     write_training_text(training_examples(train, system, template), f"{out}/train")
     write_training_text(training_examples(evaluation, system, template), f"{out}/evaluation")
-    manifest = run_manifest(kept, params.as_dict(), version)
-    write_manifest(manifest, f"{out}/manifest")
+    write_manifest(manifest_row(spark, left, params.as_dict(), version), f"{out}/manifest")
     return spark.read.json(f"{out}/manifest")

@@ -28,50 +28,78 @@ def order_key(row_id: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")))
 
 
-def rank_cut(df: DataFrame, row_id: str, seed: int, rank: Callable[[Column], Column]) -> DataFrame:
-    """One row (or none for rank 0): ``cut`` = (hash, row id) of the row with the given 1-based rank.
+def rank_cuts(df: DataFrame, row_id: str, seed: int, ranks: Sequence[Callable[[Column], Column]]) -> DataFrame:
+    """One row with ``cuts``: by number of the rank, (hash, row id) of the row at it; a rank of 0 has no entry.
 
-    ``rank`` maps the row count to the wanted rank. Row ids must be unique and
-    not null: others raise. Hashes and ids are written once to shared storage,
-    so the source is read once, whatever the number of levels. Each level counts rows per hash prefix, finds the bucket that holds the
-    rank, and looks only into that bucket; two levels leave n / 2^32 rows.
+    Each of ``ranks`` maps the row count to a wanted 1-based rank. Row ids must be unique and not null: others raise.
+    Hashes and ids are written once to shared storage, so the source is read once for all ranks and levels. Each level
+    counts rows per hash prefix in one histogram, finds the buckets that hold the ranks, and looks only into those; two
+    levels leave n / 2^32 rows per rank.
     """
     sound = F.coalesce(F.col(row_id), F.raise_error(F.lit(f"null in {row_id}")).cast(df.schema[row_id].dataType))
     rows = materialize(df.select(order_key(sound, seed).alias("h"), F.col(row_id).alias("id")), "ranks")
     for level in range(_LEVELS):
         digits = F.substring("h", 1 + level * _DIGITS, _DIGITS)
-        # At most 65,536 rows reach this window, whatever the table's size.
-        running = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        grouped = rows.groupBy(digits.alias("b"))
+        # At most 65,536 rows per rank reach these windows, whatever the table's size.
         if level == 0:
-            hist = grouped.agg(F.count(F.lit(1)).alias("n"))
-            place = rank(F.sum("n").over(Window.partitionBy()))
+            hist = rows.groupBy(digits.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+            total = F.sum("n").over(Window.partitionBy())
+            upto = F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            wanted = F.array(*[F.struct(F.lit(i).alias("i"), r(total).cast("bigint").alias("place")) for i, r in enumerate(ranks)])
+            placed = hist.select("b", "n", upto.alias("upto"), wanted.alias("w")).select("b", "n", "upto", F.inline("w"))
         else:
-            hist = grouped.agg(F.count(F.lit(1)).alias("n"), F.first("need").alias("need"))
-            place = F.col("need")
-        target = (
-            hist.select("b", "n", F.sum("n").over(running).alias("upto"), place.alias("place"))
-            .filter("upto - n < place and place <= upto")
-            .select("b", F.expr("place - (upto - n)").alias("need"))
-        )
-        # The target is one row: the bucket in which the wanted rank lies.
-        rows = rows.join(F.broadcast(target), digits == F.col("b")).select(rows["h"], rows["id"], target["need"])
-    last = Window.orderBy("h", "id")
-    # Equal ids have equal hashes; where the cut falls on them, it is not one row.
+            hist = rows.groupBy("i", digits.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.first("need").alias("place"))
+            running = Window.partitionBy("i").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            placed = hist.select("i", "b", "n", F.sum("n").over(running).alias("upto"), "place")
+        # One row per rank: the bucket in which it lies.
+        target = placed.filter("upto - n < place and place <= upto").select(F.col("i").alias("_i"), "b", F.expr("place - (upto - n)").alias("_need"))
+        same = (digits == F.col("b")) if level == 0 else (digits == F.col("b")) & (F.col("i") == F.col("_i"))
+        rows = rows.join(F.broadcast(target), same).select("h", "id", F.col("_i").alias("i"), F.col("_need").alias("need"))
+    last = Window.partitionBy("i").orderBy("h", "id")
+    # Equal ids have equal hashes; where a cut falls on them, it is not one row.
     twin = F.lead("id").over(last).eqNullSafe(F.col("id")) | F.lag("id").over(last).eqNullSafe(F.col("id"))
     single = F.when(twin, F.raise_error(F.lit(f"{row_id} is not unique")).cast("boolean")).otherwise(True)
-    return (
-        rows.select(F.struct("h", "id").alias("cut"), "need", F.row_number().over(last).alias("r"), single.alias("ok"))
-        .filter("r = need and ok")
-        .select("cut")
-    )
+    found = rows.select("i", F.struct("h", "id").alias("cut"), "need", F.row_number().over(last).alias("r"), single.alias("ok")).filter("r = need and ok")
+    return found.agg(F.map_from_entries(F.collect_list(F.struct("i", "cut"))).alias("cuts"))
 
 
-def first_by_hash(df: DataFrame, row_id: str, seed: int, rank: Callable[[Column], Column]) -> Column:
-    """True for the rows among the first ``rank`` of the seeded order."""
-    cut = rank_cut(df, row_id, seed, rank).scalar()
+def first_by_hash(df: DataFrame, row_id: str, seed: int, *ranks: Callable[[Column], Column]) -> list[Column]:
+    """For each of ``ranks`` a column: true for the rows among so many first ones of the seeded order."""
+    cuts = rank_cuts(df, row_id, seed, ranks).scalar()
     mine = F.struct(order_key(F.col(row_id), seed).alias("h"), F.col(row_id).alias("id"))
-    return F.coalesce(mine <= cut, F.lit(False))
+    return [F.coalesce(mine <= cuts[F.lit(i)], F.lit(False)) for i in range(len(ranks))]
+
+
+def balanced_ranges(df: DataFrame, row_id: str, most: int, out: str = "bucket") -> DataFrame:
+    """Add ``out``, the start of a range of row ids that holds at most ``most`` rows; ids are unique whole numbers.
+
+    Ranges come from a histogram between the least and the greatest id, each as wide as ``most`` rows take on average. A bucket with more
+    rows is divided the same way between its own least and greatest id, and so on, so neither outliers nor clusters fill
+    a range. ``df`` is read once per level; evenly spread ids take one. More than ``most`` rows of one id raise.
+    """
+    lo, hi, n = F.col("__lo"), F.col("__hi"), F.col("__n")
+    limits = [F.min(row_id).alias("__lo"), F.max(row_id).alias("__hi"), F.count(F.lit(1)).alias("__n")]
+    # Whole numbers in decimals: ids may span more than a bigint holds.
+    wide = lambda c: c.cast("decimal(20,0)")
+    span, share = wide(hi) - wide(lo) + 1, F.lit(most).cast("decimal(10,0)")
+    even = span * share + wide(n) - 1
+    # As wide as ``most`` rows take on average, but no more than half.
+    width = F.least(wide((even - even % wide(n)) / wide(n)), wide((span + 1 - (span + 1) % 2) / 2))
+    at = F.col(row_id)
+    inner = (wide(at) - wide(lo) - (wide(at) - wide(lo)) % width + wide(lo)).cast("bigint")
+    whole = df.agg(*limits).select(F.when(n > most, F.struct("__lo", "__hi", "__n")).alias("s")).scalar()
+    rows = df.withColumns({"__lo": whole["__lo"], "__hi": whole["__hi"], "__n": whole["__n"]})
+    least = df.agg(F.min(row_id)).scalar()
+    rows = rows.withColumn(out, F.when(n.isNull(), least).otherwise(inner)).drop("__lo", "__hi", "__n")
+    while True:
+        sizes = rows.groupBy(out).agg(*limits).filter(n > most)
+        one = F.raise_error(F.concat(F.lit(f"too many rows of one {row_id}: "), lo.cast("string"))).cast("boolean")
+        full = materialize(sizes.filter(F.when(lo < hi, True).otherwise(one)).withColumnRenamed(out, "__full"), "ranges")
+        if full.isEmpty():
+            return rows
+        # Few of the ranges are full, or else the ids are; adaptive execution chooses how to join them.
+        joined = rows.join(full, F.col(out) == F.col("__full"), "left")
+        rows = joined.withColumn(out, F.when(n.isNull(), F.col(out)).otherwise(inner)).drop("__lo", "__hi", "__n", "__full")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:

@@ -22,6 +22,12 @@ def _bad_crc() -> Column:
     return F.coalesce(~crc_matches(F.col("crc_hash")), F.lit(False))
 
 
+def row_issues(max_name_len: int = 200) -> dict[str, Column]:
+    """The issues that a row has by itself, by name: all but duplicates."""
+    conditions = [_long_name(max_name_len), None, _bad_crc(), F.col("episode").isNull()]
+    return {issue: c for issue, c in zip(ISSUES, conditions, strict=True) if c is not None}
+
+
 def with_name_count(
     df: DataFrame, name: str = "name", out: str = "name_count", *, hot_names: int = HOT_NAMES
 ) -> DataFrame:

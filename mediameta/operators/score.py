@@ -14,6 +14,7 @@ from mediameta.functions.jsontext import extract_json
 from mediameta.functions.tokens import replace_ignored
 from mediameta.operators.generate import decode_tokens
 from mediameta.schema import METRICS
+from mediameta.sources.pieces import number_rows
 
 
 def pair_labels(predictions: DataFrame, labels: DataFrame, key: str = "id") -> DataFrame:
@@ -25,6 +26,18 @@ def pair_labels(predictions: DataFrame, labels: DataFrame, key: str = "id") -> D
     return predictions.join(checked.drop("_labels"), key, "left")
 
 
+def pair_positions(predictions: DataFrame, labels: DataFrame) -> DataFrame:
+    """The n-th prediction beside the n-th label, as far as both go, with their ``position``.
+
+    Both are plain file scans without a column of one name. Each numbers its own rows by its files' pieces, nothing is
+    copied or sorted, and rows meet by number, so they spread evenly. What the longer side has beyond is left out.
+    """
+    clash = set(predictions.columns) & set(labels.columns)
+    if clash:
+        raise ValueError(f"columns of both sides: {sorted(clash)}")
+    return number_rows(predictions, "position").join(number_rows(labels, "position"), "position")
+
+
 def score_rows(df: DataFrame, pred: str = "pred", label: str = "label", mode: str = "native") -> DataFrame:
     """Add the six row flags. The label object is read only for the equality."""
     work = extract_json(df, pred, "_pred", mode=mode)
@@ -45,7 +58,7 @@ def score_completions(
     kind = df.schema[pred].dataType
     if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
         warnings.warn("predictions are logits, not completions; all scores are zero", stacklevel=2)
-        return df.limit(0).agg(*[F.coalesce(F.sum(F.lit(0.0)), F.lit(0.0)).alias(m) for m in METRICS])
+        return df.agg(*[F.coalesce(F.avg(F.size(pred) * F.lit(0.0)), F.lit(0.0)).alias(m) for m in METRICS])
     if not isinstance(kind, T.StringType):
         raise TypeError("decode token ids to text before scoring")
     flags = score_rows(df, pred, label, mode)

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediameta.operators.ordering import first_by_hash, order_key
+from mediameta.operators.ordering import balanced_ranges, first_by_hash, order_key
+from mediameta.sources.storage import materialize
 
 
 def eval_size(total: Column, fraction: float, cap: int | None = None) -> Column:
@@ -18,11 +19,18 @@ def eval_size(total: Column, fraction: float, cap: int | None = None) -> Column:
 
 
 def assign_split(
-    df: DataFrame, fraction: float = 0.1, *, seed: int = 14789, row_id: str = "row_id"
+    df: DataFrame, fraction: float = 0.1, *, cap: int | None = None, seed: int = 14789, row_id: str = "row_id"
 ) -> DataFrame:
-    """Add ``split`` (``train`` or ``eval``); exactly ceil(n * fraction) rows are ``eval``."""
-    chosen = first_by_hash(df, row_id, seed, lambda n: eval_size(n, fraction))
-    return df.withColumn("split", F.when(chosen, "eval").otherwise("train"))
+    """Add ``split`` (``train`` or ``eval``); exactly ceil(n * fraction) rows are ``eval``.
+
+    With ``cap`` only so many first ones of them are, in split order, and the others ``unused``. Both limits come from one
+    pass over the ids.
+    """
+    if cap is None:
+        (held,) = first_by_hash(df, row_id, seed, lambda n: eval_size(n, fraction))
+        return df.withColumn("split", F.when(held, "eval").otherwise("train"))
+    held, chosen = first_by_hash(df, row_id, seed, lambda n: eval_size(n, fraction), lambda n: eval_size(n, fraction, cap))
+    return df.withColumn("split", F.when(chosen, "eval").when(held, "unused").otherwise("train"))
 
 
 def train_eval(df: DataFrame, fraction: float = 0.1, **options) -> tuple[DataFrame, DataFrame]:
@@ -35,7 +43,7 @@ def capped_eval(
     df: DataFrame, cap: int, fraction: float = 0.1, *, seed: int = 14789, row_id: str = "row_id"
 ) -> DataFrame:
     """The first ``cap`` eval rows in split order, found by rank like the split itself."""
-    return df.filter(first_by_hash(df, row_id, seed, lambda n: eval_size(n, fraction, cap)))
+    return df.filter(first_by_hash(df, row_id, seed, lambda n: eval_size(n, fraction, cap))[0])
 
 
 def sample_rows(df: DataFrame, n: int = 5, *, seed: int = 14789, row_id: str = "row_id") -> DataFrame:
@@ -58,20 +66,12 @@ def pack_sequences(
 ) -> DataFrame:
     """(row_id, n_tokens, bucket, sequence, start): where each example begins in its packed sequence.
 
-    Examples are laid end to end and cut every ``limit`` tokens. Buckets are
-    equal ranges between the least and the greatest row id, as wide as
-    ``rows_per_bucket`` rows take on average. So sparse ids pack as tightly as
-    dense ones, and no window grows with the table while the ids are spread
-    evenly. Row ids must be unique.
+    Examples are laid end to end in order of their ids and cut every ``limit`` tokens, anew in each bucket: a range of
+    row ids, named by its start, with at most ``rows_per_bucket`` rows, however the ids are spread. So no window grows
+    with the table. Row ids must be unique.
     """
-    ids = df.agg(F.min(row_id).alias("lo"), F.max(row_id).alias("hi"), F.count(row_id).alias("n"))
-    width = F.greatest(F.ceil((F.col("hi") - F.col("lo") + 1) * float(rows_per_bucket) / F.col("n")), F.lit(1))
-    at = ids.select(F.struct("lo", width.alias("width")).alias("s")).scalar()
-    sized = df.select(
-        F.col(row_id),
-        length.cast("bigint").alias("n_tokens"),
-        F.floor((F.col(row_id) - at["lo"]) / at["width"]).cast("bigint").alias("bucket"),
-    )
+    lengths = materialize(df.select(F.col(row_id), length.cast("bigint").alias("n_tokens")), "lengths")
+    sized = balanced_ranges(lengths, row_id, rows_per_bucket)
     before = Window.partitionBy("bucket").orderBy(row_id).rowsBetween(Window.unboundedPreceding, -1)
     return sized.withColumn("_at", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).select(
         row_id,

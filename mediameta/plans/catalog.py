@@ -63,6 +63,18 @@ def csv_roundtrip(spark, sf_dir):
     return clean.clean_metadata(tables.read_labelled_csv(spark, path, key="row_id"))
 
 
+@query
+def csv_multiline_split(spark, sf_dir):
+    """One file whose values hold newlines, commas and quotes, read in pieces without a key column."""
+    path = scratch_path(spark, "multiline")
+    parts = [F.col(c) for c in RAW_COLUMNS]
+    parts[4] = F.concat_ws("\n", "reasoning", F.concat(F.lit('a "quoted, line"\n\n'), F.col("row_id").cast("string")))
+    rows = _raw(spark, sf_dir).select("row_id", *[p.alias(c) for p, c in zip(parts, RAW_COLUMNS, strict=True)])
+    # One file in order of the key, as another program might write it.
+    tables.write_labelled_csv(rows.orderBy("row_id").select(*RAW_COLUMNS).coalesce(1), path)
+    return tables.read_labelled_csv(spark, path)
+
+
 @query
 def read_filenames(spark, sf_dir):
     path = scratch_path(spark, "names")
@@ -271,6 +283,14 @@ def sample_rows(spark, sf_dir):
     return split.sample_rows(_clean(spark, sf_dir), seed=SEED)
 
 
+@query
+def profile_report(spark, sf_dir):
+    """All counts of the report, from the pass that writes the cleaned table."""
+    report = profile.write_and_profile(_clean(spark, sf_dir), scratch_path(spark, "profiled"))
+    shown = [F.format_string("%.6e", F.col(c)).alias(c) if c.endswith(("_mean", "_std")) else F.col(c) for c in report.columns]
+    return report.select(*shown).withColumn("season_coverage", F.round("season_coverage", 6))
+
+
 @query
 def duplicate_names(spark, sf_dir):
     return quality.duplicate_names(_clean(spark, sf_dir).select("row_id", "name"))
@@ -318,6 +338,26 @@ def pack_sparse(spark, sf_dir):
     return split.pack_sequences(table(spark, sf_dir, "orders"), F.col("o_orderkey") % 700, PACK_LIMIT, row_id="o_orderkey")
 
 
+@query
+def pack_clustered(spark, sf_dir):
+    """Ids in two dense clusters and one far outlier."""
+    k = F.col("o_orderkey")
+    far = F.when(k == 1, 10**15).when(k % 3 == 0, k + 10**9).otherwise(k)
+    orders = table(spark, sf_dir, "orders").select(far.alias("row_id"), "o_orderkey")
+    return split.pack_sequences(orders, F.col("o_orderkey") % 700, PACK_LIMIT)
+
+
+@query
+def split_and_cap(spark, sf_dir):
+    """Split and cap from one chain of histograms."""
+    return split.assign_split(_clean(spark, sf_dir), SPLIT_FRACTION, cap=EVAL_CAP, seed=SEED).select("row_id", "split")
+
+
+@query
+def short_run(spark, sf_dir):
+    return split.short_run(_clean(spark, sf_dir), 25).select("row_id", "name")
+
+
 # --- JSON text ---
 
 
@@ -362,6 +402,14 @@ def truncate_completion(spark, sf_dir):
     )
 
 
+@query
+def truncate_token_stop(spark, sf_dir):
+    """An id per character, so the stop on ids is that on text, but never before the second id."""
+    codes = derived(spark, sf_dir, "completions").select("id", _codes("pred").alias("ids"))
+    cut = generate.truncate_token_stop(codes, "ids", "cut", code_decoder, stop_on_tags=True)
+    return cut.select("id", "cut_text", F.size("cut").alias("n_ids"), "stopped")
+
+
 @query
 def truncate_stop_strings(spark, sf_dir):
     return derived(spark, sf_dir, "completions").select(
@@ -390,6 +438,10 @@ def score_empty(spark, sf_dir):
     return score.score_completions(logits)
 
 
+def _codes(c: str) -> Column:
+    return F.transform(F.split(F.nullif(F.col(c), F.lit("")), ""), lambda x: F.ascii(x).cast("bigint"))
+
+
 def code_decoder():
     """A stand-in tokenizer: a character per id, zero is padding."""
     return lambda rows: ["".join(chr(i) for i in ids if i) for ids in rows]
@@ -398,8 +450,7 @@ def code_decoder():
 @query
 def score_token_ids(spark, sf_dir):
     def ids(c: str) -> Column:
-        codes = F.transform(F.split(F.nullif(F.col(c), F.lit("")), ""), lambda x: F.ascii(x).cast("bigint"))
-        return F.concat(codes, F.array(F.lit(-100).cast("bigint"))).alias(f"{c}_ids")
+        return F.concat(_codes(c), F.array(F.lit(-100).cast("bigint"))).alias(f"{c}_ids")
 
     both = derived(spark, sf_dir, "completions").select(ids("pred"), ids("label"))
     scores = score.score_token_ids(both, code_decoder)
@@ -420,6 +471,19 @@ def pair_labels(spark, sf_dir):
     return score.pair_labels(documents, table(spark, sf_dir, "labels"), "doc_id")
 
 
+@query
+def pair_positions(spark, sf_dir):
+    """Predictions and labels in files of different number, paired by position; there are fewer labels."""
+    both = derived(spark, sf_dir, "completions")
+    sides = []
+    for column, rows, files in (("pred", both, 7), ("label", both.filter("id % 11 <> 0"), 3)):
+        path = scratch_path(spark, f"positions-{column}")
+        ordered = rows.select(F.col("id").alias(f"{column}_id"), column).repartitionByRange(files, f"{column}_id")
+        ordered.sortWithinPartitions(f"{column}_id").write.parquet(path)
+        sides.append(spark.read.parquet(path))
+    return score.pair_positions(*sides)
+
+
 # --- attempts and generation ---
 
 
@@ -468,6 +532,18 @@ def batch_generate(spark, sf_dir):
     return records.withColumn("errors", F.array_join("errors", " | ")).drop("seconds")
 
 
+@query
+def generate_resumed(spark, sf_dir):
+    """A run over all names after one over half of them: the answers of one run."""
+    prompts = derived(spark, sf_dir, "filenames").select(
+        "row_id", render.inference_prompt(F.lit(SYSTEM_TEXT), render.user_prompt(F.col("name"))).alias("prompt")
+    )
+    store = scratch_path(spark, "answers")
+    generate.generate_resumable(prompts.filter("row_id % 2 = 0"), length_generator, store, waves=2)
+    records = generate.generate_resumable(prompts, length_generator, store, waves=2)
+    return records.withColumn("errors", F.array_join("errors", " | ")).drop("seconds")
+
+
 # --- filename extraction ---
 
 

@@ -305,12 +305,20 @@ _NO_OBJECT = "'no object here'"
 
 
 def _packed(source: str, key: str, size: str) -> str:
-    """Examples end to end in ranges of ids, each of 4,096 rows on average."""
-    return f"""SELECT {key}, n_tokens, bucket, CAST(floor(pos / {catalog.PACK_LIMIT}) AS BIGINT) AS sequence, pos % {catalog.PACK_LIMIT} AS start
-      FROM (SELECT *, CAST(sum(n_tokens) OVER (PARTITION BY bucket ORDER BY {key}) - n_tokens AS BIGINT) AS pos
-            FROM (SELECT {key}, {size} AS n_tokens,
-                         CAST(floor(({key} - lo) / ceil((hi - lo + 1) * 4096.0::DOUBLE / n)) AS BIGINT) AS bucket
-                  FROM {source}, (SELECT min({key}) AS lo, max({key}) AS hi, count(*) AS n FROM {source}) x) d) e"""
+    """Examples end to end in ranges of ids; a range of over 4,096 rows is divided, three times at most here."""
+    ranged = f"SELECT {key} AS k, {size} AS n_tokens, 0 AS bucket FROM {source} s"
+    for level in range(3):
+        ranged = f"""SELECT k, n_tokens, CASE WHEN n > 4096 THEN lo + (k - lo) - (k - lo) % least(((hi - lo + 1) * 4096 + n - 1) // n, (hi - lo + 2) // 2) ELSE {'bucket' if level else 'lo'} END AS bucket
+          FROM (SELECT *, min(k) OVER w AS lo, max(k) OVER w AS hi, count(*) OVER w AS n FROM ({ranged}) r WINDOW w AS (PARTITION BY bucket)) q"""
+    # A range keeps its start; only one that was never divided is named by its least id.
+    return f"""SELECT k AS {key}, n_tokens, bucket, CAST(floor(pos / {catalog.PACK_LIMIT}) AS BIGINT) AS sequence, pos % {catalog.PACK_LIMIT} AS start
+      FROM (SELECT *, CAST(sum(n_tokens) OVER (PARTITION BY bucket ORDER BY k) - n_tokens AS BIGINT) AS pos FROM ({ranged}) d) e"""
+
+
+def _moments(column: str, kind: str) -> str:
+    shown = [f"format('{{:.6e}}', {f}({column})) AS {column}_{name}" for name, f in (("mean", "avg"), ("std", "stddev_samp"))]
+    ends = [f"CAST({f}({column}) AS {kind}) AS {column}_{f}" for f in ("min", "max")]
+    return ", ".join([f"count({column}) AS {column}_count", *shown, *ends])
 
 
 ORACLE: dict[str, str] = {
@@ -358,6 +366,35 @@ ORACLE: dict[str, str] = {
     "eval_cap": f"SELECT row_id, name FROM {_RANKED} x WHERE r <= least({_EVAL}, {catalog.EVAL_CAP})",
     "pack_sequences": _packed("documents", "doc_id", "n_chars"),
     "pack_sparse": _packed("orders", "o_orderkey", "o_orderkey % 700"),
+    "pack_clustered": _packed(
+        "(SELECT o_orderkey, CASE WHEN o_orderkey = 1 THEN 1000000000000000 WHEN o_orderkey % 3 = 0 THEN o_orderkey + 1000000000 ELSE o_orderkey END AS row_id FROM orders)",
+        "row_id", "o_orderkey % 700",
+    ),
+    "split_and_cap": f"""SELECT row_id, CASE WHEN r <= least({_EVAL}, {catalog.EVAL_CAP}) THEN 'eval' WHEN r <= {_EVAL} THEN 'unused' ELSE 'train' END AS split
+      FROM {_RANKED} x""",
+    "short_run": f"SELECT row_id, name FROM {_CLEAN} c ORDER BY row_id LIMIT 25",
+    "profile_report": "SELECT count(*) AS row_count, "
+    + ", ".join(f"count(*) - count({c}) AS {c}_nulls" for c in RAW_COLUMNS)
+    + f", round(100.0::DOUBLE * count(season) / count(*), 6) AS season_coverage, {_moments('episode', 'BIGINT')}, {_moments('confidence', 'DOUBLE')}, "
+    + ", ".join(
+        f"count(*) FILTER ({condition}) AS {issue}"
+        for issue, condition in zip(ISSUES, ["length(name) > 200", "name_count > 1", _BAD_CRC, "episode IS NULL"], strict=True)
+    )
+    + f" FROM {_NAME_COUNTS} c",
+    "csv_multiline_split": "SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, "
+    + ", ".join(
+        "concat_ws(chr(10), reasoning, concat('a \"quoted, line\"', chr(10), chr(10), CAST(row_id AS VARCHAR))) AS reasoning" if c == "reasoning" else f"nullif({c}, '') AS {c}"
+        for c in RAW_COLUMNS
+    )
+    + f" FROM {_RAW} r",
+    "truncate_token_stop": f"""SELECT id, CASE WHEN stopped THEN left(pred, greatest(cut, 2)) ELSE pred END AS cut_text,
+        CAST(CASE WHEN stopped THEN greatest(cut, 2) ELSE length(pred) END AS INTEGER) AS n_ids, stopped
+      FROM (SELECT id, pred, cut, cut IS NOT NULL AND length(pred) > 1 AS stopped
+            FROM (SELECT *, least(close, {_tag_end(SYSTEM_TAG)}, {_tag_end(USER_TAG)}, {_tag_end(ASSISTANT_TAG)}) AS cut
+                  FROM {_first_close(_COMPLETIONS)} c) x) y""",
+    "pair_positions": f"""SELECT p.n AS position, pred_id, pred, label_id, label
+      FROM (SELECT row_number() OVER (ORDER BY id) - 1 AS n, id AS pred_id, pred FROM {_COMPLETIONS} c) p
+      JOIN (SELECT row_number() OVER (ORDER BY id) - 1 AS n, id AS label_id, label FROM {_COMPLETIONS} c WHERE id % 11 <> 0) l ON l.n = p.n""",
     "csv_ragged": f"SELECT row_number() OVER (ORDER BY k) - 1 AS row_id, name, show_name, season, episode, reasoning, confidence, crc_hash, overflow FROM ({RAGGED}) r",
     "extract_json_deep": f"SELECT doc_id AS id, {DEEP_OBJECT} AS obj, '' AS obj_error FROM documents",
     "extract_json": f"SELECT id, obj, {_RETRY_ERROR} AS obj_error FROM {_extracted(_COMPLETIONS, 'pred')} e",
@@ -406,3 +443,4 @@ ORACLE: dict[str, str] = {
     "extract_metadata": f"SELECT *, {_target()} AS target FROM {_EXTRACTED} x",
 }
 ORACLE["score_token_ids"] = ORACLE["score_completions"]
+ORACLE["generate_resumed"] = ORACLE["batch_generate"]

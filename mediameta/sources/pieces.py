@@ -8,6 +8,7 @@ so at 128 MB a petabyte has some eight million small rows; they are what is broa
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -87,12 +88,13 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for key, lines, marks in _lines(batch):
             found = pieces.setdefault(key, [0, [0, 0], [False, True]])
+            blank = [i for i, line in enumerate(lines) if line in ("", "\r")]
             for state in (0, 1):
                 inside, at, starts = found[2][state], 0, 0
                 for mark in [*marks, len(lines)]:
                     # Lines without quotes leave the state; outside, each that is not blank is a record.
                     if not inside:
-                        starts += sum(1 for line in lines[at:mark] if line not in ("", "\r"))
+                        starts += mark - at - (bisect_left(blank, mark) - bisect_left(blank, at))
                     if mark < len(lines):
                         starts += not inside
                         inside = _ends_inside(lines[mark], inside)
@@ -108,21 +110,27 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces in order, each with the state it is entered in and the records that start before it; a file starts outside."""
-    file, inside, records = None, False, 0
+    """Pieces in order, each with the state it is entered in and the number of its first record.
+
+    A file starts outside, and its first record, the header, takes no number of its own.
+    """
+    file, inside, records, header = None, False, 0, False
     for batch in batches:
-        entered, numbers, leaves = [], [], []
+        entered, numbers, leaves, awaits = [], [], [], []
         for at, outside, within, ends0, ends1 in zip(*(batch.column(c).to_pylist() for c in ("__file", "from_outside", "from_inside", "ends_outside", "ends_inside")), strict=True):
             if at != file:
-                file, inside = at, False
+                file, inside, header = at, False, True
             entered.append(inside)
-            numbers.append(records)
-            records += within if inside else outside
+            numbers.append(records - header)
+            awaits.append(header)
+            starts = within if inside else outside
+            records += starts - (header and starts > 0)
+            header = header and not starts
             inside = ends1 if inside else ends0
             leaves.append(inside)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("__file"), batch.column("__start"), batch.column("lines"), pa.array(entered, pa.bool_()), pa.array(numbers, pa.int64()), pa.array(leaves, pa.bool_())],
-            [*PIECE, "lines", "entered", "records", "leaves"],
+            [batch.column("__file"), batch.column("__start"), batch.column("lines"), pa.array(entered, pa.bool_()), pa.array(numbers, pa.int64()), pa.array(leaves, pa.bool_()), pa.array(awaits, pa.bool_())],
+            [*PIECE, "lines", "entered", "records", "leaves", "awaits"],
         )
 
 
@@ -132,13 +140,14 @@ def _join_lines(whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece, expected, seen = None, 0, 0
         open_: list[str] = []
-        inside = head = False
-        number = 0
+        inside = head = awaits = False
+        number = base = 0
 
         def row(last: bool, out: list) -> None:
             # A record is whole when it begins and ends here.
             if whole == (last and not head):
-                out.append((number - 1, piece[0], piece[1], "\n".join(open_), piece[1] == 0 and number - 1 == base and not head))
+                text = "\n".join(open_)
+                out.append((number - 1, piece[0], piece[1], text, awaits and number - 1 == base and not head))
 
         def close(out: list) -> None:
             if piece is not None:
@@ -147,16 +156,15 @@ def _join_lines(whole: bool):
                 if open_:
                     row(False, out)
 
-        base = 0
         for batch in batches:
             out: list[tuple] = []
             at = 0
-            columns = [batch.column(c) for c in ("lines", "entered", "records")]
+            columns = [batch.column(c) for c in ("lines", "entered", "records", "awaits")]
             for key, lines, marks in _lines(batch):
                 if key != piece:
                     close(out)
                     piece, open_ = key, []
-                    expected, inside, number = (c[at].as_py() for c in columns)
+                    expected, inside, number, awaits = (c[at].as_py() for c in columns)
                     base, seen, head = number, 0, inside
                 quoted = set(marks)
                 for i, line in enumerate(lines):
@@ -193,19 +201,20 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     from all lines before it: the first scan finds for each piece how it is left when entered outside or inside one, a
     walk over the pieces settles the entries, and the second scan joins lines to records. Records that cross pieces are
     put together from their parts. A quote opens a field only at its start and is closed by one that is not doubled.
-    Records are numbered from 0 through all files, blank lines outside quotes are none, and ``header`` marks each file's
-    first. Lines end with a line feed; a carriage return before it stays with the text.
+    ``header`` marks each file's first record; the others are numbered from 0 through all files. Blank lines outside
+    quotes are no records. Lines end with a line feed, or with a carriage return before it.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
     pieces = lines.select("value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"))
     described = pieces.mapInArrow(_describe, "__file string, __start long, lines long, from_outside long, from_inside long, ends_outside boolean, ends_inside boolean")
     # One row per piece, walked in order by one task.
-    entered = described.repartition(1).sortWithinPartitions(*PIECE).mapInArrow(_enter, "__file string, __start long, lines long, entered boolean, records long, leaves boolean")
+    entered = described.repartition(1).sortWithinPartitions(*PIECE).mapInArrow(_enter, "__file string, __start long, lines long, entered boolean, records long, leaves boolean, awaits boolean")
     schema = "record long, __file string, __start long, text string, header boolean"
     at = F.broadcast(entered)
     read = pieces.join(at, PIECE)
     whole = read.mapInArrow(_join_lines(True), schema).select("record", "text", "header")
     crossing = read.filter("entered OR leaves").mapInArrow(_join_lines(False), schema)
     # A piece has at most the end of one record and the beginning of another.
-    joined = crossing.groupBy("record").agg(F.sort_array(F.collect_list(F.struct("__start", "text"))).alias("parts"), F.max("header").alias("header"))
-    return whole.unionByName(joined.select("record", F.array_join("parts.text", "\n").alias("text"), "header"))
+    joined = crossing.groupBy("__file", "record").agg(F.sort_array(F.collect_list(F.struct("__start", "text"))).alias("parts"), F.max("header").alias("header"))
+    both = whole.unionByName(joined.select("record", F.array_join("parts.text", "\n").alias("text"), "header"))
+    return both.withColumn("text", F.regexp_replace("text", r"\r\z", ""))

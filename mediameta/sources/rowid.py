@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediameta.sources.storage import materialize
+from mediameta.sources.pieces import number_rows
 
 
 def with_row_id(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -14,32 +14,8 @@ def with_row_id(df: DataFrame, key: str | None = None) -> DataFrame:
     With ``key`` the caller's unique column is used as it is. Otherwise the
     frame must be a plain file scan: ids count from 0 in the order of file name
     and position, whatever the number of partitions or the split size.
-
-    The scan numbers rows per partition and is written to shared storage once,
-    so that a later retry of a task cannot renumber them. Offsets come from one
-    small row per file piece.
     """
-    if key is not None:
-        rest = [c for c in df.columns if c not in (key, "row_id")]
-        return df.select(F.col(key).cast("bigint").alias("row_id"), *rest)
-
-    numbered = df.select(
-        *df.columns,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_place"),
-    )
-    stored = materialize(numbered, "rows")
-    piece = ["_file", "_block"]
-    # One row per file piece; the order among pieces is that of the file listing.
-    before = Window.orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        stored.groupBy(*piece)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("_place").alias("first"))
-        .select(*piece, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    )
-    # The size of the offsets decides at run time between broadcast and shuffle; in a
-    # shuffle, adaptive execution splits a piece that is far larger than the others.
-    return stored.join(offsets, piece).select(
-        (F.col("offset") + F.col("_place") - F.col("first")).alias("row_id"), *df.columns
-    )
+    if key is None:
+        return number_rows(df)
+    rest = [c for c in df.columns if c not in (key, "row_id")]
+    return df.select(F.col(key).cast("bigint").alias("row_id"), *rest)

@@ -9,7 +9,7 @@ from mediameta.plans.oracle import ORACLE
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 # These run Python by design.
-PYTHON = {"batch_generate", "infer_chain", "score_token_ids", "decode_tokens", "extract_json_python"}
+PYTHON = {"batch_generate", "infer_chain", "score_token_ids", "decode_tokens", "extract_json_python", "csv_multiline_split", "csv_roundtrip", "truncate_token_stop", "generate_resumed"}
 SQL_DIR = "/root/testdata/sf0.01"
 
 

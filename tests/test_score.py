@@ -262,3 +262,67 @@ def test_numbers_are_equal_as_in_python(spark):
     want = {i: json.loads(p) == json.loads(t) for i, p, t in rows}
     assert sum(want.values()) > 300 and sum(not w for w in want.values()) > 200
     assert [(rows[i][1], rows[i][2], got[i]) for i in want if got[i] != want[i]] == []
+
+
+def counting_generator(folder, poison=None):
+    """Answers every prompt, notes each call in a file of its own, and ends the job at one prompt."""
+
+    def make():
+        import uuid
+
+        def generate_(prompts, temperature, top_p):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w", encoding="utf-8") as f:
+                f.write("\n".join(prompts))
+            if poison in prompts:
+                raise RuntimeError("ended")
+            return [GOOD for _ in prompts]
+
+        return generate_
+
+    return make
+
+
+def test_resumed_run_asks_for_open_rows_only(spark, tmp_path):
+    rows = [(i, f"prompt {i % 190}" + "x" * (i % 7)) for i in range(200)] + [(None, "none"), (None, "none"), (3, None)]
+    df = spark.createDataFrame(rows, "row_id int, prompt string")
+    store = str(tmp_path / "store")
+    calls = [tmp_path / "first", tmp_path / "second", tmp_path / "third"]
+    for c in calls:
+        c.mkdir()
+    asked = lambda c: [line for f in c.iterdir() for line in f.read_text().split("\n")]
+    with pytest.raises(PySparkException, match="RuntimeError"):
+        generate.generate_resumable(df, counting_generator(str(calls[0]), rows[77][1]), store, waves=6)
+    key = df.schema["row_id"]
+    kept = generate.stored_results(spark, store, key).count()
+    assert 0 < kept < 202
+    records = generate.generate_resumable(df.filter("prompt IS NOT NULL"), counting_generator(str(calls[1])), store, waves=6).collect()
+    assert len(records) == 202 and all(r.status == "ok" and r.obj for r in records)
+    # Rows of one id and prompt are asked once.
+    assert len(asked(calls[1])) == 201 - kept
+    # A changed prompt is asked again, the others are not.
+    changed = df.filter("prompt IS NOT NULL").withColumn("prompt", F.when(F.col("row_id") == 5, "other").otherwise(F.col("prompt")))
+    generate.generate_resumable(changed, counting_generator(str(calls[2])), store, waves=6).collect()
+    assert asked(calls[2]) == ["other"]
+
+
+def test_pair_positions(spark, tmp_path):
+    for name, n, files in (("p", 100, 4), ("t", 73, 3)):
+        spark.range(n).repartitionByRange(files, "id").sortWithinPartitions("id").withColumnRenamed("id", name).write.parquet(str(tmp_path / name))
+    sides = [spark.read.parquet(str(tmp_path / n)) for n in "pt"]
+    for pair in (sides, sides[::-1]):
+        assert sorted((r.position, r.p, r.t) for r in score.pair_positions(*pair).collect()) == [(i, i, i) for i in range(73)]
+    with pytest.raises(ValueError, match="both sides"):
+        score.pair_positions(sides[0], sides[0])
+
+
+def test_token_stop(spark):
+    decode = lambda: lambda rows: ["".join(chr(i) for i in ids) for ids in rows]
+    texts = ["{}", "{", "}{a}b", "no", "", "x{a{b}}c{d}", "<|user|> {", "a{}", "{{{}" * 40, "y" * 500 + "{q}" + "z" * 500]
+    df = spark.createDataFrame([(i, [ord(c) for c in t]) for i, t in enumerate(texts)] + [(99, None)], "i int, ids array<bigint>")
+    for tags in (False, True):
+        rows = generate.truncate_token_stop(df, "ids", "cut", decode, stop_on_tags=tags).orderBy("i").collect()
+        for text, r in zip(texts, rows, strict=False):
+            stops = [n for n in range(2, len(text) + 1) if generate.python_stops(text[:n], tags)]
+            assert (r.cut_text, r.stopped) == ((text[: stops[0]], True) if stops else (text, False))
+            assert len(r.cut) == len(r.cut_text)
+        assert rows[-1].cut is None and rows[-1].cut_text is None and rows[-1].stopped is False

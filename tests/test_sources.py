@@ -1,4 +1,6 @@
 import json
+import os
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -103,6 +105,85 @@ def test_row_ids_follow_file_order(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.fixture
+def small_pieces(spark):
+    """Sets the size of a file's pieces."""
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(n) for n in names]
+
+    def to(size):
+        for n in names:
+            spark.conf.set(n, size)
+
+    yield to
+    for n, v in zip(names, before, strict=True):
+        spark.conf.set(n, v)
+
+
+def some_csv(rng, rows, end):
+    """Rows of any shape: newlines, commas and quotes in values, quotes inside bare values, blank lines, short and long rows."""
+    pieces = ["a", "b c", ",", '""', "\n", "\n\n", " ", "ü", "x" * 30]
+    out = [end * rng.randrange(3) + HEADER]
+    for i in range(rows):
+        fields = [f"n{i}"]
+        for _ in range(rng.choice([6, 6, 6, 6, 5, 2, 7])):
+            kind = rng.randrange(6)
+            if kind < 2:
+                fields.append('"' + "".join(rng.choice(pieces) for _ in range(rng.randrange(6))) + '"')
+            else:
+                fields.append(rng.choice(["", "v", 'it"s', "12", "two words", 'a""b']))
+        out.append(",".join(fields) + rng.choice(["", "", "", end]))
+    return end.join(out) + rng.choice(["", end])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pieces_give_the_rows_of_one_task(spark, tmp_path, small_pieces, seed):
+    rng = random.Random(seed)
+    folder = tmp_path / "files"
+    folder.mkdir()
+    for part in range(3):
+        (folder / f"{part}.csv").write_bytes(some_csv(rng, rng.choice([1, 40, 150]), "\n").encode())
+    columns = ["row_id", "overflow", *RAW_COLUMNS]
+    one = tables.read_labelled_csv(spark, str(folder), split=False, long_rows="mark").select(*columns).collect()
+    for size in ("128m", "2k", "150b"):
+        small_pieces(size)
+        read = tables.read_labelled_csv(spark, str(folder), long_rows="mark").select(*columns)
+        assert sorted(read.collect()) == sorted(one)
+    assert read.rdd.getNumPartitions() > 3
+
+
+def test_pieces_of_a_file_with_carriage_returns(spark, tmp_path, small_pieces):
+    text = f'{HEADER}\na,"b\n\nc",1,2,r,0.9,x\nd,e,1,2,"y\n\n",0.9,z\n' * 1
+    path = tmp_path / "data.csv"
+    path.write_bytes(text.replace("\n", "\r\n").encode())
+    small_pieces("20b")
+    rows = tables.read_labelled_csv(spark, str(path)).orderBy("row_id").collect()
+    assert [(r.name, r.show_name, r.reasoning, r.crc_hash) for r in rows] == [("a", "b\r\n\r\nc", "r", "x"), ("d", "e", "y\r\n\r\n", "z")]
+
+
+def test_one_value_over_many_pieces(spark, tmp_path, small_pieces):
+    long = "line\n" * 500
+    path = write(tmp_path, f'{HEADER}\nfirst,s,1,2,"{long}",0.9,x\nlast,s,1,2,r,0.9,"y\n"')
+    small_pieces("100b")
+    rows = tables.read_labelled_csv(spark, path).orderBy("row_id").collect()
+    assert [(r.row_id, r.name, r.reasoning, r.crc_hash) for r in rows] == [(0, "first", long, "x"), (1, "last", "r", "y\n")]
+
+
+def test_numbering_writes_nothing_and_notes_changes(spark, tmp_path, small_pieces):
+    path = tmp_path / "names"
+    path.mkdir()
+    for part in range(3):
+        (path / f"{part}.txt").write_text("".join(f"{part}-{i}\n" for i in range(300)))
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    for size in ("128m", "100b"):
+        small_pieces(size)
+        rows = tables.read_filenames(spark, str(path)).collect()
+        assert {r.row_id: r.name for r in rows} == {p * 300 + i: f"{p}-{i}" for p in range(3) for i in range(300)}
+    assert set(os.listdir(shared)) == before
+    assert with_row_id(spark.read.text(str(path)).limit(0)).collect() == []
+
+
 def test_caller_key(spark):
     df = spark.createDataFrame([(7, "a")], "k int, name string")
     assert with_row_id(df, "k").columns == ["row_id", "name"]

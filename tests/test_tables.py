@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from mediameta.operators import clean, profile, quality, split
-from mediameta.operators.examples import prepare
-from mediameta.operators.ordering import exact_quantiles
+from mediameta.operators.examples import prepare, prepare_run
+from mediameta.operators.ordering import balanced_ranges, exact_quantiles
 from mediameta.plans.derive import derived
 from mediameta.schema import Params, canonical
 
@@ -142,7 +142,7 @@ def test_packing(spark):
     for r, (row_id, n) in zip(rows, lengths, strict=True):
         if r.bucket != bucket:
             at, bucket = 0, r.bucket
-        assert (r.row_id, r.bucket, r.sequence, r.start, r.n_tokens) == (row_id, row_id // 64, at // 2048, at % 2048, n)
+        assert (r.row_id, r.bucket, r.sequence, r.start, r.n_tokens) == (row_id, row_id // 64 * 64, at // 2048, at % 2048, n)
         at += n
 
 
@@ -184,3 +184,45 @@ def test_stateless_operators_stream(spark, sf_dir, tmp_path):
     want = clean.require_episode(clean.clean_metadata(raw))
     got = spark.table("cleaned")
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+@pytest.mark.parametrize("kind", ["outlier", "clusters", "ends", "powers"])
+def test_balanced_ranges(spark, kind):
+    ids = {
+        "outlier": [*range(19_999), 10**15],
+        "clusters": [c * 10**14 + i for c in range(20) for i in range(1000)],
+        "ends": [-(2**63), 2**63 - 1, *range(-5000, 5000)],
+        "powers": sorted({int(1.002**i) for i in range(20_000)}),
+    }[kind]
+    df = spark.createDataFrame([(i,) for i in ids], "row_id bigint").repartition(3)
+    got = {r.row_id: r.bucket for r in balanced_ranges(df, "row_id", 256).collect()}
+    assert set(got) == set(ids)
+    sizes = {}
+    for b in got.values():
+        sizes[b] = sizes.get(b, 0) + 1
+    assert max(sizes.values()) <= 256
+    # Ranges do not overlap and begin at their names.
+    in_order = [got[i] for i in sorted(ids)]
+    assert in_order == sorted(in_order) and all(b <= i for i, b in got.items())
+
+
+def test_balanced_ranges_of_one_id(spark):
+    df = spark.createDataFrame([(7,)] * 40, "row_id bigint")
+    with pytest.raises(Exception, match="too many rows of one row_id"):
+        balanced_ranges(df, "row_id", 16).collect()
+    assert {r.bucket for r in balanced_ranges(df, "row_id", 64).collect()} == {7}
+
+
+def test_prepare_run_counts_while_it_writes(spark, sf_dir, tmp_path):
+    out = str(tmp_path / "run")
+    raw = derived(spark, sf_dir, "raw_metadata")
+    manifest = prepare_run(raw, out, "SYS", params=Params(eval_max_samples=5)).first()
+    clean = spark.read.parquet(f"{out}/clean")
+    assert manifest.row_count == clean.filter("episode IS NOT NULL").count()
+    assert len(manifest.timestamp) == 20
+    issues = {r.issue: r.n for r in spark.read.json(f"{out}/issues").collect()}
+    assert issues == {r.issue: r.n for r in quality.issue_counts(clean).collect()}
+    assert spark.read.json(f"{out}/profile").first().row_count == clean.count()
+    assert spark.read.parquet(f"{out}/evaluation").count() == 5
+    with pytest.raises(RuntimeError, match="no rows with an episode"):
+        prepare_run(raw.filter("episode = 'x'"), str(tmp_path / "none"), "SYS")
