@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediameta.llm.common import look_up, written
+from mediameta.llm.common import look_up, row_keys, written
 from mediameta.llm.ngram_join import passes, sieve
 
 #: Production parameters: cut on 5 zero bits, so about every 32 bytes beyond the least.
@@ -304,17 +304,20 @@ def again(rows: DataFrame, least: int, label: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_span: int = LEAST_SPAN) -> DataFrame:
-    """doc_id, start, length (bytes), chunks, first_doc_id: the spans that repeat earlier text, of ``least_span`` bytes or more.
+    """doc_id, start, length (bytes), chunks, first_doc_id, row: the spans that repeat earlier text, of ``least_span`` bytes or more.
 
     A span is the union of windows of ``least_span`` bytes which occur before, by (doc_id, start), null ids last; all are
     found. Words that a span takes in part, and white space at its ends, are left out of it, so it may be shorter by
     up to ``WORD_REACH`` bytes at either end. chunks is the number of its runs, first_doc_id the first document with the
-    window at its first whole word. Rows that repeat an id are one document as to order, and their spans are listed for each. Clean
-    documents do not appear; an empty table gives an empty result.
+    window at its first whole word. Rows are told apart by ``row``, the key of ``row_keys``: rows without an id of their own
+    come after the others, and only rows equal in id and text are one. Clean documents do not appear; an empty table gives
+    an empty result.
     """
     if least_span < 2 * WINDOW:
         raise ValueError(f"least_span is at least {2 * WINDOW}")
-    read = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    plain = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    keyed = row_keys(plain, "id", "text", "chunk-repeated-ids")
+    read = keyed.select(F.col("__key").alias("doc_id"), "text")
     rows = written(scan(read, least_span), "chunks")
     windows = written(scan_windows(read, least_span, shared_keys(rows)), "chunk-windows")
     pieces = again(rows, least_span, "chunk-index").unionByName(again(windows, least_span, "chunk-window-index"))
@@ -329,11 +332,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.min(F.struct(F.col("start") + F.col("lead"), -F.col("start"), "first")).alias("first"),
     )
     start, stop = F.col("from.start") + F.col("from.lead"), F.col("to.end") - F.col("to.tail")
-    return out.select("doc_id", start.alias("start"), (stop - start).alias("length"), "chunks", F.col("first.first.doc_id").alias("first_doc_id"))
+    found = out.select(F.col("doc_id").alias("row"), start.alias("start"), (stop - start).alias("length"), "chunks", F.col("first.first.doc_id").alias("first"))
+    # Keys of rows without an id of their own back to ids.
+    made = keyed.filter("id IS NULL OR id <> __key").select(F.col("__key").alias("key"), "id").distinct()
+    named = found
+    for key, name in (("row", "doc_id"), ("first", "first_doc_id")):
+        ids = made.select(F.col("key").alias("__made"), F.col("id").alias("__id"))
+        named = named.join(ids, named[key] == ids["__made"], "left")
+        named = named.withColumn(name, F.when(F.col("__made").isNull(), F.col(key)).otherwise(F.col("__id"))).drop("__made", "__id")
+    return named.select("doc_id", "start", "length", "chunks", "first_doc_id", "row")
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the spans' bytes; a character that a span takes in part goes whole. Null texts stay null."""
+    """``docs`` without the spans' bytes, row by row; a character that a span takes in part goes whole. Null texts stay null."""
 
     @F.pandas_udf("string")
     def without(texts: pd.Series, lists: pd.Series) -> pd.Series:
@@ -348,8 +359,9 @@ def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_co
             out.append(text)
         return pd.Series(out, dtype=object)
 
-    lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("__spans")).withColumnRenamed("doc_id", "__id")
+    lists = spans.select("row", "start", "length").distinct().groupBy("row").agg(F.collect_list(F.struct("start", "length")).alias("__spans"))
     named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     i, t = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
-    joined = named.join(lists, named[i] == lists["__id"], "left")
+    keyed = row_keys(named, i, t, "cut-repeated-ids")
+    joined = keyed.join(lists, keyed["__key"] == lists["row"], "left")
     return joined.withColumn(t, without(F.col(t), F.col("__spans"))).select(*named.columns).toDF(*docs.columns)

@@ -37,3 +37,15 @@ def look_up(rows: DataFrame, index: DataFrame, key: str | list[str], count: str)
     total = index.agg(F.sum(count)).first()[0] or 0
     hot, cold = index.filter(F.col(count) * HOT_SHARE > total), index.filter(F.col(count) * HOT_SHARE <= total)
     return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+
+
+def row_keys(docs: DataFrame, id_col: str, text_col: str, label: str) -> DataFrame:
+    """``docs`` with __key: a row's id where no other row has it, else a digest of id and text, which comes behind most ids.
+
+    So rows that share an id, or have none, are told apart unless they are equal in id and text.
+    """
+    i = F.col(id_col).cast("long")
+    repeated = written(docs.filter(i.isNotNull()).groupBy(i.alias("__repeated")).count().filter("count > 1").select("__repeated"), label)
+    digest = F.shiftrightunsigned(F.xxhash64(i, text_col), 2).bitwiseOR(F.lit(1 << 62))
+    joined = docs.join(repeated, i == repeated["__repeated"], "left")
+    return joined.withColumn("__key", F.when(i.isNull() | F.col("__repeated").isNotNull(), digest).otherwise(i)).drop("__repeated")

@@ -94,8 +94,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
     """Add sequence_id and offset to pieces (of any further columns): no sequence has more than ``capacity`` tokens,
     offsets are gapless from 0. Pieces longer than ``capacity`` are refused; zero lengths are put where they fit.
 
-    Sequence ids are the packing task's number and the bin's number in it.
+    Sequence ids are the packing task's number and the bin's number in it. Columns of the two names are replaced.
     """
+    pieces = pieces.drop(*[c for c in pieces.columns if c.lower() in ("sequence_id", "offset")])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

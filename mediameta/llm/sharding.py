@@ -70,18 +70,14 @@ def place(df: DataFrame, key: str = "doc_id", shards: tuple[str, ...] = SHARDS,
     """
     base = df.drop(*[c for c in df.columns if c.lower() in ("slot", "shard") and c != key])
     table = F.broadcast(table_frame(df.sparkSession, shards, slots))
-    keyed = base.withColumn("__slot", slot_of(base[key], slots))
-    joined = keyed.join(table, keyed["__slot"] == table["slot"])
-    return joined.select(*[keyed[c] for c in base.columns], table["slot"], table["shard"])
+    # By position, so that no column of the caller's is in the way.
+    named = base.toDF(*[f"c{i}" for i in range(len(base.columns))])
+    keyed = named.withColumn("at", slot_of(F.col(f"c{base.columns.index(key)}"), slots))
+    joined = keyed.join(table, keyed["at"] == table["slot"])
+    return joined.select(*named.columns, "slot", "shard").toDF(*base.columns, "slot", "shard")
 
 
 def write_shards(df: DataFrame, path: str, key: str = "doc_id", parts: int = 4, **options) -> None:
     """Write one folder per shard with up to ``parts`` files each: the slot picks the file, so no task gets a whole shard."""
     placed = place(df, key, **options)
-    (
-        placed.withColumn("__part", F.col("slot") % parts)
-        .repartition("shard", "__part")
-        .drop("__part", "slot")
-        .write.partitionBy("shard")
-        .parquet(path)
-    )
+    placed.repartition("shard", F.col("slot") % parts).drop("slot").write.partitionBy("shard").parquet(path)

@@ -1,7 +1,8 @@
-"""Token ids with a public tokenizer, by the piece: white-space units repeat, so each task encodes a unit once.
+"""Token ids with a public tokenizer, by the piece: white-space units repeat, so each worker encodes a unit once.
 
 No token spans from a word into the white space behind it, and normalisation does not either. A text's ids are therefore
-those of its units: a run of white space with the word behind it, or a last run.
+those of its units: a run of white space with the word behind it, or a last run. Strings of special tokens hold no white
+space, so they are found inside their units as in the whole text.
 """
 
 from __future__ import annotations
@@ -15,14 +16,15 @@ from collections.abc import Callable, Iterator
 # The characters that tokenizers count as white space.
 WHITE = "\t-\r \x85\xa0  -     　"
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+WHITE_SPACE = frozenset(chr(c) for c in range(0x3001) if re.match(f"[{WHITE}]", chr(c)))
 #: Longer texts are cut into units part by part.
 PART = 1 << 20
-#: Units remembered per task; then the memory is emptied and begins anew.
-REMEMBERED = 800_000
+#: Units remembered per worker, in two halves: when the newer one is full, the older one is forgotten.
+REMEMBERED = 1_200_000
 
 
 def load(tokenizer: str):
-    """The tokenizer in this file, or the public one of this name. Strings of special tokens are ordinary text."""
+    """The tokenizer in this file, or the public one of this name."""
     # Units are short: a thread each costs more than it gives, and Spark's tasks have the cores already.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -31,9 +33,7 @@ def load(tokenizer: str):
         import public_tokenizers
 
         tokenizer = public_tokenizers.path(tokenizer)
-    found = Tokenizer.from_file(tokenizer)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(tokenizer)
 
 
 def units(text: str) -> Iterator[list[str]]:
@@ -59,12 +59,22 @@ def little_endian(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
-# Words of plain Latin letters with the marks behind them; an apostrophe would make other pieces.
-PLAIN = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# Marks that stand behind a word.
+MARKS = ".,;:!?"
 # Texts on which the short way must agree with the whole tokenizer, or it is not taken.
 PROBES = ["the", " The", " Straße,", "ÉTÉ", " a", "Wort.", "\nnaïve?!", "\nHeLLo...", "x;", "œuvre", " Ünïcödé", " qzx", "tionen"]
 
 
+def plain(unit: str) -> tuple[str, str, str] | None:
+    """(white space, word, marks) of a unit that is a word of Latin letters behind a space, a line end or nothing."""
+    white = unit[0] if unit[0] in " \n" else ""
+    word = unit[len(white) :].rstrip(MARKS)
+    # Latin-1 has three letters that are none of a word, and upper bounds the rest. An apostrophe would make other pieces.
+    if not word.isalpha() or not word.isascii() and (max(word) > "ÿ" or "ª" in word or "º" in word or "µ" in word):
+        return None
+    return white, word, unit[len(white) + len(word) :]
+
+
 def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 ones themselves, then from 256 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -85,9 +95,9 @@ class Pieces(dict):
 
 
 class Units(dict):
-    """Ids of units. Plain ones go the short way, without a pass through normaliser and splitter, if there is one.
+    """Ids of units. Plain ones go a short way, without a pass through normaliser and splitter, if there is one.
 
-    It is tried in the two forms of byte-level models, with the white space before a word and without white space and upper
+    The short way is tried in the two forms of byte-level models, with the white space before a word and without white space and upper
     case, and taken if it gives the tokenizer's ids on all probes.
     """
 
@@ -109,25 +119,74 @@ class Units(dict):
 
     def agrees(self, form: Callable[[str, str, str], bytes]) -> bool:
         try:
-            return all(form(*m.groups()) == self.whole(p) for p in PROBES if (m := PLAIN.fullmatch(p)))
+            return all(form(*found) == self.whole(p) for p in PROBES if (found := plain(p)))
         except Exception:  # noqa: BLE001  a model of another kind
             return False
 
+    def of(self, unit: str) -> bytes:
+        found = plain(unit) if self.form else None
+        return self.form(*found) if found else self.whole(unit)
+
     def __missing__(self, unit: str) -> bytes:
-        if len(self) + len(self.pieces) > REMEMBERED:
+        self[unit] = ids = self.of(unit)
+        return ids
+
+
+class Words(dict):
+    """Ids of what stands between single spaces, with the space before it; None where the space belongs to a longer run."""
+
+    def __init__(self, model) -> None:
+        self.units, self.older = Units(model), {}
+
+    def __missing__(self, word: str) -> bytes | None:
+        if not word or word[-1] in WHITE_SPACE:
+            return None
+        if len(self) > REMEMBERED // 2:
+            self.older = dict(self)
             self.clear()
-            self.pieces.clear()
-        m = PLAIN.fullmatch(unit) if self.form else None
-        self[unit] = ids = self.form(*m.groups()) if m else self.whole(unit)
+        if len(self.units.pieces) > REMEMBERED // 3:
+            self.units.pieces.clear()
+        ids = self.older.get(word)
+        if ids is None:
+            unit = " " + word
+            if word.isalpha():
+                ids = self.units.of(unit)
+            else:
+                ids = b"".join([self.units.of(u) for u in UNIT.findall(unit)])
+        self[word] = ids
         return ids
 
+    def encode(self, text: str) -> bytes:
+        if len(text) <= PART:
+            first, *words = text.split(" ")
+            if words and first and first[-1] not in WHITE_SPACE:
+                try:
+                    return b"".join(map(self.units.of, UNIT.findall(first))) + b"".join(map(self.__getitem__, words))
+                except TypeError:
+                    # Runs of white space: unit by unit.
+                    pass
+        if len(self.units) > REMEMBERED // 3:
+            self.units.clear()
+        return b"".join([b"".join(map(self.units.__getitem__, found)) for found in units(text)])
+
+
+def worker_words(tokenizer: str) -> Words:
+    """The memory of this worker for a tokenizer. Functions are sent to workers by value, so it is kept with the library."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_words_of_worker", {})
+    if tokenizer not in kept:
+        kept.clear()
+        kept[tokenizer] = Words(load(tokenizer))
+    return kept[tokenizer]
+
 
 def encoder(tokenizer: str) -> Callable[[list[str]], Iterator[bytes]]:
     """A function from texts to their ids, as little-endian unsigned 32-bit integers."""
-    ids_of = Units(load(tokenizer)).__getitem__
+    encode_one = worker_words(tokenizer).encode
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         for text in texts:
-            yield b"".join([b"".join(map(ids_of, found)) for found in units(text or "")])
+            yield encode_one(text) if text else b""
 
     return encode

@@ -33,13 +33,13 @@ LARGEST = 1 << 26
 
 
 def whole_numbers(vectors: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
-    """vec_id and v, the vector as whole numbers floor(scale * x). Vectors which are null, or hold null or non-finite
+    """vec_id, v, the vector as whole numbers floor(scale * x), and row, a number of its own. Vectors which are null, or hold null or non-finite
     components, are left out; so are rows with a null id."""
     read = vectors.select(vectors[id_col].cast("long").alias("vec_id"), F.transform(vectors[vector_col], lambda x: x.cast("double")).alias("v"))
     unsound = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     kept = read.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~unsound)
     too_large = F.raise_error(F.lit("a component is too large for exact sums")).cast("long")
-    return kept.select("vec_id", F.transform("v", lambda x: F.when(F.abs(x * scale) <= LARGEST, F.floor(x * scale)).otherwise(too_large)).alias("v"))
+    return kept.select("vec_id", F.transform("v", lambda x: F.when(F.abs(x * scale) <= LARGEST, F.floor(x * scale)).otherwise(too_large)).alias("v"), F.monotonically_increasing_id().alias("row"))
 
 
 def statistics(rows: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,16 +96,16 @@ class Best:
 class Search:
     """The k best of each query of one length, batch by batch."""
 
-    def __init__(self, queries: np.ndarray, query_ids: np.ndarray, k: int, levels: tuple[int, ...] = LEVELS) -> None:
-        self.queries, self.ids, self.k, self.levels = queries, query_ids, k, levels
+    def __init__(self, queries: np.ndarray, numbers: np.ndarray, k: int, levels: tuple[int, ...] = LEVELS) -> None:
+        self.queries, self.numbers, self.k, self.levels = queries, numbers, k, levels
         self.best = Best(len(queries), k)
         self.stats = [statistics(queries.astype(float), s) for s in levels]
 
-    def look(self, ids: np.ndarray, rows: np.ndarray) -> None:
+    def look(self, ids: np.ndarray, numbers: np.ndarray, rows: np.ndarray) -> None:
         queries, best = self.queries, self.best
         stats = [statistics(rows.astype(float), s) for s in self.levels]
         bound = upper_bounds(self.stats, stats, 0)
-        bound[self.ids[:, None] == ids[None, :]] = -np.inf
+        bound[self.numbers[:, None] == numbers[None, :]] = -np.inf
         if any(len(r) < self.k for r in best.rows):
             # Start from the pairs that look best.
             some = min(self.k, len(rows))
@@ -127,19 +127,19 @@ class Search:
             best.add(p[enter], score[enter], ids[r[enter]])
 
 
-def searcher(block: list[tuple[int, list[int]]], k: int):
-    """A task's search for one block of queries: (vec_id, whole numbers)."""
+def searcher(block: list[tuple[int, list[int], int]], k: int):
+    """A task's search for one block of queries: (vec_id, whole numbers, number of the row)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_length: dict[int, list[int]] = {}
-        for n, (_, v) in enumerate(block):
+        for n, (_, v, _) in enumerate(block):
             by_length.setdefault(len(v), []).append(n)
         searches = {
-            length: Search(np.array([block[n][1] for n in rows], np.int64).reshape(len(rows), length), np.array([block[n][0] for n in rows]), k)
+            length: Search(np.array([block[n][1] for n in rows], np.int64).reshape(len(rows), length), np.array([block[n][2] for n in rows]), k)
             for length, rows in by_length.items()
         }
         for batch in batches:
-            ids = batch.column("vec_id").to_numpy()
+            ids, numbers = batch.column("vec_id").to_numpy(), batch.column("row").to_numpy()
             lists = batch.column("v")
             lengths = lists.value_lengths().to_numpy()
             for length, search in searches.items():
@@ -147,7 +147,7 @@ def searcher(block: list[tuple[int, list[int]]], k: int):
                 for a in range(0, len(here), ROWS):
                     some = here[a : a + ROWS]
                     flat = lists.take(pa.array(some)).flatten().to_numpy()
-                    search.look(ids[some], flat.reshape(len(some), length))
+                    search.look(ids[some], numbers[some], flat.reshape(len(some), length))
         found = [(block[n][0], n, v, s) for length, rows in by_length.items() for n, best in zip(rows, searches[length].best.rows, strict=True) for s, v in best]
         columns = list(zip(*found, strict=True)) or [[]] * 4
         yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["query_id", "row", "vec_id", "score"])
@@ -159,8 +159,8 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     """query_id, rank (from 1), vec_id, score: the k highest inner products of each row whose id is divisible by ``every``
     with all other rows, ties to the smaller id; all, if there are fewer.
 
-    Rows with the query's own id are not its candidates; other repeated ids count as they come, and so may fill several
-    ranks; a repeated query is answered as often as it comes. Vectors that are null or not finite take no part, vectors of
+    Only the query's own row is no candidate of its: another row of the same id is one. Repeated ids count as they come,
+    and so may fill several ranks; a repeated query is answered as often as it comes. Vectors that are null or not finite take no part, vectors of
     another length than the query's are no candidates, and empty vectors score 0. An empty table gives an empty result.
     Components of over 2^26 after scaling are refused.
     """
@@ -169,14 +169,14 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     path = shared_dir(spark, "topk-found")
     order = Window.partitionBy("query_id", "row").orderBy(F.col("score").desc(), "vec_id")
 
-    def answer(block: list[tuple[int, list[int]]]) -> None:
+    def answer(block: list[tuple[int, list[int], int]]) -> None:
         found = rows.mapInArrow(searcher(block, k), "query_id long, row long, vec_id long, score long")
         ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
         ranked.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
 
-    block: list[tuple[int, list[int]]] = []
+    block: list[tuple[int, list[int], int]] = []
     for row in rows.filter(F.col("vec_id") % every == 0).toLocalIterator():
-        block.append((row["vec_id"], row["v"]))
+        block.append((row["vec_id"], row["v"], row["row"]))
         if len(block) == query_block:
             answer(block)
             block = []

@@ -45,7 +45,7 @@ class Rule:
     @property
     def pattern(self) -> str:
         """Fits host and path written together: a host has no slash, a path begins with one or is empty."""
-        behind = "" if self.path else "(?:/|$)"
+        behind = "" if self.path else r"(?:/|\z)"
         return r"(?s)^(?:[^/]*\.)?" + quoted(self.host) + quoted(self.path) + behind
 
     @property

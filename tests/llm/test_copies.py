@@ -267,3 +267,16 @@ def test_long_texts_come_in_parts(monkeypatch):
                 assert a <= b <= s <= a + 128 - chunks.WINDOW
                 seen[name] += range(a - at + offset, b - at + offset + 1)
     assert all(seen[i] == list(range(max(0, len(t) - 127))) for i, t in enumerate(texts))
+
+
+def test_cuts_go_by_row(spark):
+    """Rows that share an id, or have none, are cut by their own spans; a clean one loses nothing."""
+    rng = random.Random(21)
+    passage, clean = prose(rng, 60), [prose(rng, 150, 10**9) for _ in range(4)]
+    rows = [(1, passage + " " + clean[0]), (2, clean[1] + " " + passage), (2, clean[2]), (None, passage + " " + clean[3]), (None, prose(rng, 80, 10**9)), (None, None), (7, "")]
+    docs = frame(spark, rows)
+    spans = chunks.repeated_spans(docs)
+    assert sorted((str(r.doc_id), r.first_doc_id) for r in spans.collect()) == [("2", 1), ("None", 1)]
+    left = sorted((str(r.doc_id), r.text or "") for r in chunks.cut_spans(docs, spans).collect())
+    want = [("1", rows[0][1]), ("2", clean[1] + " "), ("2", clean[2]), ("None", " " + clean[3]), ("None", rows[4][1]), ("None", ""), ("7", "")]
+    assert left == sorted(want)

@@ -10,7 +10,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+import public_tokenizers
 from mediameta.llm import mixing, packing, sharding, simple8b, tokenids, tokens
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -29,17 +31,19 @@ def rows():
 
 
 def reference_ids(tokenizer, text, end):
-    return [*tokens.load(tokenizer).encode(text or "", add_special_tokens=False).ids, end]
+    """By the library's plain call, without any setting of ours."""
+    model = Tokenizer.from_file(public_tokenizers.path(tokenizer))
+    return [*model.encode(text or "", add_special_tokens=False).ids, end]
 
 
 def test_units_give_whole_text_ids(monkeypatch):
     rng = random.Random(1)
     odd = list("\t\n\x0b\x0c\r\x1c\x1d \x85\xa0\u1680\u2003\u2028\u202f\u3000\u200b\u0301\u0327\u0130Σςßœ<|endoftext|>'s're") + ["a", " ", " ", "B", "9", ","]
-    texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(50))) for _ in range(1500)] + ["", "ΟΔΟΣ Σ", "<|endoftext|> x"]
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(50))) for _ in range(1500)] + ["", "ΟΔΟΣ Σ", "<|endoftext|> x", "foo <|endoftext|> bar", "a<|startoftext|>b  <|endoftext|>", "<|endoftext|>" * 3 + "\n", " lead  and trail ", "one\n two \nthree"]
     for part in (1 << 20, 5):
         monkeypatch.setattr(tokens, "PART", part)
         for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
-            model = tokens.load(name)
+            model = Tokenizer.from_file(public_tokenizers.path(name))
             for text, got in zip(texts, tokens.encoder(name)(texts), strict=True):
                 assert np.frombuffer(got, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
 
@@ -230,3 +234,13 @@ def test_sharding(spark, rows):
     path = tokenids.shared_dir(spark, "test-shards")
     sharding.write_shards(docs, path, shards=shards, slots=1009)
     assert spark.read.parquet(path).count() == len(rows)
+
+
+def test_columns_of_our_names_stay(spark):
+    rows = [(1, "keepme", 5, "x"), (2, "too", 6, "y")]
+    placed = sharding.place(spark.createDataFrame(rows, "doc_id long, __slot string, at long, c0 string")).orderBy("doc_id").collect()
+    assert [(r.doc_id, r["__slot"], r["at"], r.c0) for r in placed] == rows
+    pieces = spark.createDataFrame([(1, 0, 0, 9, 5, 77, 88)], "doc_id long, piece int, start long, length long, ids_crc32 long, Offset long, sequence_id long")
+    packed = packing.pack(pieces)
+    assert packed.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert packed.first().offset == 0

@@ -94,6 +94,19 @@ def test_top_k(spark, dims):
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_ids(spark):
+    """Only the query's own row is left out, not another row with its id."""
+    rows = [(0, [1.0, 0.0]), (0, [2.0, 0.0]), (5, [0.5, 0.0])]
+    got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect())
+    assert got == sorted([(0, 1, 0, 2048 * 1024), (0, 2, 5, 512 * 1024), (0, 1, 0, 2048 * 1024), (0, 2, 5, 512 * 2048)])
+
+
+def test_rule_without_a_path_ends_with_the_host(spark):
+    urls = [(1, "http://example.com"), (2, "http://example.com\n"), (3, "http://example.com/a")]
+    got = {r.page_id: r.rule for r in url_rules.judge(spark.createDataFrame(urls, "page_id long, url string"), (Rule("block", "example.com", ""),)).collect()}
+    assert got == {1: "example.com", 2: None, 3: "example.com"}
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(1)
     q, x = rng.integers(-900, 900, (30, 37)), rng.integers(-900, 900, (50, 37))
