@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
 import mediameta
-from mediameta.llm.common import shared_dir, written
+from mediameta.llm.common import row_keys, shared_dir, written
 from mediameta.llm.exact_dedup import exact_dedup
 from mediameta.llm.mixing import mix
 from mediameta.llm.ngram_join import ngram_components
@@ -28,34 +28,25 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup(docs)
 
 
-def row_keys(spark: SparkSession, named: DataFrame, i: str, t: str) -> DataFrame:
-    """``named`` with __key: a row's id where no other row has it, else a digest of id and text, which comes behind most ids.
-
-    Ids that are good as keys stay, as the join is quicker where copies come after what they are copied from.
-    """
-    repeated = written(named.filter(F.col(i).isNotNull()).groupBy(i).count().filter("count > 1").select(F.col(i).alias("__repeated")), "pipeline-repeated-ids")
-    digest = F.shiftrightunsigned(F.xxhash64(i, t), 2).bitwiseOR(F.lit(1 << 62))
-    joined = named.join(repeated, named[i] == repeated["__repeated"], "left")
-    return joined.withColumn("__key", F.when(F.col(i).isNull() | F.col("__repeated").isNotNull(), digest).otherwise(F.col(i).cast("long"))).drop("__repeated")
-
-
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near copies, the one with the least key of ``row_keys``; so the least id where ids are unique.
 
     Each row is decided for itself, also where ids are null or repeated. Rows without words have no near copies and stay.
+    All is decided on keys; whole texts meet the decision once.
     """
     named = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
     i, t = (f"c{docs.columns.index(c)}" for c in ("doc_id", "text"))
-    keyed = row_keys(spark, named, i, t)
+    keyed = row_keys(named, i, t, "pipeline-repeated-ids")
     found = written(ngram_components(keyed.select("__key", t), "__key", t), "pipeline-near")
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__key")).distinct()
     stay = keyed.join(gone, "__key", "left_anti")
-    # Rows equal in id and text share a key; ``exact`` leaves none, so these are few or none.
+    # Rows equal in id and text share a key; ``exact`` leaves none, but it need not come before.
     twins = written(found.filter("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__key")), "pipeline-twins")
-    order = [F.col(c) for c in named.columns if not isinstance(named.schema[c].dataType, MapType | VariantType)]
-    one = stay.join(twins, "__key", "left_semi").withColumn("__n", F.row_number().over(Window.partitionBy("__key").orderBy(*order))).filter("__n = 1")
-    rows = stay.join(twins, "__key", "left_anti").select(*named.columns).unionByName(one.select(*named.columns))
-    return rows.toDF(*docs.columns)
+    if not twins.isEmpty():
+        order = [F.col(c) for c in named.columns if not isinstance(named.schema[c].dataType, MapType | VariantType)]
+        one = stay.join(twins, "__key", "left_semi").withColumn("__n", F.row_number().over(Window.partitionBy("__key").orderBy(*order))).filter("__n = 1")
+        stay = stay.join(twins, "__key", "left_anti").select(*named.columns).unionByName(one.select(*named.columns))
+    return stay.select(*named.columns).toDF(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
