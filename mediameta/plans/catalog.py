@@ -104,6 +104,25 @@ def run_manifest(spark, sf_dir):
     return tables.run_manifest(kept, Params().as_dict(), version="test", timestamp=MANIFEST_TIME)
 
 
+@query
+def manifest_clock(spark, sf_dir):
+    """The real clock, by whether it is of today; the rest of the manifest as in ``run_manifest``."""
+    manifest = tables.run_manifest(clean.require_episode(_clean(spark, sf_dir)), {"b": 1, "a": "x"}, version="v2")
+    age = F.abs(F.unix_timestamp() - F.unix_timestamp("timestamp", "yyyy-MM-dd'T'HH:mm:ssX"))
+    return manifest.select("code_version", "config", "row_count", (age < 3600).alias("recent"), F.length("timestamp").alias("width"))
+
+
+@query
+def template_prompts(spark, sf_dir):
+    """Prompts by templates that were read from files."""
+    folder = scratch_path(spark, "templates")
+    for name, words in (("system", SYSTEM_TEXT), ("user", render.USER_TEMPLATE)):
+        spark.range(1).select(F.lit(f"  {words}\n\n")).write.text(f"{folder}/{name}.txt")
+    system, user = tables.load_templates(spark, folder)
+    prompt = render.inference_prompt(F.lit(system), render.user_prompt(F.col("name"), user))
+    return derived(spark, sf_dir, "filenames").select("row_id", prompt.alias("prompt"))
+
+
 # --- cleaning ---
 
 

@@ -327,6 +327,9 @@ ORACLE: dict[str, str] = {
     "row_ids": "SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id, o_orderkey FROM orders",
     "run_manifest": f"SELECT 'test' AS code_version, '{MANIFEST_TIME}' AS timestamp, "
     f"{_q(json.dumps(Params().as_dict(), sort_keys=True))} AS config, count(*) AS row_count FROM {_KEPT} k",
+    "manifest_clock": f"""SELECT 'v2' AS code_version, '{{"a": "x", "b": 1}}' AS config, count(*) AS row_count, true AS recent,
+      CAST(20 AS INTEGER) AS width FROM {_KEPT} k""",
+    "template_prompts": f"SELECT row_id, {_chat(_prompt('name'))} AS prompt FROM {_input('filenames')} f",
     "strip_quotes": f"SELECT row_id, name, reasoning FROM {_STRIPPED} s",
     "clean_text": f"SELECT row_id, name, show_name, reasoning FROM {_TEXTS} s",
     "to_nullable_int": f"SELECT row_id, season, episode FROM {_CLEAN} c",
