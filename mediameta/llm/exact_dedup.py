@@ -7,7 +7,8 @@
    of the hash. The depth of each bucket follows from counts over ``2 ** MAX_DEPTH`` prefixes, a table of fixed size.
 3. Owner tasks, each with a range of buckets, write the index: bucket, hash, chain position, digest, the row that stays,
    the number of copies. All later reads take those files, so a lost executor costs nothing.
-4. Every document probes the index by hash and digest. Hot texts probe a broadcast of bounded size.
+4. Every document probes the index: its hash's slot in the directory names the bucket, there the hash names the chain,
+   and along it the digest of the text. Hot texts probe a broadcast of bounded size.
 """
 
 from __future__ import annotations
@@ -51,11 +52,11 @@ def directory(counts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return out.withColumn("bucket", F.expr(f"shiftleft(shiftright(slot, {MAX_DEPTH} - depth), {MAX_DEPTH} - depth)"))
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """Write the index of all distinct normalised texts and return it, read from its files.
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> tuple[DataFrame, DataFrame]:
+    """Write the index of all distinct normalised texts and its directory, and return both, read from their files.
 
-    Columns: bucket, hash, chain (1 for the first text with this hash), text_sha256, keep_id (smallest id, null if all are),
-    group_size.
+    Index: bucket, hash, chain (1 for the first text with this hash), text_sha256, keep_id (smallest id, null if all are),
+    group_size. Directory: slot, depth, bucket; at most ``2 ** MAX_DEPTH`` rows.
     """
     rows = docs.select(docs[id_col].alias("id"), normalised(docs[text_col]).alias("body"))
     rows = rows.withColumn("hash", F.xxhash64("body"))
@@ -66,10 +67,16 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ),
         "exact-entries",
     )
-    slots = directory(entries.groupBy("slot").agg(F.count(F.lit(1)).alias("entries")), capacity)
+    slots = written(directory(entries.groupBy("slot").agg(F.count(F.lit(1)).alias("entries")), capacity), "exact-directory")
     chain = F.row_number().over(Window.partitionBy("bucket", "hash").orderBy("text_sha256"))
     owned = entries.join(F.broadcast(slots), "slot").repartitionByRange("bucket", "hash").withColumn("chain", chain)
-    return written(owned.select("bucket", "hash", "chain", "text_sha256", "keep_id", "group_size"), "exact-index")
+    return written(owned.select("bucket", "hash", "chain", "text_sha256", "keep_id", "group_size"), "exact-index"), slots
+
+
+def to_buckets(rows: DataFrame, slots: DataFrame, hashed: str) -> DataFrame:
+    """Rows with the bucket that the directory names for their hash."""
+    named = F.broadcast(slots.select(F.col("slot").alias("__slot"), "bucket"))
+    return rows.join(named, prefix(F.col(hashed)) == F.col("__slot")).drop("__slot")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -78,14 +85,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null texts count as empty ones. A row with a null id stays only if its whole group has null ids; repeated ids and
     rows are counted as they come, and each row with the kept id is marked kept. An empty table gives an empty result.
     """
-    index = build_index(docs, id_col, text_col, capacity)
+    index, slots = build_index(docs, id_col, text_col, capacity)
+    # By position, as the caller's id may have any name.
     body = normalised(docs[text_col])
-    rows = written(
-        docs.select(docs[id_col].alias(id_col), F.sha2(body.cast("binary"), 256).alias("text_sha256"), F.xxhash64(body).alias("hash")), "exact-rows"
-    )
-    probe = index.select("text_sha256", F.col("hash").alias("__hash"), "keep_id", "group_size")
-    found = look_up(rows, probe, "text_sha256", "group_size").filter(F.col("hash") == F.col("__hash"))
-    return found.select(id_col, "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    digests = docs.select(docs[id_col].alias("__id"), F.sha2(body.cast("binary"), 256).alias("text_sha256"), F.xxhash64(body).alias("hash"))
+    rows = written(to_buckets(digests, slots, "hash"), "exact-rows")
+    probe = index.select("bucket", "hash", "text_sha256", "keep_id", "group_size")
+    found = look_up(rows, probe, ["bucket", "hash", "text_sha256"], "group_size")
+    return found.select(F.col("__id").alias(id_col), "keep_id", "group_size", F.col("__id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -93,16 +100,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Of repeated rows with the kept id, the least by text and the other columns stays.
     """
-    index = build_index(docs, id_col, text_col, capacity)
+    index, slots = build_index(docs, id_col, text_col, capacity)
     named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     i, t = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
-    rows = named.withColumn("__sha", F.sha2(normalised(F.col(t)).cast("binary"), 256))
-    keep = index.select(F.col("text_sha256").alias("__sha"), F.col("keep_id").alias("__keep"))
+    body = normalised(F.col(t))
+    some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    hashed = named.withColumns({"hash": F.xxhash64(body), "text_sha256": F.sha2(body.cast("binary"), 256), "__id": some(i)})
+    rows = to_buckets(hashed, slots, "hash")
     # At most the rows that share both text and id come through, so the window below sees few rows at a time.
-    some = F.coalesce(F.col(i).cast("string"), F.lit(""))
-    stay = rows.withColumn("__id", some).join(
-        keep.select("__sha", F.coalesce(F.col("__keep").cast("string"), F.lit("")).alias("__id")), ["__id", "__sha"]
-    )
+    keep = index.select("bucket", "hash", "text_sha256", some("keep_id").alias("__id"))
+    stay = rows.join(keep, ["bucket", "hash", "text_sha256", "__id"])
     order = [F.col(c).asc_nulls_last() if not isinstance(named.schema[c].dataType, MapType | VariantType) else F.lit(0) for c in named.columns]
-    ranked = stay.withColumn("__n", F.row_number().over(Window.partitionBy("__id", "__sha").orderBy(*order)))
+    ranked = stay.withColumn("__n", F.row_number().over(Window.partitionBy("bucket", "hash", "text_sha256", "__id").orderBy(*order)))
     return ranked.filter("__n = 1").select(*named.columns).toDF(*docs.columns)

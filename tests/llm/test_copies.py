@@ -87,7 +87,7 @@ def test_exact_groups(spark, corpus):
 
 
 def test_directory_doubles(spark, corpus):
-    index = exact_dedup.build_index(frame(spark, corpus), capacity=4)
+    index, slots = exact_dedup.build_index(frame(spark, corpus), capacity=4)
     sizes = index.groupBy("bucket").count()
     assert sizes.agg(F.max("count")).first()[0] <= 4 and sizes.count() > 8
     assert index.count() == len({SPACE.sub(" ", t or "") for _, t in corpus})
