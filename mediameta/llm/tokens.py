@@ -1,4 +1,4 @@
-"""Token ids with a public tokenizer, by the piece: white-space units repeat, so each worker encodes a unit once.
+"""Token ids with a public tokenizer, by the piece: white-space units repeat, so each task encodes a unit once.
 
 No token spans from a word into the white space behind it, and normalisation does not either. A text's ids are therefore
 those of its units: a run of white space with the word behind it, or a last run. Strings of special tokens hold no white
@@ -19,8 +19,8 @@ UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 WHITE_SPACE = frozenset(chr(c) for c in range(0x3001) if re.match(f"[{WHITE}]", chr(c)))
 #: Longer texts are cut into units part by part.
 PART = 1 << 20
-#: Units remembered per worker, in two halves: when the newer one is full, the older one is forgotten.
-REMEMBERED = 1_200_000
+#: Units remembered per task, in two halves: when the newer one is full, the older one is forgotten.
+REMEMBERED = 500_000
 
 
 def load(tokenizer: str):
@@ -170,20 +170,9 @@ class Words(dict):
         return b"".join([b"".join(map(self.units.__getitem__, found)) for found in units(text)])
 
 
-def worker_words(tokenizer: str) -> Words:
-    """The memory of this worker for a tokenizer. Functions are sent to workers by value, so it is kept with the library."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_words_of_worker", {})
-    if tokenizer not in kept:
-        kept.clear()
-        kept[tokenizer] = Words(load(tokenizer))
-    return kept[tokenizer]
-
-
 def encoder(tokenizer: str) -> Callable[[list[str]], Iterator[bytes]]:
     """A function from texts to their ids, as little-endian unsigned 32-bit integers."""
-    encode_one = worker_words(tokenizer).encode
+    encode_one = Words(load(tokenizer)).encode
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         for text in texts:
