@@ -17,30 +17,40 @@ RUN, ESCAPE = 0, 1
 BLOCK = 1024
 
 
+# The least level of bits that holds a number, by the greatest number of each level; the last one is the escape's.
+_LEVELS = np.unique(BITS)
+_UPPER = np.array([(1 << int(b)) - 1 for b in _LEVELS[:-1]], np.uint64)
+
+
 def _selectors(values: np.ndarray) -> np.ndarray:
-    """For each position the selector of a word that begins there: the one that holds most numbers within the block."""
+    """For each position the selector of a word that begins there: the one that holds most numbers within the block.
+
+    The greatest level in the next 1, 2, 4, ... numbers gives that of any window as the greater one of two.
+    """
     n = len(values)
-    chosen = np.full(n, ESCAPE, np.int64)
-    for low in range(0, n, 64 * BLOCK):
-        part = values[low : low + 64 * BLOCK]
-        m = len(part)
-        at = np.arange(m, dtype=np.int32)
-        left = np.minimum((at // BLOCK + 1) * BLOCK, m) - at
-        most = int(part.max()).bit_length()
-        least = int(part.min()).bit_length()
-        for s in range(len(COUNTS) - 1, -1, -1):
-            if s == ESCAPE or BITS[s] < least:
-                continue
-            if BITS[s] >= most:
-                fits = left
-            else:
-                # Where the next number too wide for this selector is.
-                wide = (part >> np.uint64(BITS[s])) != 0
-                fits = np.minimum(np.minimum.accumulate(np.where(wide, at, m)[::-1])[::-1] - at, left)
-            # A word may hold fewer than its count only if they end the block: the rest is padding, which is not read.
-            ok = (fits >= COUNTS[s]) | ((fits == left) & (s != RUN))
-            chosen[low : low + m][ok] = s
-    return chosen
+    blocks = -(-n // BLOCK)
+    # Behind a block's end nothing is too wide: the rest of its last word is padding, which is not read.
+    window = np.zeros((blocks, BLOCK + int(COUNTS.max())), np.uint8)
+    full = np.zeros(blocks * BLOCK, np.uint8)
+    full[:n] = np.searchsorted(_UPPER, values)
+    window[:, :BLOCK] = full.reshape(blocks, BLOCK)
+    chosen = np.full((blocks, BLOCK), ESCAPE, np.int64)
+    size = 1
+    for s in [*range(len(COUNTS) - 1, ESCAPE, -1), RUN]:
+        count = int(COUNTS[s])
+        while size * 2 <= count:
+            window[:, :-size] = np.maximum(window[:, :-size], window[:, size:])
+            size *= 2
+        ok = np.maximum(window[:, :BLOCK], window[:, count - size : count - size + BLOCK]) <= np.searchsorted(_LEVELS, BITS[s])
+        if s == RUN:
+            # A run is of its full length.
+            left = np.minimum(n - np.arange(blocks)[:, None] * BLOCK, BLOCK) - np.arange(BLOCK)[None]
+            ok &= left >= count
+        if not ok.any():
+            # Words of more numbers need smaller ones in longer windows.
+            break
+        chosen[ok] = s
+    return chosen.ravel()[:n]
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
