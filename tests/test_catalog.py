@@ -50,3 +50,21 @@ def test_entry(spark, sf_dir):
     assert df.columns == ["row_id", "text"] and not df.isEmpty()
     assert set(QUERIES) == set(ORACLE)
     assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
+
+
+def test_multiline_files_hold_bounded_rows(spark, tmp_path, monkeypatch):
+    """No task writes the whole table, and rows are numbered through the files by key."""
+    from pyspark.sql import functions as F
+
+    from mediameta.plans import catalog
+
+    rows = spark.range(400).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("O").alias("o_orderstatus"), (F.col("id") * 1.5).alias("o_totalprice"),
+        F.timestamp_seconds(F.col("id") * 86400).cast("timestamp_ntz").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
+    )
+    rows.write.parquet(f"{tmp_path}/orders.parquet")
+    one = sorted(QUERIES["csv_multiline_split"](spark, str(tmp_path)).collect())
+    monkeypatch.setattr(catalog, "FILE_ROWS", 100, raising=False)
+    many = QUERIES["csv_multiline_split"](spark, str(tmp_path))
+    assert len(many.inputFiles()) > 1
+    assert sorted(many.collect()) == one and len(one) == 400
