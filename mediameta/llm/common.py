@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+import sys
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +19,26 @@ WORDS = r"[^\x20\x09-\x0D]+"
 HOT_SHARE = 1000
 
 
+def kept_by_worker() -> dict:
+    """What this worker keeps between tasks. Functions are sent to workers by value, so it is kept with the interpreter."""
+    return sys.__dict__.setdefault("_mediameta_kept", {})
+
+
+def forget_kept() -> None:
+    """Drop what another operator's tasks have left in this worker: a worker lives on through all stages of a pipeline."""
+    if kept_by_worker():
+        kept_by_worker().clear()
+        gc.collect()
+
+
+def keep(name: str, make: Callable[[], object]):
+    """The thing of this name that this worker keeps, made when it has none; it keeps one at a time."""
+    if name not in kept_by_worker():
+        forget_kept()
+        kept_by_worker()[name] = make()
+    return kept_by_worker()[name]
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors share."""
     return scratch_path(spark, label)

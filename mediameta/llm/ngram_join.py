@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediameta.llm.common import look_up, written
+from mediameta.llm.common import forget_kept, look_up, written
 from mediameta.llm.components import components
 
 #: Production parameters: words per n-gram, threshold.
@@ -67,6 +67,7 @@ def shingler(n: int):
 
     On UTF-8 bytes, lower-casing takes A-Z alone and splitting the six white-space characters of the contract.
     """
+    forget_kept()
     hash_of = WordHashes().__getitem__
     factor, spread = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 
@@ -122,13 +123,19 @@ def repeated(texts: DataFrame, n: int, bits: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             nonlocal parts, size
-            keys, counts = np.unique(np.concatenate([*parts, np.empty(0, np.int64)]).view(np.uint64) >> rest, return_counts=True)
-            keys = np.repeat(keys, np.minimum(counts, TOLD))
+            keys = np.concatenate([*parts, np.empty(0, np.int64)]).view(np.uint64)
+            parts, size = [], 0
+            # Sorted in place; of equal ones the first ``TOLD`` stay.
+            keys >>= rest
+            keys.sort()
+            more = np.ones(len(keys), bool)
+            more[TOLD:] = keys[TOLD:] != keys[:-TOLD]
+            if not more.all():
+                keys = keys[more]
             slots = (keys >> np.uint64(32)).astype(np.int32)
             low = keys.astype(np.uint32)
             edges = np.flatnonzero(np.r_[True, slots[1:] != slots[:-1]]) if len(keys) else np.empty(0, int)
             blobs = [low[a:b].tobytes() for a, b in zip(edges, [*edges[1:], len(keys)], strict=True)] if len(keys) else []
-            parts, size = [], 0
             return pa.record_batch([pa.array(slots[edges], pa.int32()), pa.array(blobs, pa.binary())], names=["slot", "low"])
 
         for batch in batches:

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mediameta.llm.common import forget_kept
+
 #: Production parameters: sizes of the samples, rounds, labels handed over per class and round, their least confidence.
 LABELLED = 6000
 UNLABELLED = 4000
@@ -53,6 +55,7 @@ def shape(word: str) -> str:
 
 def text_features():
     """A function from a text to its row: shares of word shapes and of words, by hash, and the measures."""
+    forget_kept()
     known: dict[str, int] = {}
 
     def row(text: str | None) -> np.ndarray:

@@ -13,6 +13,8 @@ import sys
 from array import array
 from collections.abc import Callable, Iterator
 
+from mediameta.llm.common import keep
+
 # The characters that tokenizers count as white space.
 WHITE = "\t-\r \x85\xa0  -     　"
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -171,14 +173,8 @@ class Words(dict):
 
 
 def worker_words(tokenizer: str) -> Words:
-    """The memory of this worker for a tokenizer. Functions are sent to workers by value, so it is kept with the library."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_words_of_worker", {})
-    if tokenizer not in kept:
-        kept.clear()
-        kept[tokenizer] = Words(load(tokenizer))
-    return kept[tokenizer]
+    """The memory of this worker for a tokenizer."""
+    return keep(f"words of {tokenizer}", lambda: Words(load(tokenizer)))
 
 
 def encoder(tokenizer: str) -> Callable[[list[str]], Iterator[bytes]]:

@@ -280,3 +280,18 @@ def test_cuts_go_by_row(spark):
     left = sorted((str(r.doc_id), r.text or "") for r in chunks.cut_spans(docs, spans).collect())
     want = [("1", rows[0][1]), ("2", clean[1] + " "), ("2", clean[2]), ("None", " " + clean[3]), ("None", rows[4][1]), ("None", ""), ("7", "")]
     assert left == sorted(want)
+
+
+def test_workers_drop_what_other_operators_keep():
+    """A worker goes through all stages: what packing keeps between its tasks is gone when those of another operator begin."""
+    import weakref
+
+    from mediameta.llm import quality, tokens
+
+    for begin in (lambda: ngram_join.shingler(5), quality.text_features, lambda: tokens.worker_words("byte_bpe_50k.json")):
+        words = tokens.worker_words("word_bpe_49k.json")
+        assert words is tokens.worker_words("word_bpe_49k.json") and len(words.encode("some words")) > 0
+        gone = weakref.ref(words), weakref.ref(words.units)
+        del words
+        begin()
+        assert [r() for r in gone] == [None, None]
