@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
         for batch in batches:
             out: list[tuple] = []
             names = batch.column(0).to_pylist()
-            for name, ids in zip(names, encode(batch.column(1).to_pylist()), strict=True):
+            for name, ids in zip(names, encode(batch.column(1)), strict=True):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]

@@ -88,7 +88,7 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
         kinds = pa.schema([("part", pa.int64()), ("seq", pa.int64()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
         for batch in batches:
-            for name, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
+            for name, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
                 names.append(name)
                 held.append(ids + end)
                 size += len(ids) // 4 + 1

@@ -48,6 +48,33 @@ def test_units_give_whole_text_ids(monkeypatch):
                 assert np.frombuffer(got, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_with_any_marks_go_the_short_way(monkeypatch, name):
+    rng = random.Random(6)
+    marks = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    texts = [" ".join("".join(rng.choices("abcéÀßsStTdD", k=rng.randrange(1, 9))) + "".join(rng.choices(marks, k=rng.randrange(4))) for _ in range(60)).replace(", ", ",\n") for _ in range(300)]
+    model = Tokenizer.from_file(public_tokenizers.path(name))
+    words = tokens.Words(tokens.load(name))
+    monkeypatch.setattr(tokens.Units, "whole", lambda self, unit: pytest.fail(f"{unit!r} went through the whole tokenizer"))
+    for text in texts:
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+
+
+def test_workers_keep_few_units():
+    texts = [" ".join(f"{chr(97 + i % 26)}{'abcdefghij'[i // 26 % 10]}" + "".join("klmnopqrst"[int(d)] for d in str(i)) for i in range(k, k + 1000)) + f" {k}" for k in range(0, 150_000, 1000)]
+    kept = tokens.worker_words("byte_bpe_50k.json")
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text, ids in zip(texts, tokens.encoder("byte_bpe_50k.json")(texts + [None]), strict=False):
+        assert np.frombuffer(ids, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+    assert len(kept.units) + len(kept.units.pieces) + (len(kept) if isinstance(kept, dict) else 0) < 100_000
+
+
+def test_added_tokens_of_marks_are_found():
+    model = tokens.load("byte_bpe_50k.json")
+    model.add_special_tokens(["$$"])
+    assert np.frombuffer(tokens.Words(model).encode("a word$$ more"), "<u4").tolist() == model.encode("a word$$ more", add_special_tokens=False).ids
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.just(0), st.integers(0, 60_000), st.integers(0, 2**64 - 1)), max_size=3000))
 def test_simple8b_round_trip(values):
