@@ -20,6 +20,8 @@ BLOCK = 1024
 # The least level of bits that holds a number, by the greatest number of each level; the last one is the escape's.
 _LEVELS = np.unique(BITS)
 _UPPER = np.array([(1 << int(b)) - 1 for b in _LEVELS[:-1]], np.uint64)
+# The same by the number itself, for small ones.
+_SMALL = np.searchsorted(_UPPER, np.arange(1 << 16, dtype=np.uint64)).astype(np.uint8)
 
 
 def _selectors(values: np.ndarray) -> np.ndarray:
@@ -32,9 +34,9 @@ def _selectors(values: np.ndarray) -> np.ndarray:
     # Behind a block's end nothing is too wide: the rest of its last word is padding, which is not read.
     window = np.zeros((blocks, BLOCK + int(COUNTS.max())), np.uint8)
     full = np.zeros(blocks * BLOCK, np.uint8)
-    full[:n] = np.searchsorted(_UPPER, values)
+    full[:n] = _SMALL[values] if not n or values.max() < len(_SMALL) else np.searchsorted(_UPPER, values)
     window[:, :BLOCK] = full.reshape(blocks, BLOCK)
-    chosen = np.full((blocks, BLOCK), ESCAPE, np.int64)
+    chosen = np.full((blocks, BLOCK), ESCAPE, np.uint8)
     size = 1
     for s in [*range(len(COUNTS) - 1, ESCAPE, -1), RUN]:
         count = int(COUNTS[s])
@@ -49,7 +51,7 @@ def _selectors(values: np.ndarray) -> np.ndarray:
         if not ok.any():
             # Words of more numbers need smaller ones in longer windows.
             break
-        chosen[ok] = s
+        np.copyto(chosen, np.uint8(s), where=ok)
     return chosen.ravel()[:n]
 
 
@@ -68,8 +70,10 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = at + count[at]
         alive = at < end
         at, end = at[alive], end[alive]
-    first = np.sort(np.concatenate(begins))
-    selector = chosen[first]
+    is_first = np.zeros(n, bool)
+    is_first[np.concatenate(begins)] = True
+    first = np.flatnonzero(is_first)
+    selector = chosen[first].astype(np.int64)
     words = selector.astype(np.uint64) << np.uint64(60)
     held = count[first]
     rows = np.flatnonzero((selector != RUN) & (selector != ESCAPE))

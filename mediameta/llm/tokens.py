@@ -32,8 +32,8 @@ RUN = rf"[{WHITE}] | \z"
 #: Longer texts are cut into parts of so many characters.
 PART = 1 << 20
 #: Bytes of texts that are encoded together.
-TOGETHER = 1 << 23
-#: Pieces, and units of other kinds, remembered per worker; when there are so many, all are forgotten.
+TOGETHER = 1 << 24
+#: Pieces, and units of other kinds, remembered per worker: the first so many, as frequent ones come early.
 REMEMBERED = 50_000
 
 
@@ -87,12 +87,13 @@ def merged(mask: np.ndarray, yes: pa.Array, no: pa.Array) -> pa.Array:
 
 def looked_up(memory: dict[str, bytes], keys: pa.Array) -> pa.Array:
     """What the memory has, or finds, for these keys; few of them are Python's at a time."""
-    found = [pa.array([], pa.binary())]
-    for at in range(0, len(keys), REMEMBERED // 2):
-        if len(memory) > REMEMBERED // 2:
-            memory.clear()
-        found.append(pa.array([memory[k] for k in keys.slice(at, REMEMBERED // 2).to_pylist()], pa.binary()))
-    return pa.concat_arrays(found)
+    ids, sizes = bytearray(), array("i")
+    for at in range(0, len(keys), REMEMBERED):
+        found = [memory[k] for k in keys.slice(at, REMEMBERED).to_pylist()]
+        ids += b"".join(found)
+        sizes.extend(map(len, found))
+    stops = np.r_[0, np.cumsum(sizes, dtype=np.int32)].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(stops), pa.py_buffer(bytes(ids))])
 
 
 # Letters of Latin-1 that words are of: ordinals and the micro sign are not, and an apostrophe would make other pieces.
@@ -121,9 +122,13 @@ class Pieces(dict):
     def __init__(self, merges) -> None:
         self.merges, self.letters = merges, byte_letters()
 
+    def named(self, piece: str) -> str:
+        return piece.replace(" ", self.letters[32]) if piece.isascii() and piece != "\n" else piece.encode().decode("latin1").translate(self.letters)
+
     def __missing__(self, piece: str) -> bytes:
-        named = piece.replace(" ", self.letters[32]) if piece.isascii() and piece != "\n" else piece.encode().decode("latin1").translate(self.letters)
-        self[piece] = ids = little_endian([t.id for t in self.merges.tokenize(named)])
+        ids = little_endian([t.id for t in self.merges.tokenize(self.named(piece))])
+        if len(self) < REMEMBERED:
+            self[piece] = ids
         return ids
 
     def of(self, pieces: pa.Array) -> pa.Array:
@@ -167,7 +172,9 @@ class Units(dict):
         return little_endian(self.model.encode(unit, add_special_tokens=False).ids)
 
     def __missing__(self, unit: str) -> bytes:
-        self[unit] = ids = self.whole(unit)
+        ids = self.whole(unit)
+        if len(self) < REMEMBERED:
+            self[unit] = ids
         return ids
 
     def of(self, units: pa.Array) -> pa.Array:
