@@ -47,7 +47,7 @@ BLOCK = 1024
 STRIP = 256
 
 #: Words whose hashes a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 class WordHashes(dict):
@@ -139,7 +139,7 @@ def repeated(texts: DataFrame, n: int, bits: int) -> DataFrame:
             return pa.record_batch([pa.array(slots[edges], pa.int32()), pa.array(blobs, pa.binary())], names=["slot", "low"])
 
         for batch in batches:
-            for text in batch.column(1).to_pylist():
+            for text in (t.as_py() for t in batch.column(1)):
                 grams = grams_of(text)
                 if not len(grams) or (cls := class_of(grams)[0]) in seen:
                     continue
@@ -217,7 +217,7 @@ def columns_of(texts: DataFrame, n: int, threshold: Fraction, order: Order) -> D
         for batch in batches:
             rows: list[tuple] = []
             parts: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 5]
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for name, text in zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(1)), strict=True):
                 grams = grams_of(text)
                 cls, digest = class_of(grams) if len(grams) else (None, None)
                 rows.append((name, len(grams), cls, digest))
@@ -247,7 +247,7 @@ def sets_of(texts: DataFrame, n: int, classes: DataFrame) -> DataFrame:
         for batch in batches:
             batch = batch.filter(pa.array(passes(named, batch.column(0).fill_null(0).to_numpy())))
             found, sets = [], []
-            for text in batch.column(1).to_pylist():
+            for text in (t.as_py() for t in batch.column(1)):
                 grams = grams_of(text)
                 if not len(grams) or (cls := class_of(grams)[0]) in seen or not passes(wanted, np.array([cls]))[0]:
                     continue

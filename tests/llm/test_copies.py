@@ -282,6 +282,13 @@ def test_cuts_go_by_row(spark):
     assert left == sorted(want)
 
 
+def test_tasks_remember_few_words():
+    hashes = ngram_join.WordHashes()
+    for i in range(300_000):
+        assert hashes[str(i).encode()] == hashes[str(i).encode()]
+    assert len(hashes) <= 250_000
+
+
 def test_workers_drop_what_other_operators_keep():
     """A worker goes through all stages: what packing keeps between its tasks is gone when those of another operator begin."""
     import weakref
