@@ -3,10 +3,10 @@
 Each window of ``LEAST_SPAN`` bytes has a seed, the ``WINDOW`` bytes within it whose gear rolling hash is least, so equal
 windows have equal seeds at the same place. Neighbouring windows with one seed are a run, about one in 48 bytes.
 
-1. Runs with an equal digest are equal: all but the first by (document, position) are repeated as a whole.
-2. Of runs that differ, windows are equal only if the seed and the half of the rest before or behind it are. Where two
-   different runs share such a key, their windows are compared one by one. Shared keys are in a sieve of bits that
-   follows their number; an error there costs time and no result.
+1. Runs with an equal seed and digest are equal: all but the first by (document, position) are repeated as a whole.
+2. Runs that differ have equal windows only if they share the seed. Such runs, each different one once, are brought
+   together with their bytes, by seed, and their windows are compared there. Of a seed with more than ``MANY`` different
+   runs the windows are compared by digest instead, so no group of runs has to fit in a task.
 3. Repeated windows that touch or overlap form a span, so a span ends where the match ends.
 
 ``chunk`` cuts texts at content-defined places alone.
@@ -19,11 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediameta.llm.common import look_up, row_keys, written
-from mediameta.llm.ngram_join import passes, sieve
 
 #: Production parameters: cut on 5 zero bits, so about every 32 bytes beyond the least.
 CUT_BITS = 5
@@ -33,10 +33,8 @@ WINDOW = 32
 LEAST_SPAN = 128
 #: A span's ends move to whole words by at most so many bytes; less than half of ``LEAST_SPAN``.
 WORD_REACH = 32
-#: The sieve of shared keys has at most two to this many bits, 64 MB.
-MOST_BITS = 29
-#: Runs that a task remembers to have met; then the memory is emptied and begins anew.
-MET = 500_000
+#: Different runs of one seed that a task compares at a time, some 5 MB of text.
+MANY = 20_000
 #: Bytes hashed together.
 PART = 1 << 22
 
@@ -170,28 +168,10 @@ def runs(listed: list, raw: np.ndarray, table: np.ndarray, least: int) -> Iterat
         yield k, first, np.r_[first[1:], stop] - 1, seed[first]
 
 
-def keys(raw: np.ndarray, first: np.ndarray, last: np.ndarray, seed: np.ndarray, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Hashes of each run's seed with the half of a window before it, and behind it, each with whether its windows take them in whole."""
-    half = (least - WINDOW) // 2
-    size = -(-(WINDOW + half) // 8) * 8
-    odd = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 63, size // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    out = []
-    for side, begin, has in ((1, seed - half, seed - first >= half), (2, seed, last + least >= seed + WINDOW + half)):
-        text = np.zeros((len(first), size), np.uint8)
-        text[has, : WINDOW + half] = np.lib.stride_tricks.sliding_window_view(raw, WINDOW + half)[begin[has]]
-        h = text.view(np.uint64) * odd
-        h = ((h ^ (h >> np.uint64(32))) * odd[::-1]).sum(axis=1, dtype=np.uint64) + np.uint64(side)
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        out.append(((h ^ (h >> np.uint64(32))).view(np.int64), has))
-    return out
-
-
-def word_edges(raw: np.ndarray, listed: list) -> tuple[np.ndarray, np.ndarray]:
-    """Places where a word begins, and where one ends, within the listed texts."""
+def word_edges(raw: np.ndarray, edge: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a word begins, and where one ends; texts begin at ``edge`` and end at ``stop``."""
     space = np.isin(raw, np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8))
     begins, ends = np.flatnonzero(space[:-1] & ~space[1:]) + 1, np.flatnonzero(~space[:-1] & space[1:]) + 1
-    edge = np.array([at for _, at, _, offset, _ in listed if not offset], np.int64)
-    stop = np.array([at + size for _, at, size, offset, whole in listed if offset + size == whole], np.int64)
     return np.union1d(begins, edge), np.union1d(ends, stop)
 
 
@@ -203,104 +183,240 @@ def whole_words(first: np.ndarray, stop: np.ndarray, begins: np.ndarray, ends: n
     return lead, np.where(stop - nearest <= WORD_REACH, stop - nearest, 0)
 
 
-PLACES = "doc_id long, run long, start long, length long, lead int, tail int, digest long, more int"
+RUNS = "key long, digest long, doc_id long, run long, shape long"
+#: A repeated piece of a document. ``whole`` is the number of runs it counts for; ``first`` has the window at ``seen``.
+PIECES = "doc_id long, run long, start long, length long, lead int, tail int, whole int, seen long, first long"
+#: What a row of the marks is: a piece, a run to compare, a window of a run that another run answers for, a window to compare.
+PIECE, COMPARE, ASK, WINDOWS = range(4)
+MARKS = PIECES + ", kind int, key long, nth int, at int, text binary, edge int, digest long, more long"
 
 
-def listed_runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tuple]:
-    """By about ``PART`` bytes: the join, its bytes' edges of words, and the runs: text of each, first and last window, seed."""
-    table = gear()
-    for batch in batches:
-        texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
-        for data, listed in parts(batch.column(0).to_pylist(), texts, least):
-            raw = np.frombuffer(data, np.uint8)
-            found = list(runs(listed, raw, table, least))
-            text = np.repeat([k for k, *_ in found], [len(x) for _, x, *_ in found])
-            first, last, seed = (np.concatenate([x[c] for x in found]) for c in (1, 2, 3))
-            yield data, raw, listed, text, first, last, seed
+def scan(docs: DataFrame, least: int) -> DataFrame:
+    """All runs: key (hash of the seed) and digest, doc_id, run (its first byte), and shape: length (bytes), at (place of the
+    seed in it), lead and tail (bytes of words in part) in 24, 24, 6 and 6 bits."""
 
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
 
-def rows_of(data: bytes, raw: np.ndarray, listed: list, text: np.ndarray, run: np.ndarray, start: np.ndarray, stop: np.ndarray) -> dict:
-    """The columns of ``PLACES`` for these bytes of the join."""
-    import xxhash
+        table, digest = gear(), xxhash.xxh3_64_digest
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
+            for data, listed in parts(batch.column(0).to_pylist(), texts, least):
+                raw = np.frombuffer(data, np.uint8)
+                found = list(runs(listed, raw, table, least))
+                text = np.repeat([k for k, *_ in found], [len(x) for _, x, *_ in found])
+                first, last, seed = (np.concatenate([x[c] for x in found]) for c in (1, 2, 3))
+                edge = np.array([at for _, at, _, offset, _ in listed if not offset], np.int64)
+                stop = np.array([at + size for _, at, size, offset, whole in listed if offset + size == whole], np.int64)
+                lead, tail = whole_words(first, last + least, *word_edges(raw, edge, stop))
+                moved = np.array([offset - at for _, at, _, offset, _ in listed], np.int64)[text]
+                key = b"".join([digest(data[a : a + WINDOW]) for a in seed.tolist()])
+                own = b"".join([digest(data[a : b + least]) for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+                ids = pa.array([name for name, *_ in listed], pa.int64()).take(pa.array(text))
+                shape = (last - first + least) | (seed - first) << 24 | lead << 48 | tail << 54
+                columns = [np.frombuffer(x, ">i8").astype(np.int64) for x in (key, own)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), ids, pa.array(first + moved), pa.array(shape)], names=["key", "digest", "doc_id", "run", "shape"])
+
+    return docs.mapInArrow(listing, RUNS)
+
+
+def marked(rows: DataFrame, least: int) -> DataFrame:
+    """Of the runs, those that are repeated as a whole, with the document where they occur first, and those whose seed different
+    runs have, without one: doc_id, run, shape, key, nth (number of the run among the ``runs`` different ones of the seed), first.
+
+    Within a document, the first occurrence stays whole, so an overlap with it does not count.
+    """
+    equal, seed = Window.partitionBy("key", "digest").orderBy("doc_id", "run"), Window.partitionBy("key")
+    named = rows.select("*", F.first("doc_id").over(equal).alias("__doc"), F.first("run").over(equal).alias("__run"), F.dense_rank().over(seed.orderBy("digest")).alias("nth"))
+    named = named.withColumn("runs", F.max("nth").over(seed))
+    apart = (F.col("doc_id") != F.col("__doc")) | (F.col("run") >= F.col("__run") + least)
+    return named.withColumn("first", F.when(apart, F.col("__doc"))).filter("first IS NOT NULL OR runs > 1").select("doc_id", "run", "shape", "key", "nth", "runs", "first")
 
-    moved = np.array([offset - at for _, at, _, offset, _ in listed], np.int64)[text]
-    digests = b"".join([xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)])
-    halves = np.frombuffer(digests, ">i8").astype(np.int64).reshape(-1, 2)
-    lead, tail = whole_words(start, stop, *word_edges(raw, listed))
-    ids = pa.array([name for name, *_ in listed], pa.int64()).take(pa.array(text))
-    return {
-        "doc_id": ids, "run": run + moved, "start": start + moved, "length": stop - start, "lead": lead.astype(np.int32),
-        "tail": tail.astype(np.int32), "digest": halves[:, 0].copy(), "more": halves[:, 1].astype(np.int32),
-    }
 
+def numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    """Columns of integers, null as 0."""
+    return [pc.fill_null(batch.column(n), 0).to_numpy(zero_copy_only=False).astype(np.int64) for n in names]
 
-def scan(docs: DataFrame, least: int) -> DataFrame:
-    """All runs: doc_id, run and start (its first byte), length (bytes), lead and tail (bytes of words in part), digest and
-    more (96 bits of its hash), and the hashes of its two keys."""
 
-    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for data, raw, listed, text, first, last, seed in listed_runs(batches, least):
-            columns = rows_of(data, raw, listed, text, first, first, last + least)
-            for name, (key, has) in zip(("before", "behind"), keys(raw, first, last, seed, least), strict=True):
-                columns[name] = pa.array(key, mask=~has)
-            yield pa.RecordBatch.from_pydict(columns)
+def batch_of(schema: pa.Schema, size: int, **columns: object) -> pa.RecordBatch:
+    """A batch of ``schema``; a column that is not given is null, a single value is all rows'."""
+    full = [columns.get(f.name) for f in schema]
+    made = [pa.nulls(size, f.type) if c is None else pa.array(np.full(size, c) if isinstance(c, int) else c, f.type, from_pandas=False) for f, c in zip(schema, full, strict=True)]
+    return pa.RecordBatch.from_arrays(made, schema=schema)
+
+
+def schema_of(ddl: str) -> pa.Schema:
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    return pa.schema([(name, types[kind]) for name, kind in (c.split() for c in ddl.split(", "))])
+
 
-    return docs.mapInArrow(listing, PLACES + ", before long, behind long")
+class Laid:
+    """Windows of runs, run after run: ``row`` is a window's run, ``pos`` its place in the joined bytes ``raw``, and run k's
+    are those from ``base[k]`` on. A run's text has a byte more before it (``edge`` 1) and behind it (2) unless its document ends there."""
 
+    def __init__(self, texts: list[bytes], edge: np.ndarray, low: np.ndarray, times: np.ndarray):
+        self.data = b"".join(texts)
+        self.raw = np.frombuffer(self.data, np.uint8)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        at = np.cumsum(sizes) - sizes
+        self.base = np.cumsum(times) - times
+        self.row = np.repeat(np.arange(len(texts)), times)
+        self.offset = np.arange(len(self.row)) - self.base[self.row] + low[self.row]
+        self.pos = (at + (edge & 1))[self.row] + self.offset
+        self.edges = word_edges(self.raw, at[edge & 1 == 0], (at + sizes)[edge & 2 == 0])
 
-def scan_windows(docs: DataFrame, least: int, shared: np.ndarray) -> DataFrame:
-    """The windows of the runs that have a key in the sieve, in the columns of ``PLACES``.
 
-    Where a task has met an equal run in an earlier document, that run is repeated as a whole, and only its window at its first
-    whole word is listed, which names the document it comes from.
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
+
+
+def window_hashes(raw: np.ndarray, least: int) -> np.ndarray:
+    """A 64-bit hash of the ``least`` bytes from each place on, by doubling."""
+    h, step, odd = raw.astype(np.uint64), 1, np.uint64(0x9E3779B97F4A7C15)
+    while step < 8:
+        h = h[:-step] | h[step:] << np.uint64(8 * step)
+        step *= 2
+    h = mixed(h)
+    while step * 2 <= least:
+        h = mixed(h[:-step] * odd + h[step:])
+        step *= 2
+    return mixed(h[: len(h) - (least - step)] * odd + h[least - step :]) if step < least else h
+
+
+def lay_out(docs: DataFrame, marks: DataFrame, least: int, many: int) -> DataFrame:
+    """The marks joined with their documents' texts: pieces of runs that are repeated as a whole, and what is to be compared.
+
+    Runs that follow one another are one piece. Where a span can begin in it, the document that has the window at its
+    first whole word is asked for, since that may come before the one that has the whole run.
     """
+    schema = schema_of(MARKS)
 
     def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        half, met = (least - WINDOW) // 2, {}
-        for data, raw, listed, text, first, last, seed in listed_runs(batches, least):
-            before, behind = (has & passes(shared, key) & passes(shared, key >> 29) for key, has in keys(raw, first, last, seed, least))
-            some = np.flatnonzero(before | behind)
-            text, first, last, seed, before, behind = (x[some] for x in (text, first, last, seed, before, behind))
-            # Windows with the key before the seed come first, those with the key behind it last.
-            low = np.where(before, first, np.maximum(first, seed + WINDOW + half - least))
-            high = np.where(behind, last, np.minimum(last, seed - half))
-            lead, _ = whole_words(first, first, *word_edges(raw, listed))
-            word = np.minimum(first + lead, last)
-            known = np.zeros(len(some), bool)
-            for k, (t, a, b) in enumerate(zip(text.tolist(), first.tolist(), last.tolist(), strict=True)):
-                digest, name = xxhash.xxh3_128_digest(data[a : b + least]), listed[t][0]
-                place = (name is None, name or 0)
-                known[k] = met.setdefault(digest, place) < place
-                if place < met[digest]:
-                    met[digest] = place
-            if len(met) > MET:
-                met.clear()
-            low, high = np.where(known, np.maximum(low, word), low), np.where(known, np.minimum(high, word), high)
-            times = np.maximum(high - low + 1, 0)
-            start = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
-            yield pa.RecordBatch.from_pydict(rows_of(data, raw, listed, np.repeat(text, times), np.repeat(first, times), start, start + least))
-
-    return docs.mapInArrow(listing, PLACES)
-
-
-def shared_keys(rows: DataFrame) -> np.ndarray:
-    """A sieve of the keys that different runs have in common, of about 16 bits a key."""
-    each = rows.select(F.explode(F.array("before", "behind")).alias("key"), F.hash("digest", "more").alias("d")).filter("key IS NOT NULL")
-    common = written(each.groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo <> hi").select("key"), "chunk-keys")
-    size = 1 << min(MOST_BITS, max(16, (16 * common.count()).bit_length()))
-    return sieve(common, [F.col("key"), F.shiftright("key", 29)], size)
-
-
-def again(rows: DataFrame, least: int, label: str) -> DataFrame:
-    """The rows whose bytes occur before, with the document where they occur first. Within a document, the first occurrence
-    stays whole, so an overlap with it does not count."""
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
-    groups = rows.groupBy("digest", "more").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first")).filter("times > 1")
-    found = look_up(rows, written(groups, label), ["digest", "more"], "times")
-    apart = ~F.col("doc_id").eqNullSafe(F.col("first.doc_id")) | (F.col("start") >= F.col("first.start") + least)
-    return found.filter(apart).select("doc_id", "run", "start", "length", "lead", "tail", F.struct("first.last", "first.doc_id").alias("first"))
+        held, before = b"", (None, None)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            doc, run, shape, key, nth, of, first = numbers(batch, "doc_id", "run", "shape", "key", "nth", "runs", "first")
+            text, known = batch.column("text"), pc.is_valid(batch.column("first")).to_numpy(zero_copy_only=False)
+            again = np.r_[(doc[0], run[0]) == before, (doc[1:] == doc[:-1]) & (run[1:] == run[:-1])]
+            before = (doc[-1], run[-1])
+            places = np.flatnonzero(run < 0)
+
+            def sliced(rows: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+                """The runs' bytes with one more on either side, and which of these there are."""
+                out, edge, now, data = [], [], -1, held  # noqa: B023
+                for t, a, b in zip((np.searchsorted(places, rows) - 1).tolist(), run[rows].tolist(), stop[rows].tolist(), strict=True):  # noqa: B023
+                    if t != now:
+                        now, data = t, text[int(places[t])].as_py()  # noqa: B023
+                    out.append(data[max(a - 1, 0) : b + 1])
+                    edge.append((a > 0) + 2 * (b < len(data)))
+                return out, np.array(edge, np.int64)
+
+            length, at, lead, tail = shape & 0xFFFFFF, shape >> 24 & 0xFFFFFF, shape >> 48 & 63, shape >> 54
+            stop, last = run + length, run + length - least
+            whole = np.flatnonzero(known & ~again & (run >= 0))
+            if len(whole):
+                prior = whole[:-1]
+                joins = np.r_[False, (doc[whole[1:]] == doc[prior]) & (run[whole[1:]] == last[prior] + 1)]
+                begin = np.flatnonzero(~joins)
+                a, z, count = whole[begin], whole[np.r_[begin[1:], len(whole)] - 1], np.diff(np.r_[begin, len(whole)])
+                yield batch_of(schema, len(a), kind=PIECE, doc_id=doc[a], run=run[a], start=run[a], length=stop[z] - run[a], lead=lead[a], tail=tail[z], whole=count)
+                # A span begins with a word of the piece's first run, or of the next if that has none.
+                joins[1:] &= (run + lead <= last)[prior]
+                asks = whole[~joins]
+                word = np.minimum(run + lead, last)
+                for kind, rows in ((PIECE, asks[of[asks] == 1]), (ASK, asks[(of[asks] > 1) & (of[asks] <= many)])):
+                    yield batch_of(
+                        schema, len(rows), kind=kind, doc_id=doc[rows], run=run[rows], start=word[rows], length=least, lead=(run + lead - word)[rows],
+                        tail=0, whole=0, seen=word[rows], first=first[rows], key=key[rows], nth=nth[rows],
+                    )
+            else:
+                asks, word = whole, run
+            part = np.flatnonzero(~known & ~again & (run >= 0))
+            few = part[of[part] <= many]
+            cut, edge = sliced(few)
+            yield batch_of(schema, len(few), kind=COMPARE, doc_id=doc[few], run=run[few], length=length[few], key=key[few], nth=nth[few], at=at[few], text=cut, edge=edge)
+            for rows, all_of in ((part[of[part] > many], True), (asks[of[asks] > many], False)):
+                for some in np.split(rows, range(1000, len(rows), 1000)):
+                    cut, edge = sliced(some)
+                    laid = Laid(cut, edge, 0 * some if all_of else (word - run)[some], (last - run)[some] + 1 if all_of else 0 * some + 1)
+                    own, start = some[laid.row], run[some[laid.row]] + laid.offset
+                    lead_, tail_ = whole_words(laid.pos, laid.pos + least, *laid.edges)
+                    digests = b"".join([xxhash.xxh3_128_digest(laid.data[p : p + least]) for p in laid.pos.tolist()])
+                    halves = np.frombuffer(digests, ">i8").astype(np.int64).reshape(-1, 2)
+                    yield batch_of(
+                        schema, len(own), kind=WINDOWS, doc_id=doc[own], run=run[own], start=start, length=least, lead=lead_, tail=tail_,
+                        whole=int(all_of), digest=halves[:, 0].copy(), more=halves[:, 1].copy(),
+                    )
+            if len(places):
+                held = text[int(places[-1])].as_py()
+
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("shape", "long"), ("key", "long"), ("nth", "int"), ("runs", "int"), ("first", "long"))]
+    texts = docs.filter(F.octet_length("text") >= least).select("doc_id", F.lit(-1).cast("long").alias("run"), *none, F.col("text").cast("binary").alias("text"))
+    both = texts.unionByName(marks.withColumn("text", F.lit(None).cast("binary")))
+    return both.repartition("doc_id").sortWithinPartitions("doc_id", "run").mapInArrow(listing, MARKS)
+
+
+def compared(marks: DataFrame, least: int) -> DataFrame:
+    """``PIECES``: the repeated windows of the runs to compare, those that follow one another as one, and the windows asked for."""
+    schema = schema_of(PIECES)
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # Runs of one seed come by document and place: those of the last batch's last seed are all that may come before.
+            told = held.num_rows if held is not None and held.column("key")[0] == batch.column("key")[0] else 0
+            rows = pa.concat_batches([held, batch]) if told else batch
+            kind, key = numbers(rows, "kind", "key")
+            runs_ = rows.filter(pa.array(kind == COMPARE))
+            held = runs_.filter(pa.array(key[kind == COMPARE] == key[-1]))
+            held = held if held.num_rows else None
+            if not runs_.num_rows:
+                continue
+            doc, run, length, own, nth, at, edge = numbers(runs_, "doc_id", "run", "length", "key", "nth", "at", "edge")
+            laid = Laid(runs_.column("text").to_pylist(), edge, 0 * run, length - least + 1)
+            row, start = laid.row, run[laid.row] + laid.offset
+            tag = mixed(own.view(np.uint64)[row] + mixed((laid.offset - at[row]).astype(np.uint64)))
+            h = mixed(window_hashes(laid.raw, least)[laid.pos] * np.uint64(0x9E3779B97F4A7C15) + tag)
+            order = np.argsort(h, kind="stable")
+            new = np.r_[True, h[order[1:]] != h[order[:-1]]]
+            head = np.empty(len(h), np.int64)
+            head[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))]
+            found = (row >= told) & ((doc[row] != doc[row[head]]) | (start >= start[head] + least))
+            side = np.r_[False, found[:-1] & (row[1:] == row[:-1])], np.r_[found[1:] & (row[1:] == row[:-1]), False]
+            a, z = np.flatnonzero(found & ~side[0]), np.flatnonzero(found & ~side[1])
+            lead, tail = whole_words(laid.pos[a], laid.pos[z] + least, *laid.edges)
+            word = np.minimum(a + lead, z)
+            yield batch_of(
+                schema, len(a), doc_id=doc[row[a]], run=run[row[a]], start=start[a], length=start[z] + least - start[a], lead=lead, tail=tail,
+                whole=1, seen=start[word], first=doc[row[head[word]]],
+            )
+            asks = rows.filter(pa.array(kind == ASK))
+            if asks.num_rows:
+                place = {name: k for k, name in enumerate(zip(own.tolist(), nth.tolist(), strict=True))}
+                key, nth, run, start = numbers(asks, "key", "nth", "run", "start")
+                of = np.array([place[name] for name in zip(key.tolist(), nth.tolist(), strict=True)], np.int64)
+                first = doc[row[head[laid.base[of] + start - run]]]
+                yield batch_of(schema, asks.num_rows, **{n: asks.column(n) for n in schema.names if n != "first"}, first=first)
+
+    few = marks.filter(F.col("kind").isin(COMPARE, ASK)).drop("digest", "more")
+    return few.repartition("key").sortWithinPartitions("key", "kind", "doc_id", "run").mapInArrow(listing, PIECES)
+
+
+def again(windows: DataFrame, least: int, label: str) -> DataFrame:
+    """``PIECES``: the windows whose bytes occur before, with the document where they occur first."""
+    place = F.struct("doc_id", "start")
+    groups = windows.groupBy("digest", "more").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("at_first")).filter("times > 1")
+    found = look_up(windows.drop("at", "first"), written(groups, label), ["digest", "more"], "times")
+    apart = (F.col("doc_id") != F.col("at_first.doc_id")) | (F.col("start") >= F.col("at_first.start") + least)
+    found = found.filter(apart).withColumn("first", F.col("at_first.doc_id")).withColumn("seen", F.col("start"))
+    return found.select(*schema_of(PIECES).names)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_span: int = LEAST_SPAN) -> DataFrame:
@@ -318,9 +434,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     plain = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     keyed = row_keys(plain, "id", "text", "chunk-repeated-ids")
     read = keyed.select(F.col("__key").alias("doc_id"), "text")
-    rows = written(scan(read, least_span), "chunks")
-    windows = written(scan_windows(read, least_span, shared_keys(rows)), "chunk-windows")
-    pieces = again(rows, least_span, "chunk-index").unionByName(again(windows, least_span, "chunk-window-index"))
+    marks = written(lay_out(read, marked(scan(read, least_span), least_span), least_span, MANY), "chunk-marks")
+    pieces = marks.filter(F.col("kind") == PIECE).select(*schema_of(PIECES).names).unionByName(compared(marks, least_span))
+    windows = marks.filter(F.col("kind") == WINDOWS)
+    if not windows.isEmpty():
+        pieces = pieces.unionByName(again(windows, least_span, "chunk-window-index"))
     order = Window.partitionBy("doc_id").orderBy("start", "length")
     end = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     spans = pieces.withColumn("__new", F.coalesce((F.col("start") > end).cast("int"), F.lit(1)))
@@ -328,11 +446,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out = spans.groupBy("doc_id", "span").agg(
         F.min(F.struct("start", "lead")).alias("from"),
         F.max(F.struct("end", "tail")).alias("to"),
-        F.count_distinct("run").alias("chunks"),
-        F.min(F.struct(F.col("start") + F.col("lead"), -F.col("start"), "first")).alias("first"),
+        F.collect_set(F.struct("run", "whole")).alias("runs"),
+        F.min(F.when(F.col("first").isNotNull(), F.struct(F.col("start") + F.col("lead"), -F.col("seen"), "first"))).alias("first"),
     )
     start, stop = F.col("from.start") + F.col("from.lead"), F.col("to.end") - F.col("to.tail")
-    found = out.select(F.col("doc_id").alias("row"), start.alias("start"), (stop - start).alias("length"), "chunks", F.col("first.first.doc_id").alias("first"))
+    chunks = F.aggregate("runs", F.lit(0).cast("long"), lambda n, run: n + run["whole"]).alias("chunks")
+    found = out.select(F.col("doc_id").alias("row"), start.alias("start"), (stop - start).alias("length"), chunks, F.col("first.first").alias("first"))
     # Keys of rows without an id of their own back to ids.
     made = keyed.filter("id IS NULL OR id <> __key").select(F.col("__key").alias("key"), "id").distinct()
     named = found

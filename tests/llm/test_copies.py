@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -232,6 +233,31 @@ def test_spans_are_all_repeated_windows(spark, corpus):
     assert sorted(got, key=repr) == sorted(span_truth(few, 77), key=repr)
 
 
+def near_copies(rng, docs, originals):
+    """Documents that are a copy of one of a few, with a word changed here and there."""
+    texts = [prose(rng, 300, 10**6).split() for _ in range(originals)]
+    return [(i, " ".join(str(rng.random()) if rng.random() < 0.02 else w for w in texts[i % originals])) for i in range(docs)]
+
+
+def test_windows_of_many_different_runs(spark, monkeypatch):
+    """Seeds with more different runs than a task compares have their windows compared by digest, with the same result."""
+    rows = near_copies(random.Random(5), 60, 4)
+    for many in (20_000, 3, 0):
+        monkeypatch.setattr(chunks, "MANY", many)
+        got = [(r.doc_id, r.start, r.length, r.first_doc_id) for r in chunks.repeated_spans(frame(spark, rows)).collect()]
+        assert sorted(got) == sorted(span_truth(rows))
+
+
+def test_near_copies_write_less_than_their_texts(spark):
+    """Windows are compared where the bytes of their runs meet, and not listed one by one in the shared folder."""
+    rows = near_copies(random.Random(6), 200, 8)
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    begun = size()
+    assert chunks.repeated_spans(frame(spark, rows)).count() > 500
+    assert size() - begun < sum(len(t) for _, t in rows)
+
+
 def test_no_planted_passage_is_missed(spark):
     """Passages of 51 to 100 words in two to ten documents each: every later copy is found, whole."""
     rng = random.Random(13)
