@@ -4,9 +4,10 @@ Each window of ``LEAST_SPAN`` bytes has a seed, the ``WINDOW`` bytes within it w
 windows have equal seeds at the same place. Neighbouring windows with one seed are a run, about one in 48 bytes.
 
 1. Runs with an equal seed and digest are equal: all but the first by (document, position) are repeated as a whole.
+   All runs of a seed are sorted in one task, as rows of numbers that spill: a seed that very many runs have makes it long.
 2. Runs that differ have equal windows only if they share the seed. Such runs, each different one once, are brought
    together with their bytes, by seed, and their windows are compared there. Of a seed with more than ``MANY`` different
-   runs the windows are compared by digest instead, so no group of runs has to fit in a task.
+   runs the windows are compared by digest instead, so no group of different runs has to fit in a task's memory.
 3. Repeated windows that touch or overlap form a span, so a span ends where the match ends.
 
 ``chunk`` cuts texts at content-defined places alone.
