@@ -3,13 +3,14 @@
 Documents with equal sets are one class, and one row of the matrix. Two sets of at least ``t`` similarity share a column
 among the first ``n - ceil(t n) + 1`` of each, whatever the common order of the columns. Columns that occur once come first
 and frequent ones last, so a passage that some documents share starts no pairs. What orders the columns are counts of all
-n-grams, kept by the tasks as a sieve of fixed size and the ranks of the most frequent; errors there cost time and no result.
+n-grams: documents are bundled, bundles send their n-grams to slots by hash, and each slot sends those that it met twice or
+more back to their bundles with a count; errors there cost time and no result. No task holds more than a bundle or a slot.
 Only columns with two classes count. Three steps find all components:
 
 1. Every class is paired with one class of each of its columns, that of the least document, a number of pairs in proportion to the columns.
 2. Columns whose classes are then in one component are done. The rest is multiplied in blocks: within a block of classes of
-   one column, the counts of shared leading columns are accumulated for pairs from different components alone, and a pair
-   goes on only if sizes and positions leave room for the threshold.
+   a cluster of columns, or of one column, the counts of shared leading columns are accumulated for pairs from different
+   components alone, and a pair goes on only if sizes and positions leave room for the threshold.
 3. Pairs of either step are verified by the overlap of whole sets. Components of the verified links are those of all links:
    a pair is left out only if it is in one component already, or cannot reach the threshold.
 
@@ -24,6 +25,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +35,9 @@ from mediameta.llm.components import components
 #: Production parameters: words per n-gram, threshold.
 N = 5
 THRESHOLD = Fraction(3, 4)
-#: Frequent n-grams that the tasks know by rank (a broadcast of 2 MB); the others are known as repeated or not.
+#: Counts of repeated n-grams are told apart up to this one.
 FREQUENT = 1 << 17
-#: N-grams a task sorts at a time when it counts, and how often it tells of one of them.
+#: N-grams in a bundle, which a task sorts at a time, and how often it tells of one of them.
 COUNTED, TOLD = 1 << 22, 8
 #: Bits of the sieves that keep back what cannot match; a sieve that is too full only keeps back less.
 SIEVE = 1 << 27
@@ -108,68 +110,161 @@ def slot_bits(texts: DataFrame) -> int:
     return min(24, max(4, (size // 6 >> 20).bit_length()))
 
 
-def repeated(texts: DataFrame, n: int, bits: int) -> DataFrame:
-    """Rows (prefix, times): the leading ``bits + 32`` bits of n-grams that occur twice or more, and a count of them.
+#: What a bundle knows of a document: id, whether it has one, size, class, digest, number among the bundle's classes or -1.
+NODE = np.dtype([("id", np.int64), ("known", bool), ("n", np.int64), ("cls", np.int64), ("digest", np.uint8, 16), ("who", np.int32)])
+#: Rows between the tasks. A bundle's own row has its documents as ``own`` and n-grams that it needs not tell of.
+SENT = "slot int, bundle long, low binary, who binary, own binary"
+MET = "slot int, bundle long, low binary, who binary, times binary, own binary"
+
+
+def blobs(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The values cut into pieces of these lengths, each as bytes."""
+    stops = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths * values.itemsize, out=stops[1:])
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(stops), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def starts_of(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.empty(0, np.int64)
+
 
-    The counts are too low for n-grams that a task sees more than ``TOLD`` times at a time, so none fills a slot. Tasks send
-    their n-grams sorted, as 32 bits each, in one row per slot.
+def sent(texts: DataFrame, n: int, bits: int) -> DataFrame:
+    """The n-grams of all documents in bundles of ``COUNTED``: for each slot a row of 32 bits of each and whose it is.
+
+    Of one n-gram a bundle tells ``TOLD`` times, so none fills a slot; the bundle's own row has the others.
     """
-    rest = np.uint64(32 - bits)
+    rest, room_ = np.uint64(32 - bits), min(16, 32 - bits)
+    below = np.uint64(room_)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+        from pyspark import TaskContext
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams_of, seen = shingler(n), set()
+        task, done = TaskContext.get(), 0
         parts: list[np.ndarray] = []
+        nodes: list[tuple] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal parts, size
-            keys = np.concatenate([*parts, np.empty(0, np.int64)]).view(np.uint64)
-            parts, size = [], 0
-            # Sorted in place; of equal ones the first ``TOLD`` stay.
-            keys >>= rest
+            nonlocal parts, nodes, size, done
+            keys = np.concatenate([*parts, np.empty(0, np.uint64)])
+            own = np.array(nodes, NODE).tobytes()
+            parts, nodes, size = [], [], 0
+            # The same if the task runs again on the same rows; other rows give another bundle.
+            bundle = np.uint64(xxhash.xxh3_64_intdigest(own, (task.partitionId() << 32) + done)).astype(np.int64)
+            done += 1
             keys.sort()
+            who = (keys & np.uint64((1 << room_) - 1)).astype(np.uint16)
+            keys >>= below
             more = np.ones(len(keys), bool)
             more[TOLD:] = keys[TOLD:] != keys[:-TOLD]
-            if not more.all():
-                keys = keys[more]
+            aside, whose = (keys[:0], who[:0]) if more.all() else (keys[~more], who[~more])
+            if len(aside):
+                keys, who = keys[more], who[more]
             slots = (keys >> np.uint64(32)).astype(np.int32)
+            edges = starts_of(slots)
+            lengths = np.diff(np.r_[edges, len(slots)])
             low = keys.astype(np.uint32)
-            edges = np.flatnonzero(np.r_[True, slots[1:] != slots[:-1]]) if len(keys) else np.empty(0, int)
-            blobs = [low[a:b].tobytes() for a, b in zip(edges, [*edges[1:], len(keys)], strict=True)] if len(keys) else []
-            return pa.record_batch([pa.array(slots[edges], pa.int32()), pa.array(blobs, pa.binary())], names=["slot", "low"])
-
+            del keys
+            place = pa.array(np.r_[slots[edges], np.int32(int(bundle) % (1 << bits))].astype(np.int32))
+            columns = [
+                place, pa.array(np.full(len(place), bundle)),
+                pa.concat_arrays([blobs(low, lengths), pa.array([aside.tobytes()], pa.binary())]),
+                pa.concat_arrays([blobs(who, lengths), pa.array([whose.tobytes()], pa.binary())]),
+                pa.array([None] * len(edges) + [own], pa.binary()),
+            ]
+            return pa.record_batch(columns, names=["slot", "bundle", "low", "who", "own"])
+
+        held = 0
         for batch in batches:
-            for text in (t.as_py() for t in batch.column(1)):
+            for name, text in zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(1)), strict=True):
                 grams = grams_of(text)
-                if not len(grams) or (cls := class_of(grams)[0]) in seen:
-                    continue
-                if len(seen) < COUNTED:
-                    seen.add(cls)
-                parts.append(grams)
-                size += len(grams)
-                if size >= COUNTED:
+                who, cls, digest = -1, 0, bytes(16)
+                if len(grams):
+                    cls, digest = class_of(grams)
+                    if cls not in seen:
+                        if len(seen) < COUNTED:
+                            seen.add(cls)
+                        who, held = held, held + 1
+                        keys = grams.view(np.uint64) >> rest
+                        keys <<= below
+                        keys |= np.uint64(who)
+                        parts.append(keys)
+                        size += len(keys)
+                nodes.append((name or 0, name is not None, len(grams), cls, np.frombuffer(digest, np.uint8), who))
+                if size >= COUNTED or held >> room_ or len(nodes) >= 1 << 16:
                     yield flush()
-        yield flush()
+                    held = 0
+        if nodes:
+            yield flush()
+
+    return texts.mapInArrow(run, SENT)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def met(told: DataFrame) -> DataFrame:
+    """Of the rows of ``sent``, the n-grams that occur twice or more, by slot and bundle with their counts; own rows stay.
+
+    The counts are too low for n-grams that a bundle holds more than ``TOLD`` times; each has one count for all bundles.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot, held = None, []
 
         def close() -> pa.RecordBatch:
-            keys, counts = np.unique(np.frombuffer(b"".join(held), np.uint32), return_counts=True)
-            twice = counts > 1
-            prefix = (np.int64(slot or 0) << np.int64(32)) | keys[twice].astype(np.int64)
-            return pa.record_batch([pa.array(prefix), pa.array(counts[twice].astype(np.int64))], names=["prefix", "times"])
+            bundles, lows, whose = zip(*held, strict=True)
+            low, who = np.frombuffer(b"".join(lows), np.uint32), np.frombuffer(b"".join(whose), np.uint16)
+            keys = low.astype(np.uint64)
+            keys <<= np.uint64(32)
+            keys |= np.arange(len(low), dtype=np.uint64)
+            keys.sort()
+            edges = starts_of(keys >> np.uint64(32))
+            runs = np.diff(np.r_[edges, len(keys)])
+            # Of n-grams that come once nothing is kept.
+            stays = np.repeat(runs > 1, runs)
+            at = (keys[stays] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            del keys
+            times = np.zeros(len(low), np.uint32)
+            times[at] = np.repeat(runs[runs > 1], runs[runs > 1])
+            more = times > 1
+            lengths = np.array([len(x) // 4 for x in lows])
+            kept = np.diff(np.r_[0, np.cumsum(more)][np.r_[0, np.cumsum(lengths)]])
+            full = kept > 0
+            columns = [
+                pa.array(np.full(full.sum(), slot, np.int32)), pa.array(np.array(bundles, np.int64)[full]),
+                *(blobs(values[more], kept[full]) for values in (low, who, times)), pa.nulls(int(full.sum()), pa.binary()),
+            ]
+            return pa.record_batch(columns, names=["slot", "bundle", "low", "who", "times", "own"])
 
         for batch in batches:
-            for s, low in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            mine = batch.filter(pa.compute.is_valid(batch.column("own")))
+            if len(mine):
+                yield pa.record_batch([*mine.columns[:4], pa.nulls(len(mine), pa.binary()), mine.column("own")], names=["slot", "bundle", "low", "who", "times", "own"])
+            for s, bundle, low, who, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own is not None:
+                    continue
                 if s != slot:
-                    yield close()
+                    if held:
+                        yield close()
                     slot, held = s, []
-                held.append(low)
-        yield close()
+                held.append((bundle, low, who))
+        if held:
+            yield close()
+
+    return told.repartition("slot").sortWithinPartitions("slot").mapInArrow(run, MET)
 
-    sent = texts.mapInArrow(send, "slot int, low binary")
-    return sent.repartition("slot").sortWithinPartitions("slot").mapInArrow(count, "prefix long, times long")
+
+def repeated(texts: DataFrame, n: int, bits: int) -> DataFrame:
+    """Rows (prefix, times): the leading ``bits + 32`` bits of n-grams that occur twice or more, and a count of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for slot, low, times in zip(*(batch.column(c).to_pylist() for c in ("slot", "low", "times")), strict=True):
+                prefix = (np.int64(slot) << np.int64(32)) | np.frombuffer(low, np.uint32).astype(np.int64)
+                yield pa.record_batch([pa.array(prefix), pa.array(np.frombuffer(times, np.uint32).astype(np.int64))], names=["prefix", "times"])
+
+    return met(sent(texts, n, bits)).filter("own IS NULL").mapInArrow(run, "prefix long, times long").distinct()
 
 
 def sieve(values: DataFrame, columns: list, size: int = SIEVE) -> np.ndarray:
@@ -186,56 +281,80 @@ def passes(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[low >> 6] >> (low & 63)) & 1 == 1
 
 
-class Order:
-    """The common order of the columns: once, repeated, frequent by count; then by hash."""
-
-    def __init__(self, bits: int, twice: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> None:
-        self.rest = np.uint64(32 - bits)
-        self.twice, self.frequent, self.times = twice, frequent, times
-
-    def leading(self, grams: np.ndarray, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
-        """The set's first columns in the order, and whether each may occur elsewhere."""
-        n = len(grams)
-        prefix = (grams.view(np.uint64) >> self.rest).view(np.int64)
-        more = passes(self.twice, prefix) & passes(self.twice, prefix >> 13)
-        place = more.astype(np.int64)
-        if len(self.frequent):
-            at = np.minimum(np.searchsorted(self.frequent, prefix), len(self.frequent) - 1)
-            known = self.frequent[at] == prefix
-            place[known] = self.times[at[known]]
-        first = np.lexsort((grams, place))[: n - ceil(threshold * n) + 1]
-        return grams[first], more[first]
+def leading(nodes: np.ndarray, prefix: np.ndarray, who: np.ndarray, times: np.ndarray, threshold: Fraction, frequent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The leading columns of a bundle's classes that may occur elsewhere, from all their repeated n-grams: column, class, place.
 
-
-def columns_of(texts: DataFrame, n: int, threshold: Fraction, order: Order) -> DataFrame:
+    The common order: those that come once, then by count up to ``frequent``, then by hash. A column is named by its prefix.
+    Where two of a class's n-grams have one, its places are told lower by their number, so no bound is too low.
+    """
+    n = nodes["n"]
+    repeated_ = np.bincount(who, minlength=len(nodes))
+    once = n - repeated_
+    # The first ``n - ceil(t n) + 1`` lead.
+    live = n + (-threshold.numerator * n) // threshold.denominator + 1 - once
+    wanted = live[who] > 0
+    prefix, who, place = prefix[wanted], who[wanted], np.minimum(times[wanted], frequent + 1)
+    order = np.lexsort((prefix, place, who))
+    prefix, who = prefix[order], who[order].astype(np.int64)
+    edges = starts_of(who)
+    rank = np.arange(len(who)) - np.repeat(edges, np.diff(np.r_[edges, len(who)]))
+    again = np.bincount(who[1:][(who[1:] == who[:-1]) & (prefix[1:] == prefix[:-1])], minlength=len(nodes))
+    first = rank < live[who]
+    return prefix[first], who[first], (once[who] + rank - again[who])[first]
+
+
+def columns_of(texts: DataFrame, n: int, threshold: Fraction, bits: int, frequent: int) -> DataFrame:
     """One pass: a row (doc_id, n, cls, digest) per document, and rows (gram, cls, n, pos, doc_id) for each class's leading
     columns that may occur elsewhere, once per task. cls is null for documents without words."""
     kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("digest", pa.binary()), ("gram", pa.int64()), ("pos", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams_of, seen = shingler(n), set()
-        for batch in batches:
-            rows: list[tuple] = []
-            parts: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 5]
-            for name, text in zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(1)), strict=True):
-                grams = grams_of(text)
-                cls, digest = class_of(grams) if len(grams) else (None, None)
-                rows.append((name, len(grams), cls, digest))
-                if cls is None or cls in seen:
-                    continue
-                if len(seen) < COUNTED:
-                    seen.add(cls)
-                first, more = order.leading(grams, threshold)
-                pos = np.flatnonzero(more)
-                own = np.full(len(pos), LAST_ID if name is None else name)
-                parts.append((first[pos], np.full(len(pos), cls), np.full(len(pos), len(grams)), pos, own))
-            named = [pa.array(c, f.type) for c, f in zip(list(zip(*rows, strict=True)) or [[]] * 4, kinds, strict=False)]
-            yield pa.RecordBatch.from_arrays([*named, *[pa.nulls(len(rows), pa.int64())] * 2], schema=kinds)
-            for a in range(0, len(parts), 500):
-                gram, cls_, size, pos, own = (pa.array(np.concatenate(c)) for c in zip(*parts[a : a + 500], strict=True))
-                yield pa.RecordBatch.from_arrays([own, size, cls_, pa.nulls(len(gram), pa.binary()), gram, pos], schema=kinds)
+        key, held, mine = None, [], None
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if mine is None:
+                raise RuntimeError("a task that ran again met its rows in another order; run the query again, over a written table")
+            nodes = np.frombuffer(mine[0], NODE)
+            bare, nameless = nodes["n"] == 0, ~nodes["known"]
+            digests = [None if b else d.tobytes() for b, d in zip(bare.tolist(), nodes["digest"], strict=True)]
+            ids, cls = pa.array(nodes["id"].copy(), mask=nameless), pa.array(nodes["cls"].copy(), mask=bare)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(nodes["n"].copy()), cls, pa.array(digests, pa.binary()), *[pa.nulls(len(nodes), pa.int64())] * 2], schema=kinds)
+            if not held:
+                return
+            slots, lows, whose, counts = zip(*held, strict=True)
+            low, who, times = (np.frombuffer(b"".join(x), t) for x, t in ((lows, np.uint32), (whose, np.uint16), (counts, np.uint32)))
+            prefix = np.repeat(np.array(slots, np.int64) << np.int64(32), [len(x) // 4 for x in lows])
+            prefix |= low
+            aside = np.frombuffer(mine[1], np.int64)
+            if len(aside):
+                # The bundle told of each of them, so each has a count.
+                named, at = np.unique(prefix, return_index=True)
+                times = np.r_[times, times[at[np.searchsorted(named, aside)]]]
+                prefix, who = np.r_[prefix, aside], np.r_[who, np.frombuffer(mine[2], np.uint16)]
+            classes = nodes[nodes["who"] >= 0]
+            gram, who, pos = leading(classes, prefix, who, times, threshold, frequent)
+            own = np.where(classes["known"], classes["id"], LAST_ID)[who]
+            size, cls = classes["n"][who], classes["cls"][who]
+            for a in range(0, len(gram), 1 << 16):
+                cut = slice(a, a + (1 << 16))
+                row = [pa.array(c[cut]) for c in (own, size, cls)]
+                yield pa.RecordBatch.from_arrays([*row, pa.nulls(len(row[0]), pa.binary()), pa.array(gram[cut]), pa.array(pos[cut])], schema=kinds)
 
-    return texts.mapInArrow(run, "doc_id long, n long, cls long, digest binary, gram long, pos long")
+        for batch in batches:
+            for slot, bundle, low, who, times, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bundle != key:
+                    if key is not None:
+                        yield from close()
+                    key, held, mine = bundle, [], None
+                if own is None:
+                    held.append((slot, low, who, times))
+                else:
+                    mine = own, low, who
+        if key is not None:
+            yield from close()
+
+    bundles = met(sent(texts, n, bits)).repartition("bundle").sortWithinPartitions("bundle")
+    return bundles.mapInArrow(run, "doc_id long, n long, cls long, digest binary, gram long, pos long")
 
 
 def sets_of(texts: DataFrame, n: int, classes: DataFrame) -> DataFrame:
@@ -298,7 +417,7 @@ def star_pairs(live: DataFrame, threshold: Fraction) -> DataFrame:
 def strip_pairs(column, rows, cls, size, comp, gram, pos, who, stops, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of these rows with all of the block, from the entries (gram, pos, who) sorted by gram, which end at ``stops``.
 
-    A pair counts in the block of its least shared column alone.
+    A pair counts in the block of its least shared column alone; where a block is of a cluster (column is None), in that.
     """
     row_of = np.full(len(cls), -1)
     row_of[rows] = np.arange(len(rows))
@@ -311,7 +430,9 @@ def strip_pairs(column, rows, cls, size, comp, gram, pos, who, stops, threshold:
         if b - a < 2 or not left.any():
             continue
         cell = np.ix_(row_of[members[left]], members)
-        if gram[a] <= column:
+        if column is None:
+            here[cell] = True
+        elif gram[a] <= column:
             here[cell] = (shared[cell] == 0) & (gram[a] == column)
         shared[cell] += 1
         last_a[cell] = np.maximum(last_a[cell], at[left][:, None])
@@ -340,7 +461,7 @@ def multiply(column, cls, size, root, grams: list, at: list, threshold: Fraction
 
 
 def block_products(threshold: Fraction):
-    """A task's blocks, one after the other, from rows (gram, i, j, cls, n, root, grams, at) sorted by the first three."""
+    """A task's blocks, one after the other, from rows (cluster, gram, i, j, cls, n, root, grams, at) sorted by the first four."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, pairs = None, [], []
@@ -349,11 +470,11 @@ def block_products(threshold: Fraction):
             nonlocal held
             if len(held) > 1:
                 cls, size, root, grams, at = zip(*held, strict=True)
-                pairs.extend(multiply(key[0], np.array(cls), np.array(size), np.array(root), grams, at, threshold))
+                pairs.extend(multiply(key[1], np.array(cls), np.array(size), np.array(root), grams, at, threshold))
             held = []
 
         for batch in batches:
-            keys = list(zip(*[batch.column(c).to_pylist() for c in ("gram", "i", "j")], strict=True))
+            keys = list(zip(*[batch.column(c).to_pylist() for c in ("cluster", "gram", "i", "j")], strict=True))
             flat = [batch.column(c).flatten().to_numpy() for c in ("grams", "at")]
             ends = np.cumsum(batch.column("grams").value_lengths().to_numpy())
             rest = [batch.column(c).to_numpy() for c in ("cls", "n", "root")]
@@ -378,38 +499,46 @@ def block_products(threshold: Fraction):
 def cross_pairs(live: DataFrame, roots: DataFrame, threshold: Fraction, block: int = BLOCK) -> DataFrame:
     """Step 2: pairs (a, b) of classes of different components that may reach the threshold.
 
-    Columns with the same classes are multiplied once. A column with more than ``block`` classes is cut into groups, and each
-    two of its groups are a block, so no task holds more than two groups.
+    Columns that share classes make a cluster, and two classes of one column are in one cluster. A cluster is multiplied as a
+    whole, so that two classes meet once and not in each of their columns; unless it has more pairs than its columns together
+    have: then columns are multiplied one by one, those with the same classes once. What has more than ``block`` classes is
+    cut into groups, and each two of its groups are a block, so no task holds more than two groups.
     """
     named = live.join(roots, live["cls"] == roots["node"], "left").select("gram", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
     named = written(named, "named-columns")
     member = F.xxhash64("cls").cast("decimal(38,0)")
     stats = named.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.sum(member).alias("sum"), F.min("cls").alias("low"), F.max("cls").alias("high"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-    open_ = stats.filter("r0 <> r1").groupBy("m", "sum", "low", "high").agg(F.min("gram").alias("gram"))
-    open_ = written(open_.select("gram", F.ceil(F.col("m") / block).cast("int").alias("groups")), "open-columns")
-    # The counts need all of a class's live columns, also those of other blocks.
-    inside = named.join(open_, "gram")
-    whole = named.groupBy("cls").agg(F.collect_list(F.struct("gram", "pos")).alias("all"))
-    rows = inside.select("gram", "cls", "n", "root", "groups").join(whole, "cls")
+    open_ = written(stats.filter("r0 <> r1").drop("r0", "r1"), "open-columns")
+    unlike = written(open_.groupBy("m", "sum", "low", "high").agg(F.min("gram").alias("gram")).select("gram", "m", "low"), "unlike-columns")
+    inside = written(named.join(unlike, "gram").select("gram", "cls", "m", "low"), "open-classes")
+    found = written(components(inside.select(F.col("low").alias("a"), F.col("cls").alias("b"))), "cluster-classes")
+    clustered = unlike.join(found, unlike["low"] == found["node"]).select("gram", F.col("m").cast("double").alias("m"), F.col("root").alias("cluster"))
+    pairs = clustered.groupBy("cluster").agg(F.sum(F.col("m") * F.col("m")).alias("pairs"))
+    sizes = found.groupBy(F.col("root").alias("cluster")).agg(F.count(F.lit(1)).cast("double").alias("m"))
+    sizes = written(sizes.join(pairs, "cluster").select("cluster", "m", (F.col("m") * F.col("m") <= F.col("pairs")).alias("at_once")), "clusters")
+    at_once = sizes.filter("at_once").select("cluster", "m")
+    one_by_one = clustered.select("gram", "cluster").join(sizes.filter("NOT at_once").select("cluster"), "cluster", "left_semi").select("gram")
+    gram_or_none, groups = F.lit(None).cast("long").alias("gram"), F.ceil(F.col("m") / block).cast("int").alias("groups")
+    rows = found.join(at_once, found["root"] == at_once["cluster"]).select("cluster", gram_or_none, F.col("node").alias("cls"), groups)
+    rows = rows.unionByName(inside.join(one_by_one, "gram").select(F.lit(None).cast("long").alias("cluster"), "gram", "cls", groups))
+    # The counts need all of a class's columns that pairs of different components can share, also those of other blocks.
+    all_ = F.collect_list(F.struct("gram", "pos")).alias("all")
+    whole = named.join(open_.select("gram"), "gram").groupBy("cls").agg(F.min("n").alias("n"), F.min("root").alias("root"), all_)
+    rows = rows.join(whole, "cls")
     own = F.pmod(F.xxhash64(F.lit(1), "cls"), F.col("groups")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("groups") - 1))
     cells = rows.withColumn("own", own).withColumn("other", other).select(
-        "gram", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "n", "root",
+        "cluster", "gram", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "n", "root",
         F.col("all.gram").alias("grams"), F.col("all.pos").alias("at"),
     )
-    keys = ["gram", "i", "j"]
+    keys = ["cluster", "gram", "i", "j"]
     return cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(block_products(threshold), "a long, b long").distinct()
 
 
 def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: Fraction = THRESHOLD, block: int = BLOCK, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """The classes of all documents (doc_id, n_shingles, cls) and links (a, b) between classes that span all components."""
     texts = texts_of(docs, id_col, text_col)
-    bits = slot_bits(texts)
-    counts = written(repeated(texts, n, bits), "ngram-counts")
-    top = counts.orderBy(F.col("times").desc(), "prefix").limit(frequent).toArrow().sort_by("prefix")
-    twice = sieve(counts, [F.col("prefix"), F.shiftright("prefix", 13)])
-    order = Order(bits, twice, top.column("prefix").to_numpy(), top.column("times").to_numpy())
-    seen = written(columns_of(texts, n, threshold, order), "ngram-columns")
+    seen = written(columns_of(texts, n, threshold, slot_bits(texts), frequent), "ngram-columns")
     nodes = seen.filter("gram IS NULL").select("doc_id", F.col("n").alias("n_shingles"), "cls", "digest")
     classes = nodes.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     # A class met in several tasks gives the same rows.

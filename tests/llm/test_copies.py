@@ -328,3 +328,61 @@ def test_workers_drop_what_other_operators_keep():
         del words
         begin()
         assert [r() for r in gone] == [None, None]
+
+
+def test_columns_occur_twice(spark, corpus, monkeypatch):
+    """Texts without a repeated n-gram have no columns, were all bits of all sieves set."""
+    tables = {}
+
+    def written(df, label, write=ngram_join.written):
+        tables[label] = write(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(ngram_join, "written", written)
+    monkeypatch.setattr(ngram_join, "sieve", lambda values, columns, size=128: np.full(size // 64, -1))
+    rng = random.Random(8)
+    rows = [*enumerate([prose(rng, 100, 10**9) for _ in range(60)], 10**6), *corpus]
+    got = ngram_join.ngram_components(frame(spark, rows).coalesce(1)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_truth(rows)
+    columns = tables["ngram-columns"].filter("gram IS NOT NULL")
+    assert columns.count() > 0 and columns.filter("doc_id >= 1000000").count() == 0
+
+
+def test_small_bundles(spark, corpus, monkeypatch):
+    """Bundles of few n-grams, which tell of each one once or twice, give what one large bundle gives."""
+    monkeypatch.setattr(ngram_join, "COUNTED", 300)
+    monkeypatch.setattr(ngram_join, "TOLD", 2)
+    hot = [(10**6 + i, f"{t} the same hot passage of words in all of them {i}") for i, (_, t) in enumerate(corpus[:60])]
+    rows = [*corpus, *hot, (None, "the same hot passage of words in all of them")]
+    got = ngram_join.ngram_components(frame(spark, rows).repartition(3)).collect()
+    want = near_truth([(i if i is not None else -1, t) for i, t in rows[:-1]])
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want and len(got) == len(rows)
+
+
+def test_cross_pairs_by_cluster(spark, monkeypatch):
+    """Classes that meet in many columns are multiplied once, as a cluster; a long chain of columns goes column by column."""
+    from mediameta.llm.ngram_join import THRESHOLD, room
+
+    tables = {}
+
+    def written(df, label, write=ngram_join.written):
+        tables[label] = write(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(ngram_join, "written", written)
+    rng = random.Random(9)
+    live = [(g, c, rng.randrange(12)) for k in range(30) for g, c in ((k, k), (k, k + 1))]
+    live += [(1000 + g, c, g) for c in range(100, 140) for g in range(20) if rng.random() < 0.8]
+    size = {c: rng.randrange(36, 44) for _, c, _ in live}
+    root = {c: rng.randrange(6) + 10**6 for c in size if rng.random() < 0.7}
+    frame_ = spark.createDataFrame([(g, c, size[c], p, c) for g, c, p in live], "gram long, cls long, n long, pos long, pivot long")
+    roots = spark.createDataFrame(list(root.items()), "node long, root long")
+    columns = {c: {g: p for g, d, p in live if d == c} for c in size}
+    want = set()
+    for a, b in combinations(sorted(size), 2):
+        both = columns[a].keys() & columns[b].keys()
+        if both and root.get(a, a) != root.get(b, b) and room(len(both), max(columns[a][g] for g in both), max(columns[b][g] for g in both), size[a], size[b], min, max, THRESHOLD):
+            want.add((a, b))
+    for block in (7, 1024):
+        assert {(r.a, r.b) for r in ngram_join.cross_pairs(frame_, roots, THRESHOLD, block).collect()} == want
+        assert {r.at_once for r in tables["clusters"].collect()} == {True, False}
